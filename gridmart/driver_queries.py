@@ -9,22 +9,41 @@ halves that together hold every row:
 * weather feed ``X`` = events with odd ``event_id``: temperature := ``props.k``;
 * gold ``G``         = hourly ``P`` joined with hourly ``X`` on (region, hour).
 
-Every query here calls the library function it proves; the SQL next to it in
-``oracle_sql()`` states the same result independently for DuckDB.  Each query
-reads whole tables (no row caps or samples).
+The TPC-H-like tables stand in where a check needs calendar dates or
+dimensions (orders per region and day, customer -> nation -> region).
+
+Every query calls the library function it proves; ``oracle_sql()`` states
+the same result independently in DuckDB SQL.  Each query reads whole tables:
+no samples, id subsets or row caps (``worst_gaps_topk`` is a top-k report).
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.operators import joins, rollup
+from gridmart.functions import predicates, timecols
+from gridmart.operators import (arrays, gaps, grids, joins, marks, profiles,
+                                quality, rollup, upsert)
+from gridmart.plans import analytics, silver
 from gridmart.session import SESSION_ZONE
 
 KEYS = ["region", "hour_utc"]
+ZONE = "Europe/Stockholm"
+
+# Parameters of individual queries (not row caps).
+EXPECTED_TYPES = ["click", "view", "purchase", "error", "refund"]
+ALLOWED_TYPES = ["click", "view", "purchase"]
+LOADED_BEFORE = "2024-01-21 00:00:00"          # history already loaded (marks)
+LOOKBACK = _dt.timedelta(days=2)
+SLICE_DAY = "2024-01-10"
+TOP_K = 20
+NULLABLE_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                   "o_orderdate", "o_orderpriority"]
+GOLD_REQUIRED = ["region", "hour_utc", "price", "first_price", "temperature"]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -41,15 +60,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Stand-in feeds and layers
 # --------------------------------------------------------------------------
 
+def events(spark, d) -> DataFrame:
+    return table(spark, d, "events")
+
+
 def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = events(spark, sf_dir)
     return (ev.filter(F.col("event_id") % 2 == 0)
               .select(F.col("event_type").alias("region"), "ts",
                       F.col("value").alias("price")))
 
 
 def weather_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = events(spark, sf_dir)
     return (ev.filter(F.col("event_id") % 2 == 1)
               .select(F.col("event_type").alias("region"), "ts",
                       F.get_json_object("props", "$.k").cast("double").alias("temperature")))
@@ -71,6 +94,43 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.keyed_join(price_hourly(spark, sf_dir), weather_hourly(spark, sf_dir), KEYS)
 
 
+def event_hour_keys(spark, d) -> DataFrame:
+    return rollup.hour_keys(events(spark, d), "event_type", "ts", ntz=True, key_out="region")
+
+
+def events_by_user_hour(spark, d) -> DataFrame:
+    return events(spark, d).withColumn("hour_utc", timecols.hour_key("ts", ntz=True))
+
+
+def customer_regions(spark, d) -> DataFrame:
+    """customer -> nation -> region, the 25 x 5 dimension broadcast behind a
+    row-count check."""
+    dim = (table(spark, d, "nation")
+           .join(joins.bounded_broadcast(table(spark, d, "region")),
+                 F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "n_name", "r_name"))
+    return (table(spark, d, "customer")
+            .join(joins.bounded_broadcast(dim), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select("c_custkey", "c_name", "n_name", "r_name"))
+
+
+def orders_by_region(spark, d) -> DataFrame:
+    cr = customer_regions(spark, d).select("c_custkey", F.col("r_name").alias("region"))
+    return table(spark, d, "orders").join(cr, F.col("o_custkey") == F.col("c_custkey"))
+
+
+def orders_with_nulls(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    return o.withColumns({
+        "o_orderstatus": F.nullif(F.col("o_orderstatus"), F.lit("F")),
+        "o_orderpriority": F.nullif(F.col("o_orderpriority"), F.lit("1-URGENT")),
+    })
+
+
+def _members(spark, values: list[str], name: str = "member") -> DataFrame:
+    return prepare(spark).createDataFrame([(v,) for v in values], f"{name} string")
+
+
 # --------------------------------------------------------------------------
 # Queries
 # --------------------------------------------------------------------------
@@ -83,40 +143,319 @@ def q_gold_hourly_join(spark, d):
     return gold(spark, d)
 
 
-# --------------------------------------------------------------------------
-# Oracle SQL (DuckDB; tables are pre-registered views)
-# --------------------------------------------------------------------------
+def q_overlap_range(spark, d):
+    ph, xh = price_hourly(spark, d), weather_hourly(spark, d)
+    lo, hi = joins.overlap_bounds(ph, "hour_utc", xh, "hour_utc")
+    return joins.within(ph, "hour_utc", lo, hi)
 
-CTE = """
-WITH P AS (
-  SELECT event_type AS region, ts, value AS price FROM events WHERE event_id % 2 = 0
-), X AS (
-  SELECT event_type AS region, ts,
-         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS temperature
-  FROM events WHERE event_id % 2 = 1
-), PH AS (
-  SELECT region, date_trunc('hour', ts) AS hour_utc,
-         CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(price) AS DOUBLE) AS price,
-         arg_min(price, ts) FILTER (WHERE price IS NOT NULL) AS first_price,
-         COUNT(*) AS n_obs
-  FROM P GROUP BY 1, 2
-), XH AS (
-  SELECT region, date_trunc('hour', ts) AS hour_utc, AVG(temperature) AS temperature
-  FROM X GROUP BY 1, 2
-), G AS (
-  SELECT PH.region, PH.hour_utc, price, first_price, n_obs, temperature
-  FROM PH JOIN XH ON PH.region = XH.region AND PH.hour_utc = XH.hour_utc
-)
-"""
 
-ORACLE: dict[str, str] = {
-    "hourly_rollup": CTE + "SELECT * FROM PH",
-    "gold_hourly_join": CTE + "SELECT * FROM G",
-}
+def q_anti_left_keys(spark, d):
+    return joins.missing_on_right(price_hourly(spark, d).select(*KEYS), weather_hourly(spark, d), KEYS)
+
+
+def q_anti_right_keys(spark, d):
+    return joins.missing_on_right(weather_hourly(spark, d).select(*KEYS), price_hourly(spark, d), KEYS)
+
+
+def q_existing_overlap(spark, d):
+    hit = joins.present_on_right(weather_hourly(spark, d).select(*KEYS), price_hourly(spark, d), KEYS)
+    return hit.agg(F.count(F.lit(1)).alias("existing_keys"))
+
+
+def q_hour_gaps(spark, d):
+    return gaps.segmented_gaps(event_hour_keys(spark, d), "region", "hour_utc")
+
+
+def q_hour_gaps_lag(spark, d):
+    return gaps.lag_gaps(event_hour_keys(spark, d), "region", "hour_utc")
+
+
+def q_worst_gaps_topk(spark, d):
+    return gaps.worst_gaps(q_hour_gaps(spark, d), TOP_K, "region", "hour_utc")
+
+
+def q_continuity_breaks(spark, d):
+    starts = gaps.gap_starts(event_hour_keys(spark, d), "region", "hour_utc")
+    return profiles.counts_by(starts, ["region"], "gaps")
+
+
+def q_missing_hours(spark, d):
+    ev = events(spark, d)
+    lo, hi = grids.whole_day_bounds(ev, "ts")
+    members = profiles.distinct_members(ev, "event_type").withColumnRenamed("event_type", "region")
+    grid = grids.member_hour_grid(members, "region", lo, hi, ntz=True)
+    return grids.absent_from(grid, event_hour_keys(spark, d), KEYS)
+
+
+def q_upsert_merge(spark, d):
+    ev = events(spark, d)
+    target = ev.filter(F.col("event_id") % 3 != 0)
+    source = ev.filter(F.col("event_id") % 3 != 1).withColumn("value", F.col("value") * 2)
+    return upsert.upsert_frame(target, source, ["event_id"])
+
+
+def q_latest_per_key(spark, d):
+    ev = events_by_user_hour(spark, d).select("user_id", "hour_utc", "ts", "event_id", "value")
+    return upsert.latest_per_key(ev, ["user_id", "hour_utc"], "ts")
+
+
+def _loaded_marks(spark, d):
+    loaded = events(spark, d).filter(F.col("ts") < timecols.utc_literal(LOADED_BEFORE, ntz=True))
+    return marks.high_water_marks(loaded, "event_type", "ts")
+
+
+def q_increment_filter(spark, d):
+    return marks.increment(events(spark, d), _loaded_marks(spark, d), "event_type", "ts")
+
+
+def q_increment_lookback(spark, d):
+    return marks.increment(events(spark, d), _loaded_marks(spark, d), "event_type", "ts",
+                           lookback=LOOKBACK)
+
+
+def q_increment_global(spark, d):
+    loaded = events(spark, d).filter(F.col("ts") < timecols.utc_literal(LOADED_BEFORE, ntz=True))
+    mark = marks.global_mark(loaded, "ts")
+    ev = events(spark, d)
+    return ev.filter(F.col("ts") > timecols.ts_literal(mark, ntz=True)) if mark is not None else ev
+
+
+def q_high_water_mark(spark, d):
+    return marks.high_water_marks(events(spark, d), "event_type", "ts")
+
+
+def q_latest_date(spark, d):
+    raw = events(spark, d).select(F.col("ts").cast("string").alias("ts_text"))
+    return marks.latest_date(raw, "ts_text")
+
+
+def q_date_spine(spark, d):
+    return grids.date_spine_of(events(spark, d), F.to_date("ts"))
+
+
+def q_missing_dates(spark, d):
+    o = orders_by_region(spark, d).select("region", F.to_date("o_orderdate").alias("day"))
+    b = table(spark, d, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"),
+                                      F.max(F.to_date("o_orderdate")).alias("hi")).first()
+    regions = table(spark, d, "region").select(F.col("r_name").alias("region"))
+    return marks.missing_dates(o, "region", "day", regions, b["lo"], b["hi"])
+
+
+def q_null_profile(spark, d):
+    return profiles.null_profile(orders_with_nulls(spark, d), NULLABLE_ORDERS)
+
+
+def q_invalid_members(spark, d):
+    return profiles.invalid_members(events(spark, d), "event_type", ALLOWED_TYPES)
+
+
+def q_distinct_members(spark, d):
+    return profiles.distinct_members(events(spark, d), "event_type")
+
+
+def q_invalid_interval(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return profiles.invalid_interval(j, "o_orderdate", "l_shipdate").select(
+        "l_orderkey", "l_linenumber", "o_orderdate", "l_shipdate")
+
+
+def q_duplicate_keys(spark, d):
+    return profiles.duplicate_keys(events_by_user_hour(spark, d), ["user_id", "hour_utc"])
+
+
+def q_duplicate_histogram(spark, d):
+    return profiles.duplicate_histogram(events_by_user_hour(spark, d), ["user_id", "hour_utc"])
+
+
+def q_distinct_keys(spark, d):
+    return profiles.key_stats(events_by_user_hour(spark, d), ["user_id", "hour_utc"])
+
+
+def q_row_counts(spark, d):
+    raw = profiles.row_count(events(spark, d)).select(F.lit("raw").alias("layer"), "rows")
+    hourly = profiles.row_count(event_hour_keys(spark, d)).select(F.lit("hourly").alias("layer"), "rows")
+    return raw.unionByName(hourly)
+
+
+def q_rows_by_region(spark, d):
+    return profiles.counts_by(events(spark, d), ["event_type"])
+
+
+def q_daily_coverage(spark, d):
+    c = profiles.counts_by(events(spark, d), [F.to_date("ts").alias("day"), F.col("event_type")])
+    return c.orderBy("day", "event_type")
+
+
+def q_hour_coverage(spark, d):
+    return profiles.hour_coverage(events(spark, d), [F.to_date("ts").alias("day"), F.col("event_type")],
+                                  F.hour("ts"))
+
+
+def q_value_profile(spark, d):
+    return profiles.value_profile(events(spark, d), ["value"])
+
+
+def q_time_range(spark, d):
+    return profiles.time_range(gold(spark, d), "hour_utc")
+
+
+def q_day_slice(spark, d):
+    ev = events(spark, d)
+    return ev.filter((F.col("event_type") == "click") & timecols.day_range("ts", SLICE_DAY, ntz=True))
+
+
+def q_required_not_null(spark, d):
+    return profiles.rows_with_nulls(orders_with_nulls(spark, d), NULLABLE_ORDERS)
+
+
+def q_utc_day_completeness(spark, d):
+    keys = event_hour_keys(spark, d)
+    members = keys.select("region").distinct()
+    return quality.day_exceptions(keys, "region", "hour_utc", members)
+
+
+def q_region_completeness(spark, d):
+    return profiles.member_sets(events(spark, d), "event_type", _members(spark, EXPECTED_TYPES))
+
+
+def q_qc_report(spark, d):
+    g = gold(spark, d)
+    ph = price_hourly(spark, d).select(*KEYS)
+    xh = weather_hourly(spark, d).select(*KEYS)
+    present_types = profiles.distinct_members(events(spark, d), "event_type")
+    return quality.report([
+        quality.check_keys(g, KEYS),
+        quality.check_members(g, "region", present_types, "Region completeness"),
+        quality.check_continuity(g, "region", "hour_utc"),
+        quality.check_mapped(g, ph, KEYS, "Gold keys map to price"),
+        quality.check_mapped(g, xh, KEYS, "Gold keys map to weather"),
+        quality.info_source_only(ph, g, KEYS, "Price-only keys"),
+        quality.info_source_only(xh, g, KEYS, "Weather-only keys"),
+        quality.check_not_null(g, GOLD_REQUIRED),
+        quality.check_day_completeness(g, "region", "hour_utc", present_types),
+        quality.info_time_range(g, "hour_utc"),
+    ])
+
+
+def q_local_time_parts(spark, d):
+    ev = events(spark, d).select("event_id", "ts")
+    return silver.time_parts(ev, "ts", ZONE, ntz=True).select(
+        "event_id", "ts", "local_time", "local_date", "local_hour")
+
+
+def q_dst_local_day_counts(spark, d):
+    o = table(spark, d, "orders")
+    spine = grids.hour_spine_of(o, F.min("o_orderdate"),
+                                F.max("o_orderdate") + F.expr("INTERVAL 23 HOURS"), out="hour_utc")
+    local = spine.select(F.to_date(timecols.to_local_wall("hour_utc", ZONE)).alias("local_date"))
+    return profiles.counts_by(local, ["local_date"], "hours")
+
+
+def q_parse_offset_timestamp(spark, d):
+    ev = events(spark, d)
+    text = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"),
+                    F.lit("+02:00"))
+    return ev.select("event_id", timecols.utc_wall(timecols.parse_offset_instant(text)).alias("parsed"))
+
+
+def q_array_zip_rows(spark, d):
+    e = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    return arrays.zip_explode(e, ["vec_id"], {"component": "embedding"}, index="idx")
+
+
+def q_location_enrich(spark, d):
+    return customer_regions(spark, d)
+
+
+def q_silver_projection(spark, d):
+    ev = events(spark, d).select("event_id", F.col("event_type").alias("region"), "ts", "value")
+    return silver.time_parts(ev, "ts", ZONE, ntz=True).drop("local_time")
+
+
+def q_monthly_trend(spark, d):
+    o = orders_by_region(spark, d)
+    return analytics.monthly_trend(o, "region", "o_orderdate", "o_totalprice", mean_scale=2)
+
+
+def q_daily_observations(spark, d):
+    return analytics.daily_observations(gold(spark, d), "region", "hour_utc", ["price", "temperature"])
+
+
+def q_region_correlation(spark, d):
+    return analytics.correlation(gold(spark, d), "region", "price", "temperature",
+                                 out="corr_price_temperature")
+
+
+def q_region_spread(spark, d):
+    return analytics.pair_spread(gold(spark, d), "region", "hour_utc", "price", "click", "view")
+
+
+def q_region_level(spark, d):
+    return analytics.level_vs_overall(gold(spark, d), "region", "price")
+
+
+def q_price_volatility(spark, d):
+    return analytics.volatility(price_hourly(spark, d), "region", "price")
+
+
+def q_seasonal_profile(spark, d):
+    return analytics.hour_of_day_profile(price_feed(spark, d), "ts", "price", mean_scale=2)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hourly_rollup": q_hourly_rollup,
     "gold_hourly_join": q_gold_hourly_join,
+    "overlap_range": q_overlap_range,
+    "anti_left_keys": q_anti_left_keys,
+    "anti_right_keys": q_anti_right_keys,
+    "existing_overlap": q_existing_overlap,
+    "hour_gaps": q_hour_gaps,
+    "hour_gaps_lag": q_hour_gaps_lag,
+    "worst_gaps_topk": q_worst_gaps_topk,
+    "continuity_breaks": q_continuity_breaks,
+    "missing_hours": q_missing_hours,
+    "upsert_merge": q_upsert_merge,
+    "latest_per_key": q_latest_per_key,
+    "increment_filter": q_increment_filter,
+    "increment_lookback": q_increment_lookback,
+    "increment_global": q_increment_global,
+    "high_water_mark": q_high_water_mark,
+    "latest_date": q_latest_date,
+    "date_spine": q_date_spine,
+    "missing_dates": q_missing_dates,
+    "null_profile": q_null_profile,
+    "invalid_members": q_invalid_members,
+    "distinct_members": q_distinct_members,
+    "invalid_interval": q_invalid_interval,
+    "duplicate_keys": q_duplicate_keys,
+    "duplicate_histogram": q_duplicate_histogram,
+    "distinct_keys": q_distinct_keys,
+    "row_counts": q_row_counts,
+    "rows_by_region": q_rows_by_region,
+    "daily_coverage": q_daily_coverage,
+    "hour_coverage": q_hour_coverage,
+    "value_profile": q_value_profile,
+    "time_range": q_time_range,
+    "day_slice": q_day_slice,
+    "required_not_null": q_required_not_null,
+    "utc_day_completeness": q_utc_day_completeness,
+    "region_completeness": q_region_completeness,
+    "qc_report": q_qc_report,
+    "local_time_parts": q_local_time_parts,
+    "dst_local_day_counts": q_dst_local_day_counts,
+    "parse_offset_timestamp": q_parse_offset_timestamp,
+    "array_zip_rows": q_array_zip_rows,
+    "location_enrich": q_location_enrich,
+    "silver_projection": q_silver_projection,
+    "monthly_trend": q_monthly_trend,
+    "daily_observations": q_daily_observations,
+    "region_correlation": q_region_correlation,
+    "region_spread": q_region_spread,
+    "region_level": q_region_level,
+    "price_volatility": q_price_volatility,
+    "seasonal_profile": q_seasonal_profile,
 }
 
 
@@ -125,4 +464,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    from gridmart.oracle import ORACLE
+    return {k: v for k, v in ORACLE.items() if k in QUERIES}

@@ -19,12 +19,18 @@ from gridmart.functions.timecols import between_closed
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      cache: bool = False) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unhinted and Spark shuffles both sides instead.
+    is returned unhinted and Spark shuffles both sides instead.  With
+    ``cache`` a derived frame (e.g. marks aggregated from a table) is cached
+    so the check and the join compute it once; a lost cache block is simply
+    recomputed from lineage.
     """
+    if cache:
+        df = df.cache()
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
