@@ -35,5 +35,7 @@ def length_mismatch(df: DataFrame, keep: list[str], arrays: list[str],
     for a in arrays:
         cond = F.size(a) != ref
         bad = cond if bad is None else (bad | cond)
-    return df.filter(bad).select(*keep, ref.alias(f"{reference}_len"),
-                                 *[F.size(a).alias(f"{a}_len") for a in arrays])
+    def name(a: str) -> str:
+        return a.replace(".", "_") + "_len"
+    return df.filter(bad).select(*keep, ref.alias(name(reference)),
+                                 *[F.size(a).alias(name(a)) for a in arrays])
