@@ -85,6 +85,29 @@ def hour_from_epoch(h: ColumnOrName, ntz: bool) -> Column:
     return ts.cast("timestamp_ntz") if ntz else ts
 
 
+# Partition periods of the layer tables.
+GRANULARITIES = ("day", "month")
+
+
+def period(date_col: ColumnOrName, granularity: str) -> Column:
+    """Partition value of a date: the date itself ("day") or the first day of
+    its month ("month")."""
+    if granularity == "day":
+        return _c(date_col)
+    if granularity == "month":
+        return F.trunc(_c(date_col), "month")
+    raise ValueError(f"granularity must be one of {GRANULARITIES}")
+
+
+def period_of(d: _dt.date, granularity: str) -> _dt.date:
+    """``period`` for a Python date (for pruning literals)."""
+    if granularity == "day":
+        return d
+    if granularity == "month":
+        return d.replace(day=1)
+    raise ValueError(f"granularity must be one of {GRANULARITIES}")
+
+
 def feed_local_date(c: ColumnOrName) -> Column:
     """Leading ``yyyy-MM-dd`` of raw feed text: the date as written in the
     feed's own zone, whatever the session zone.  NULL if malformed."""

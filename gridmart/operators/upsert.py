@@ -88,7 +88,7 @@ def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
             return 0
         writer_opts = {"partitionOverwriteMode": "dynamic"}
         if not _path_exists(spark, target_path):
-            (src.write.mode("overwrite").options(**writer_opts)
+            (src.hint("rebalance", partition_col).write.mode("overwrite").options(**writer_opts)
                 .partitionBy(partition_col).parquet(target_path))
             return n
         touched = src.select(partition_col).distinct()
@@ -101,7 +101,8 @@ def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
             target = target.join(touched, partition_col, "left_semi")
         merged = upsert_frame(target, src.select(*target.columns), keys, check_unique=False)
         stage = staging_path(spark, "upsert")
-        merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
+        (merged.hint("rebalance", partition_col)
+               .write.mode("overwrite").partitionBy(partition_col).parquet(stage))
         (spark.read.parquet(stage).select(*target.columns)
               .write.mode("overwrite").options(**writer_opts)
               .partitionBy(partition_col).parquet(target_path))

@@ -15,8 +15,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.functions.timecols import (as_instant, hour_key, utc_literal,
-                                         utc_wall)
+from gridmart.functions.timecols import (as_instant, hour_key, period,
+                                         period_of, utc_literal, utc_wall)
 from gridmart.operators import marks as marks_op
 from gridmart.operators.joins import keyed_join, overlap_bounds
 from gridmart.operators.rollup import hourly_rollup
@@ -41,27 +41,35 @@ def weather_hourly(silver_weather: DataFrame) -> DataFrame:
         "location", "latitude", "longitude", *WEATHER_MEASURES, "weather_code")
 
 
-def join_hourly(ph: DataFrame, wh: DataFrame) -> DataFrame:
+def join_hourly(ph: DataFrame, wh: DataFrame, granularity: str = "day") -> DataFrame:
     g = keyed_join(ph, wh, GOLD_KEYS)
-    return g.withColumn("hour_date", F.to_date(utc_wall("hour_utc"))).select(*GOLD_COLUMNS)
+    hour_date = period(F.to_date(utc_wall("hour_utc")), granularity)
+    return g.withColumn("hour_date", hour_date).select(*GOLD_COLUMNS)
 
 
-def _price_window(silver_prices: DataFrame, lo: _dt.datetime, hi_excl: _dt.datetime) -> DataFrame:
+def _parts_from(lo: _dt.datetime, granularity: str):
+    """Partition filter: periods at or after the one holding ``lo``."""
+    return F.col("utc_date") >= F.lit(period_of(lo.date(), granularity))
+
+
+def _price_window(silver_prices: DataFrame, lo: _dt.datetime, hi_excl: _dt.datetime,
+                  granularity: str) -> DataFrame:
     """Price rows with ``lo <= time_start < hi_excl`` (UTC walls), pruned on
     the partition column too."""
     return silver_prices.filter(
         (F.col("time_start") >= utc_literal(lo, ntz=False))
         & (F.col("time_start") < utc_literal(hi_excl, ntz=False))
-        & (F.col("utc_date") >= F.lit(lo.date()))
-        & (F.col("utc_date") <= F.lit(hi_excl.date())))
+        & _parts_from(lo, granularity)
+        & (F.col("utc_date") <= F.lit(period_of(hi_excl.date(), granularity))))
 
 
-def _weather_window(silver_weather: DataFrame, lo: _dt.datetime, hi_excl: _dt.datetime) -> DataFrame:
+def _weather_window(silver_weather: DataFrame, lo: _dt.datetime, hi_excl: _dt.datetime,
+                    granularity: str) -> DataFrame:
     return silver_weather.filter(
         (F.col("weather_time_utc") >= utc_literal(lo, ntz=True))
         & (F.col("weather_time_utc") < utc_literal(hi_excl, ntz=True))
-        & (F.col("utc_date") >= F.lit(lo.date()))
-        & (F.col("utc_date") <= F.lit(hi_excl.date())))
+        & _parts_from(lo, granularity)
+        & (F.col("utc_date") <= F.lit(period_of(hi_excl.date(), granularity))))
 
 
 def common_range(silver_prices: DataFrame, silver_weather: DataFrame):
@@ -71,19 +79,21 @@ def common_range(silver_prices: DataFrame, silver_weather: DataFrame):
     return overlap_bounds(p, "h", w, "h")
 
 
-def build(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame) -> DataFrame:
+def build(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame,
+          granularity: str = "day") -> DataFrame:
     """Full gold over the common hour range of the two feeds."""
     lo, hi = common_range(silver_prices, silver_weather)
     if lo is None:
         return spark.createDataFrame([], GOLD)
-    ph = price_hourly(_price_window(silver_prices, lo, hi + HOUR))
-    wh = weather_hourly(_weather_window(silver_weather, lo, hi + HOUR))
-    return join_hourly(ph, wh)
+    ph = price_hourly(_price_window(silver_prices, lo, hi + HOUR, granularity))
+    wh = weather_hourly(_weather_window(silver_weather, lo, hi + HOUR, granularity))
+    return join_hourly(ph, wh, granularity)
 
 
 def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame,
               gold_target: DataFrame | None, *, lookback: _dt.timedelta | None = None,
-              mark_scope: str = "region", expected_regions: list[str] = REGIONS) -> DataFrame:
+              mark_scope: str = "region", expected_regions: list[str] = REGIONS,
+              granularity: str = "day") -> DataFrame:
     """Gold rows for the hours after each region's high-water mark.
 
     mark_scope "region": one mark per region (a lagging region is caught up);
@@ -92,20 +102,20 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
     gold through the upsert.  No target / no mark -> everything.
     """
     if gold_target is None:
-        return build(spark, silver_prices, silver_weather)
+        return build(spark, silver_prices, silver_weather, granularity)
     sp = silver_prices.withColumn("_hour", hour_key("time_start", ntz=False))
     sw = silver_weather.withColumn("_hour", hour_key(as_instant("weather_time_utc"), ntz=False))
     back = lookback or _dt.timedelta(0)
     if mark_scope == "global":
         mark = gold_target.agg(F.max(utc_wall("hour_utc")).alias("m")).first()["m"]
         if mark is None:
-            return build(spark, silver_prices, silver_weather)
+            return build(spark, silver_prices, silver_weather, granularity)
         lo = mark - back + HOUR
         ph = price_hourly(sp.filter((F.col("_hour") > utc_literal(mark - back, ntz=False))
-                                    & (F.col("utc_date") >= F.lit(lo.date()))).drop("_hour"))
+                                    & _parts_from(lo, granularity)).drop("_hour"))
         wh = weather_hourly(sw.filter((F.col("_hour") > utc_literal(mark - back, ntz=False))
-                                      & (F.col("utc_date") >= F.lit(lo.date()))).drop("_hour"))
-        return join_hourly(ph, wh)
+                                      & _parts_from(lo, granularity)).drop("_hour"))
+        return join_hourly(ph, wh, granularity)
     marks = marks_op.high_water_marks(gold_target, "region", "hour_utc")
     # A literal lower bound for pruning is safe only when every expected
     # region has a mark (a region without one takes all of its history).
@@ -113,10 +123,8 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
                   F.count_if(F.col("region").isin(expected_regions)).alias("n")).first()
     if s["lo"] is not None and s["n"] >= len(set(expected_regions)):
         floor = s["lo"] - back
-        sp = sp.filter((F.col("_hour") > utc_literal(floor, ntz=False))
-                       & (F.col("utc_date") >= F.lit(floor.date())))
-        sw = sw.filter((F.col("_hour") > utc_literal(floor, ntz=False))
-                       & (F.col("utc_date") >= F.lit(floor.date())))
+        sp = sp.filter((F.col("_hour") > utc_literal(floor, ntz=False)) & _parts_from(floor, granularity))
+        sw = sw.filter((F.col("_hour") > utc_literal(floor, ntz=False)) & _parts_from(floor, granularity))
     new_p = marks_op.increment(sp, marks, "region", "_hour", lookback=lookback)
     new_w = marks_op.increment(sw, marks, "region", "_hour", lookback=lookback)
-    return join_hourly(price_hourly(new_p.drop("_hour")), weather_hourly(new_w.drop("_hour")))
+    return join_hourly(price_hourly(new_p.drop("_hour")), weather_hourly(new_w.drop("_hour")), granularity)

@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.functions.timecols import parse_offset_instant, parse_wall_ntz, utc_wall
+from gridmart.functions.timecols import parse_offset_instant, parse_wall_ntz, period_of, utc_wall
 from gridmart.operators import marks as marks_op
 from gridmart.operators import quality
 from gridmart.operators.rollup import hour_keys
@@ -34,13 +34,25 @@ from gridmart.sources.tables import Layout
 DST_DAYS = ["2025-10-26", "2026-03-29"]
 
 
-def _bronze_price(spark: SparkSession, price_landing: str) -> DataFrame:
-    return landing.price_bronze(landing.read_price_landing(spark, price_landing))
+def _bronze_price(spark: SparkSession, price_landing: str, since=None, granularity="day") -> DataFrame:
+    return landing.price_bronze(landing.read_price_landing(spark, price_landing, since),
+                                granularity=granularity)
 
 
-def _bronze_weather(spark: SparkSession, weather_landing: str) -> DataFrame:
-    return landing.weather_bronze(landing.read_weather_landing(spark, weather_landing),
-                                  landing.locations(spark))
+def _bronze_weather(spark: SparkSession, weather_landing: str, since=None, granularity="day") -> DataFrame:
+    return landing.weather_bronze(landing.read_weather_landing(spark, weather_landing, since),
+                                  landing.locations(spark), granularity=granularity)
+
+
+def landed_since(spark: SparkSession, bronze_path: str, margin: _dt.timedelta):
+    """Files to ingest are those modified after the previous load started
+    (less ``margin`` for clock skew between storage and driver); None when
+    the bronze table does not exist yet (read everything)."""
+    b = tables.read(spark, bronze_path)
+    if b is None:
+        return None
+    last = b.agg(F.max(utc_wall("ingestion_time")).alias("t")).first()["t"]
+    return None if last is None else last - margin
 
 
 def run_backfill(spark: SparkSession, layout: Layout, price_landing: str,
@@ -49,22 +61,24 @@ def run_backfill(spark: SparkSession, layout: Layout, price_landing: str,
     per table."""
     assert_utc(spark)
     out = {}
-    out["bronze_price"] = tables.overwrite(_bronze_price(spark, price_landing),
+    g = layout.granularity
+    out["bronze_price"] = tables.overwrite(_bronze_price(spark, price_landing, granularity=g),
                                            layout.bronze_price, "feed_date")
-    out["bronze_weather"] = tables.overwrite(_bronze_weather(spark, weather_landing),
+    out["bronze_weather"] = tables.overwrite(_bronze_weather(spark, weather_landing, granularity=g),
                                              layout.bronze_weather, "feed_date")
     bp = spark.read.parquet(layout.bronze_price)
     bw = spark.read.parquet(layout.bronze_weather)
-    out["silver_price"] = tables.overwrite(silver_plan.prices(bp, zone), layout.silver_price, "utc_date")
-    out["silver_weather"] = tables.overwrite(silver_plan.weather(bw, zone), layout.silver_weather, "utc_date")
+    out["silver_price"] = tables.overwrite(silver_plan.prices(bp, zone, g), layout.silver_price, "utc_date")
+    out["silver_weather"] = tables.overwrite(silver_plan.weather(bw, zone, g), layout.silver_weather,
+                                             "utc_date")
     sp = spark.read.parquet(layout.silver_price)
     sw = spark.read.parquet(layout.silver_weather)
-    out["gold"] = tables.overwrite(gold_plan.build(spark, sp, sw), layout.gold, "hour_date")
+    out["gold"] = tables.overwrite(gold_plan.build(spark, sp, sw, g), layout.gold, "hour_date")
     return out
 
 
 def _silver_increment(bronze: DataFrame, silver_target: DataFrame | None, key: str,
-                      parsed_time, lookback: _dt.timedelta | None) -> DataFrame:
+                      parsed_time, lookback: _dt.timedelta | None, granularity: str) -> DataFrame:
     """Bronze rows after each region's silver mark (minus lookback)."""
     b = bronze.withColumn("_t", parsed_time)
     if silver_target is None:
@@ -77,44 +91,51 @@ def _silver_increment(bronze: DataFrame, silver_target: DataFrame | None, key: s
               F.count_if(F.col("region").isin(REGIONS)).alias("n")).first()
     if s["lo"] is not None and s["n"] >= len(REGIONS):
         floor = s["lo"] - (lookback or _dt.timedelta(0)) - _dt.timedelta(days=1)
-        b = b.filter(F.col("feed_date") >= F.lit(floor.date()))
+        b = b.filter(F.col("feed_date") >= F.lit(period_of(floor.date(), granularity)))
     return marks_op.increment(b, m, "region", "_t", lookback=lookback).drop("_t")
 
 
 def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
                   weather_landing: str, *, lookback: _dt.timedelta | None = _dt.timedelta(days=2),
-                  mark_scope: str = "region", zone: str = LOCAL_ZONE) -> dict[str, int]:
-    """Upsert newly landed (or corrected) files through all layers.
+                  mark_scope: str = "region", zone: str = LOCAL_ZONE,
+                  landing_margin: _dt.timedelta = _dt.timedelta(hours=1)) -> dict[str, int]:
+    """Upsert newly landed (or corrected, i.e. re-landed) files through all
+    layers.
 
     ``lookback``: how much history before each region's mark is re-derived
-    (None: strictly after the mark, as the original pipeline).
+    (None: strictly after the mark, as the original pipeline).  Only landing
+    files modified since the previous load are read; the upsert makes a
+    re-read file idempotent.
     """
     assert_utc(spark)
     out = {}
-    # bronze: land everything under the landing folders; the upsert makes
-    # re-landed files idempotent and a re-delivered file wins by load time.
-    bp = latest_per_key(_bronze_price(spark, price_landing), BRONZE_PRICE_KEYS, "ingestion_time")
+    since_p = landed_since(spark, layout.bronze_price, landing_margin)
+    since_w = landed_since(spark, layout.bronze_weather, landing_margin)
+    g = layout.granularity
+    bp = latest_per_key(_bronze_price(spark, price_landing, since_p, g), BRONZE_PRICE_KEYS, "ingestion_time")
     out["bronze_price"] = upsert_path(spark, layout.bronze_price, bp, BRONZE_PRICE_KEYS, "feed_date")
-    bw = latest_per_key(_bronze_weather(spark, weather_landing), BRONZE_WEATHER_KEYS, "ingestion_time")
+    bw = latest_per_key(_bronze_weather(spark, weather_landing, since_w, g), BRONZE_WEATHER_KEYS,
+                        "ingestion_time")
     out["bronze_weather"] = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS, "feed_date")
 
     # silver
     sp_t = tables.read(spark, layout.silver_price)
     new_bp = _silver_increment(spark.read.parquet(layout.bronze_price), sp_t, "time_start",
-                               parse_offset_instant("time_start"), lookback)
-    out["silver_price"] = upsert_path(spark, layout.silver_price, silver_plan.prices(new_bp, zone),
+                               parse_offset_instant("time_start"), lookback, g)
+    out["silver_price"] = upsert_path(spark, layout.silver_price, silver_plan.prices(new_bp, zone, g),
                                       SILVER_PRICE_KEYS, "utc_date")
     sw_t = tables.read(spark, layout.silver_weather)
     new_bw = _silver_increment(spark.read.parquet(layout.bronze_weather), sw_t, "weather_time_utc",
-                               parse_wall_ntz("weather_time_utc"), lookback)
-    out["silver_weather"] = upsert_path(spark, layout.silver_weather, silver_plan.weather(new_bw, zone),
+                               parse_wall_ntz("weather_time_utc"), lookback, g)
+    out["silver_weather"] = upsert_path(spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g),
                                         SILVER_WEATHER_KEYS, "utc_date")
 
     # gold
     sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
     sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
     g_t = tables.read(spark, layout.gold)
-    new_g = gold_plan.increment(spark, sp, sw, g_t, lookback=lookback, mark_scope=mark_scope)
+    new_g = gold_plan.increment(spark, sp, sw, g_t, lookback=lookback, mark_scope=mark_scope,
+                                granularity=g)
     out["gold"] = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
     return out
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.functions.timecols import (parse_offset_instant, parse_wall_ntz,
-                                         to_local_wall, utc_wall)
+                                         period, to_local_wall, utc_wall)
 from gridmart.schemas import LOCAL_ZONE, SILVER_PRICE, SILVER_WEATHER, WEATHER_MEASURES
 
 
@@ -34,7 +34,7 @@ def time_parts(df: DataFrame, time_col: str, zone: str = LOCAL_ZONE, *, ntz: boo
     })
 
 
-def prices(bronze: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+def prices(bronze: DataFrame, zone: str = LOCAL_ZONE, granularity: str = "day") -> DataFrame:
     """Price bronze -> price silver (interval instants, local date/hour)."""
     typed = bronze.withColumns({
         "time_start": parse_offset_instant("time_start"),
@@ -44,12 +44,12 @@ def prices(bronze: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     out = typed.withColumns({
         "price_date": F.to_date(local),
         "price_hour": F.hour(local),
-        "utc_date": F.to_date(utc_wall("time_start")),
+        "utc_date": period(F.to_date(utc_wall("time_start")), granularity),
     })
     return out.select(*SILVER_PRICE.fieldNames())
 
 
-def weather(bronze: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+def weather(bronze: DataFrame, zone: str = LOCAL_ZONE, granularity: str = "day") -> DataFrame:
     """Weather bronze -> weather silver (UTC and local wall clocks, NTZ)."""
     typed = bronze.withColumn("weather_time_utc", parse_wall_ntz("weather_time_utc"))
     local = to_local_wall("weather_time_utc", zone)
@@ -57,7 +57,7 @@ def weather(bronze: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
         "weather_time_local": local,
         "weather_date": F.to_date(local),
         "weather_hour": F.hour(local),
-        "utc_date": F.to_date("weather_time_utc"),
+        "utc_date": period(F.to_date("weather_time_utc"), granularity),
     })
     return out.select(*SILVER_WEATHER.fieldNames())
 

@@ -48,10 +48,24 @@ def get_session(app_name: str = "gridmart", master: str | None = None,
     # getOrCreate may hand back an existing session; enforce the pin.
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    tune_listing(spark)
     assert_utc(spark)
     return spark
 
 
+def tune_listing(spark: SparkSession) -> None:
+    """Bound the tasks of the parallel partition-discovery job.
+
+    Layers are partitioned by day; reading one lists every day folder, and
+    by default Spark runs one listing task per folder (up to 10,000).  Unless
+    the cluster sets its own value, use the default parallelism: every core
+    lists a share of the folders instead of paying task overhead per folder.
+    """
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.sparkContext.getConf().get(key, None) is None:
+        spark.conf.set(key, str(max(8, spark.sparkContext.defaultParallelism)))
+
+
 def assert_utc(spark: SparkSession) -> None:
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "Z", "+00:00", "GMT"):

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.functions.timecols import feed_local_date
+from gridmart.functions.timecols import feed_local_date, period
 from gridmart.operators.arrays import length_mismatch, zip_explode
 from gridmart.operators.joins import bounded_broadcast
 from gridmart.schemas import (BRONZE_PRICE, BRONZE_WEATHER, LOCATION_SCHEMA,
@@ -44,23 +44,28 @@ def with_file_tags(df: DataFrame) -> DataFrame:
     return df.withColumns({"region": file_region(p), "file_date": file_date(p)})
 
 
-def _json_reader(spark: SparkSession, schema):
-    return (spark.read.schema(schema)
-            .option("multiLine", True)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json"))
+def _json_reader(spark: SparkSession, schema, modified_after=None):
+    r = (spark.read.schema(schema)
+         .option("multiLine", True)
+         .option("recursiveFileLookup", True)
+         .option("pathGlobFilter", "*.json"))
+    if modified_after is not None:
+        # filtered while listing: older files are never opened
+        r = r.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
+    return r
 
 
-def read_price_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Interval records of every price file under ``path``, with region and
-    file date."""
-    return with_file_tags(_json_reader(spark, PRICE_FEED).json(path))
+def read_price_landing(spark: SparkSession, path: str, modified_after=None) -> DataFrame:
+    """Interval records of every price file under ``path`` (only files
+    modified after ``modified_after``, a UTC datetime, if given), with region
+    and file date."""
+    return with_file_tags(_json_reader(spark, PRICE_FEED, modified_after).json(path))
 
 
-def read_weather_landing(spark: SparkSession, path: str) -> DataFrame:
+def read_weather_landing(spark: SparkSession, path: str, modified_after=None) -> DataFrame:
     """One row per weather file (struct of hourly arrays), with region and
     file date."""
-    return with_file_tags(_json_reader(spark, WEATHER_FEED).json(path))
+    return with_file_tags(_json_reader(spark, WEATHER_FEED, modified_after).json(path))
 
 
 def locations(spark: SparkSession) -> DataFrame:
@@ -73,13 +78,13 @@ def audit(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"ingestion_time": F.current_timestamp(), "source": F.lit(source)})
 
 
-def price_bronze(records: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
+def price_bronze(records: DataFrame, source: str = PRICE_SOURCE, granularity: str = "day") -> DataFrame:
     """Landing records -> price bronze rows (raw text times kept as text).
 
-    ``feed_date`` (partition column) is the date as written at the start of
-    ``time_start``, so it is a function of the key.
+    ``feed_date`` (partition column) is the period (day or month) of the date
+    as written at the start of ``time_start``, so it is a function of the key.
     """
-    out = audit(records, source).withColumn("feed_date", feed_local_date("time_start"))
+    out = audit(records, source).withColumn("feed_date", period(feed_local_date("time_start"), granularity))
     return out.select(*BRONZE_PRICE.fieldNames())
 
 
@@ -97,10 +102,11 @@ def weather_length_mismatch(files: DataFrame) -> DataFrame:
                            [f"hourly.{v}" for v in WEATHER_VARIABLES], "hourly.time")
 
 
-def weather_bronze(files: DataFrame, dim: DataFrame, source: str = WEATHER_SOURCE) -> DataFrame:
+def weather_bronze(files: DataFrame, dim: DataFrame, source: str = WEATHER_SOURCE,
+                   granularity: str = "day") -> DataFrame:
     """Weather files -> weather bronze rows, tagged with location and
     coordinates from the (broadcast, size-checked) location dimension."""
     rows = weather_rows(files)
     tagged = rows.join(bounded_broadcast(dim), "region", "left")
-    out = audit(tagged, source).withColumn("feed_date", feed_local_date("weather_time_utc"))
+    out = audit(tagged, source).withColumn("feed_date", period(feed_local_date("weather_time_utc"), granularity))
     return out.select(*BRONZE_WEATHER.fieldNames())

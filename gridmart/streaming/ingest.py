@@ -36,13 +36,16 @@ def _file_stream(spark: SparkSession, schema, path: str, max_files: int | None)
     return landing.with_file_tags(r.json(path))
 
 
-def price_landing_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    return landing.price_bronze(_file_stream(spark, PRICE_FEED, path, max_files))
+def price_landing_stream(spark: SparkSession, path: str, max_files: int | None = None,
+                         granularity: str = "day") -> DataFrame:
+    return landing.price_bronze(_file_stream(spark, PRICE_FEED, path, max_files),
+                                granularity=granularity)
 
 
-def weather_landing_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def weather_landing_stream(spark: SparkSession, path: str, max_files: int | None = None,
+                           granularity: str = "day") -> DataFrame:
     return landing.weather_bronze(_file_stream(spark, WEATHER_FEED, path, max_files),
-                                  landing.locations(spark))
+                                  landing.locations(spark), granularity=granularity)
 
 
 def _upsert_batch(target: str, keys: list[str], partition_col: str):
@@ -54,12 +57,13 @@ def _upsert_batch(target: str, keys: list[str], partition_col: str):
 
 def landing_to_bronze(spark: SparkSession, feed: str, landing_path: str, bronze_path: str,
                       checkpoint: str | None = None, available_now: bool = True,
-                      max_files: int | None = None) -> StreamingQuery:
+                      max_files: int | None = None, granularity: str = "day") -> StreamingQuery:
     """Start the landing -> bronze stream for ``feed`` ("price" or "weather")."""
     if feed == "price":
-        stream, keys = price_landing_stream(spark, landing_path, max_files), BRONZE_PRICE_KEYS
+        stream, keys = price_landing_stream(spark, landing_path, max_files, granularity), BRONZE_PRICE_KEYS
     elif feed == "weather":
-        stream, keys = weather_landing_stream(spark, landing_path, max_files), BRONZE_WEATHER_KEYS
+        stream = weather_landing_stream(spark, landing_path, max_files, granularity)
+        keys = BRONZE_WEATHER_KEYS
     else:
         raise ValueError(f"unknown feed {feed!r}")
     ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/gridmart-streams/{feed}-bronze"

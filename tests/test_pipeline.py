@@ -137,3 +137,20 @@ def test_session_zone_must_be_utc(spark, scratch):
             jobs.run_backfill(spark, layout, pl, wl)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_month_partitions_split_history(spark, scratch):
+    pl, wl, _ = _setup(scratch, n_days=3, start=dt.date(2024, 5, 30))   # spans May/June
+    full = Layout(os.path.join(scratch, "full"), "month")
+    jobs.run_backfill(spark, full, pl, wl)
+    assert sorted(r.hour_date.isoformat() for r in
+                  spark.read.parquet(full.gold).select("hour_date").distinct().collect()) == \
+        ["2024-05-01", "2024-06-01"]
+    pl2, wl2 = os.path.join(scratch, "p2"), os.path.join(scratch, "w2")
+    feeds.write_feeds(pl2, wl2, [dt.date(2024, 5, 30), dt.date(2024, 5, 31)])
+    part = Layout(os.path.join(scratch, "part"), "month")
+    jobs.run_backfill(spark, part, pl2, wl2)
+    feeds.write_feeds(pl2, wl2, [dt.date(2024, 6, 1)])
+    jobs.run_increment(spark, part, pl2, wl2)
+    assert _gold_rows(spark, part) == _gold_rows(spark, full)
+    jobs.gate(spark, part)
