@@ -59,13 +59,17 @@ def duplicate_histogram(df: DataFrame, keys: list[str]) -> DataFrame:
             .groupBy("copies").agg(F.count(F.lit(1)).alias("keys")))
 
 
-def key_stats(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: rows, distinct keys, keys with duplicates -- one shuffle."""
-    per_key = counts_by(df, keys, "_n")
-    return per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
-        F.count(F.lit(1)).alias("distinct_keys"),
-        F.count_if(F.col("_n") > 1).alias("duplicate_keys"))
+def key_stats(df: DataFrame, keys: list[str], time_col: str | None = None) -> DataFrame:
+    """One row: rows, distinct keys, keys with duplicates (and the latest
+    ``time_col`` if given) -- one shuffle over per-key partial counts."""
+    extra = [F.max(time_col).alias("_t")] if time_col else []
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra)
+    out = [F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
+           F.count(F.lit(1)).alias("distinct_keys"),
+           F.count_if(F.col("_n") > 1).alias("duplicate_keys")]
+    if time_col:
+        out.append(F.max("_t").alias(f"max_{time_col}"))
+    return per_key.agg(*out)
 
 
 def distinct_members(df: DataFrame, col: str) -> DataFrame:

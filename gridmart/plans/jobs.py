@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.timecols import parse_offset_instant, parse_wall_ntz, period_of, utc_wall
 from gridmart.operators import marks as marks_op
-from gridmart.operators import quality
+from gridmart.operators import profiles, quality
 from gridmart.operators.rollup import hour_keys
 from gridmart.operators.upsert import latest_per_key, upsert_path
 from gridmart.plans import gold as gold_plan
@@ -140,6 +140,24 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
     return out
 
 
+def merge_summary(spark: SparkSession, layout: Layout) -> dict[str, dict]:
+    """Post-merge re-check of every layer: rows, distinct keys, duplicated
+    keys and the latest time (informational; one aggregation per table)."""
+    specs = {
+        "bronze_price": (layout.bronze_price, BRONZE_PRICE_KEYS, "time_start"),
+        "bronze_weather": (layout.bronze_weather, BRONZE_WEATHER_KEYS, "weather_time_utc"),
+        "silver_price": (layout.silver_price, SILVER_PRICE_KEYS, "time_start"),
+        "silver_weather": (layout.silver_weather, SILVER_WEATHER_KEYS, "weather_time_utc"),
+        "gold": (layout.gold, GOLD_KEYS, "hour_utc"),
+    }
+    out = {}
+    for name, (path, keys, t) in specs.items():
+        df = tables.read(spark, path)
+        if df is not None:
+            out[name] = profiles.key_stats(df, keys, t).first().asDict()
+    return out
+
+
 def gate_report(spark: SparkSession, layout: Layout, expected_regions: list[str] = REGIONS,
                 dst_days: list[str] | None = DST_DAYS) -> DataFrame:
     """The gold quality report (check, status, detail).

@@ -51,3 +51,16 @@ def test_overwrite_counts_rows_with_observation(spark, scratch):
     assert tables.overwrite(df, os.path.join(scratch, "t"), "d") == 10
     assert tables.append(df, os.path.join(scratch, "t"), "d") == 10
     assert spark.read.parquet(os.path.join(scratch, "t")).count() == 20
+
+
+def test_catalog_database_and_views(spark, scratch):
+    from gridmart.sources.tables import Layout, create_database, register_views, save_table
+    create_database(spark, "gm_test", location=os.path.join(scratch, "db"))
+    df = spark.range(5).withColumn("d", F.lit(dt.date(2024, 1, 1)))
+    save_table(df, "gm_test", "t", "d")
+    assert spark.table("gm_test.t").count() == 5
+    layout = Layout(os.path.join(scratch, "tables"))
+    tables.overwrite(df, layout.gold, "d")
+    assert register_views(spark, layout, prefix="v_") == ["v_gold"]
+    assert spark.sql("SELECT count(*) AS n FROM v_gold").first().n == 5
+    spark.sql("DROP DATABASE gm_test CASCADE")

@@ -61,6 +61,10 @@ def test_increment_adds_new_days_and_is_idempotent(spark, scratch):
     jobs.run_increment(spark, layout, pl, wl)          # same input again (C20)
     assert _gold_rows(spark, layout) == first
     jobs.gate(spark, layout)
+    summary = jobs.merge_summary(spark, layout)        # Q19
+    assert summary["gold"]["rows"] == summary["gold"]["distinct_keys"] == 3 * 96
+    assert all(s["duplicate_keys"] == 0 for s in summary.values())
+    assert summary["gold"]["max_hour_utc"] == dt.datetime(2024, 5, 12, 23)
 
 
 def test_increment_on_empty_target_takes_everything(spark, scratch):
