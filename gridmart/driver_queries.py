@@ -329,10 +329,7 @@ def q_qc_report(spark, d):
         quality.check_keys(g, KEYS),
         quality.check_members(g, "region", present_types, "Region completeness"),
         quality.check_continuity(g, "region", "hour_utc"),
-        quality.check_mapped(g, ph, KEYS, "Gold keys map to price"),
-        quality.check_mapped(g, xh, KEYS, "Gold keys map to weather"),
-        quality.info_source_only(ph, g, KEYS, "Price-only keys"),
-        quality.info_source_only(xh, g, KEYS, "Weather-only keys"),
+        quality.check_mappings(g, {"price": ph, "weather": xh}, KEYS),
         quality.check_not_null(g, GOLD_REQUIRED),
         quality.check_day_completeness(g, "region", "hour_utc", present_types),
         quality.info_time_range(g, "hour_utc"),

@@ -91,6 +91,44 @@ def info_source_only(source_keys: DataFrame, df: DataFrame, keys: list[str], nam
     return _one(agg, name, F.lit("INFO"), F.format_string("source_only_keys=%d", "n"))
 
 
+def key_presence(frames: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """One row per distinct key over all ``frames`` with one boolean column
+    ``in_<name>`` per frame.
+
+    A union of the key columns tagged by frame, grouped by key: one shuffle
+    of partial aggregates (a hot key is combined map-side), instead of one
+    anti-join per pair of frames.
+    """
+    names = list(frames)
+    tagged = [f.select(*keys, F.lit(1 << i).alias("_bit")) for i, f in enumerate(frames.values())]
+    u = functools.reduce(lambda a, b: a.unionByName(b), tagged)
+    per_key = u.groupBy(*keys).agg(F.bit_or("_bit").alias("_mask"))
+    return per_key.select(*keys, *[((F.col("_mask").bitwiseAND(F.lit(1 << i))) != 0).alias(f"in_{n}")
+                                   for i, n in enumerate(names)])
+
+
+def check_mappings(df: DataFrame, sources: dict[str, DataFrame], keys: list[str],
+                   label: str = "Gold") -> DataFrame:
+    """For every source: keys of ``df`` missing in it (enforced) and its keys
+    missing in ``df`` (informational), all from one ``key_presence`` pass."""
+    p = key_presence({"_target": df, **sources}, keys)
+    aggs = []
+    for n in sources:
+        aggs.append(F.count_if(F.col("in__target") & ~F.col(f"in_{n}")).alias(f"miss_{n}"))
+        aggs.append(F.count_if(F.col(f"in_{n}") & ~F.col("in__target")).alias(f"only_{n}"))
+    a = p.agg(*aggs)
+    rows = []
+    for n in sources:
+        rows.append(F.struct(F.lit(f"{label} keys map to {n}").alias("check"),
+                             _status(F.col(f"miss_{n}") == 0).alias("status"),
+                             F.format_string("missing_keys=%d", f"miss_{n}").alias("detail")))
+    for n in sources:
+        rows.append(F.struct(F.lit(f"{n.capitalize()}-only keys").alias("check"),
+                             F.lit("INFO").alias("status"),
+                             F.format_string("source_only_keys=%d", f"only_{n}").alias("detail")))
+    return a.select(F.inline(F.array(*rows)))
+
+
 def check_not_null(df: DataFrame, columns: list[str], name: str = "Required fields not null") -> DataFrame:
     agg = df.agg(F.count_if(any_null(columns)).alias("n"))
     return _one(agg, name, _status(F.col("n") == 0),
