@@ -38,6 +38,29 @@ def test_gap_forms_agree(spark, hours_by_region):
     assert gaps.gap_starts(k, "region", "hour_utc").count() == len(lag)
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60)), min_size=1, max_size=40))
+def test_gap_forms_agree_with_repeated_hours(spark, pairs):
+    rows = [(r, H0 + dt.timedelta(hours=h)) for r, h in pairs]
+    k = spark.createDataFrame(rows, "region string, hour_utc timestamp_ntz")
+    lag = sorted(tuple(r) for r in gaps.lag_gaps(k, "region", "hour_utc").collect())
+    seg = sorted(tuple(r) for r in gaps.segmented_gaps(k, "region", "hour_utc", segment_hours=5).collect())
+    assert lag == seg                                   # repeated hours show as gap 0 in both
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.sets(st.integers(0, 30), max_size=15), st.sets(st.integers(0, 30), max_size=15))
+def test_upsert_twice_equals_once(spark, target_ids, source_ids):
+    t = spark.createDataFrame([(i, float(i)) for i in sorted(target_ids)], "id long, v double")
+    s = spark.createDataFrame([(i, -float(i)) for i in sorted(source_ids)], "id long, v double")
+    once = upsert.upsert_frame(t, s, ["id"])
+    twice = upsert.upsert_frame(once, s, ["id"])
+    got = sorted(tuple(r) for r in once.collect())
+    assert got == sorted(tuple(r) for r in twice.collect())
+    expect = {i: float(i) for i in target_ids} | {i: -float(i) for i in source_ids}
+    assert got == sorted(expect.items())
+
+
 def test_gaps_see_interior_only_grid_sees_tail(spark):
     k = _keys(spark, {"a": [0, 1, 2, 4, 5], "b": [0, 1, 2, 3, 4, 5], "c": [0, 1, 2, 3]})
     g = gaps.segmented_gaps(k, "region", "hour_utc").collect()
