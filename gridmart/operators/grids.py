@@ -70,9 +70,14 @@ def absent_from(grid: DataFrame, present: DataFrame, keys: list[str]) -> DataFra
 
 def whole_day_bounds(df: DataFrame, time_col: str):
     """First hour of the first UTC day and last hour of the last UTC day of
-    ``time_col``, as two collected scalars (one small job)."""
-    r = df.agg(F.date_trunc("day", F.min(time_col)).alias("lo"),
-               F.date_trunc("day", F.max(time_col)).alias("hi")).first()
+    ``time_col``, as two collected UTC wall clocks (one small job).
+
+    ``date_trunc`` returns TIMESTAMP even for NTZ input, and PySpark turns a
+    collected TIMESTAMP into a wall clock of the Python process zone; the
+    cast to NTZ (UTC under the pin) keeps the bounds zone-independent.
+    """
+    r = df.agg(F.date_trunc("day", F.min(time_col)).cast("timestamp_ntz").alias("lo"),
+               F.date_trunc("day", F.max(time_col)).cast("timestamp_ntz").alias("hi")).first()
     if r["lo"] is None:
         return None, None
     return r["lo"], r["hi"] + _dt.timedelta(hours=23)
