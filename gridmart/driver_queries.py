@@ -1,6 +1,6 @@
 """Library operators applied to the driver's test tables.
 
-The driver tables carry no electricity or weather feed, so the two feeds are
+The driver tables carry no price or weather feed, so the two feeds are
 played by the ``events`` table, split by ``event_id`` parity into two disjoint
 halves that together hold every row:
 

@@ -22,7 +22,7 @@ from gridmart.operators.upsert import latest_per_key, upsert_path
 from gridmart.plans import gold as gold_plan
 from gridmart.plans import silver as silver_plan
 from gridmart.schemas import (BRONZE_PRICE_KEYS, BRONZE_WEATHER_KEYS, GOLD,
-                              GOLD_KEYS, LOCAL_ZONE, REGIONS,
+                              GOLD_KEYS, LOAD_LOG, LOCAL_ZONE, REGIONS,
                               REQUIRED_GOLD_COLUMNS, SILVER_PRICE,
                               SILVER_PRICE_KEYS, SILVER_WEATHER,
                               SILVER_WEATHER_KEYS)
@@ -44,17 +44,37 @@ def _bronze_weather(spark: SparkSession, weather_landing: str, since=None, granu
                                   landing.locations(spark), granularity=granularity)
 
 
-def landed_since(spark: SparkSession, bronze_path: str, margin: _dt.timedelta):
+def log_load(spark: SparkSession, layout: Layout, feed: str, started: _dt.datetime, rows: int) -> None:
+    """Append one row to the load log (a tiny table next to the layers)."""
+    spark.createDataFrame([(feed, started, rows)], LOAD_LOG).write.mode("append").parquet(layout.load_log)
+
+
+def landed_since(spark: SparkSession, layout: Layout, feed: str, bronze_path: str,
+                 margin: _dt.timedelta):
     """Files to ingest are those modified after the previous load started
-    (less ``margin`` for clock skew between storage and driver); None when
-    the bronze table does not exist yet (read everything)."""
-    b = tables.read(spark, bronze_path)
-    if b is None:
-        return None
-    last = b.agg(F.max(utc_wall("ingestion_time")).alias("t")).first()["t"]
+    (less ``margin`` for clock skew between storage and driver).
+
+    The start is read from the load log (a few rows per day), not from the
+    bronze table; without a log the latest ``ingestion_time`` of bronze is
+    used, and without bronze everything is read (None).
+    """
+    log = tables.read(spark, layout.load_log)
+    last = None
+    if log is not None:
+        last = (log.filter(F.col("feed") == feed)
+                   .agg(F.max(utc_wall("load_started")).alias("t")).first()["t"])
+    if last is None:
+        b = tables.read(spark, bronze_path)
+        if b is None:
+            return None
+        last = b.agg(F.max(utc_wall("ingestion_time")).alias("t")).first()["t"]
     return None if last is None else last - margin
 
 
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc)
+
+
 def run_backfill(spark: SparkSession, layout: Layout, price_landing: str,
                  weather_landing: str, zone: str = LOCAL_ZONE) -> dict[str, int]:
     """Read every landed file once, rebuild all layers.  Returns rows written
@@ -62,10 +82,14 @@ def run_backfill(spark: SparkSession, layout: Layout, price_landing: str,
     assert_utc(spark)
     out = {}
     g = layout.granularity
+    started = _now()
     out["bronze_price"] = tables.overwrite(_bronze_price(spark, price_landing, granularity=g),
                                            layout.bronze_price, "feed_date")
+    log_load(spark, layout, "price", started, out["bronze_price"])
+    started = _now()
     out["bronze_weather"] = tables.overwrite(_bronze_weather(spark, weather_landing, granularity=g),
                                              layout.bronze_weather, "feed_date")
+    log_load(spark, layout, "weather", started, out["bronze_weather"])
     bp = spark.read.parquet(layout.bronze_price)
     bw = spark.read.parquet(layout.bronze_weather)
     out["silver_price"] = tables.overwrite(silver_plan.prices(bp, zone, g), layout.silver_price, "utc_date")
@@ -109,14 +133,18 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
     """
     assert_utc(spark)
     out = {}
-    since_p = landed_since(spark, layout.bronze_price, landing_margin)
-    since_w = landed_since(spark, layout.bronze_weather, landing_margin)
+    since_p = landed_since(spark, layout, "price", layout.bronze_price, landing_margin)
+    since_w = landed_since(spark, layout, "weather", layout.bronze_weather, landing_margin)
     g = layout.granularity
+    started = _now()
     bp = latest_per_key(_bronze_price(spark, price_landing, since_p, g), BRONZE_PRICE_KEYS, "ingestion_time")
     out["bronze_price"] = upsert_path(spark, layout.bronze_price, bp, BRONZE_PRICE_KEYS, "feed_date")
+    log_load(spark, layout, "price", started, out["bronze_price"])
+    started = _now()
     bw = latest_per_key(_bronze_weather(spark, weather_landing, since_w, g), BRONZE_WEATHER_KEYS,
                         "ingestion_time")
     out["bronze_weather"] = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS, "feed_date")
+    log_load(spark, layout, "weather", started, out["bronze_weather"])
 
     # silver
     sp_t = tables.read(spark, layout.silver_price)

@@ -94,6 +94,9 @@ GOLD = _struct(("region", S), ("hour_utc", TS), ("location", S),
 
 QC_REPORT = _struct(("check", S), ("status", S), ("detail", S))
 
+# One row per load of a feed into bronze: when it started and what it wrote.
+LOAD_LOG = _struct(("feed", S), ("load_started", TS), ("rows", T.LongType()))
+
 LOCATION_SCHEMA = _struct(("region", S), ("location", S), ("latitude", D),
                           ("longitude", D))
 

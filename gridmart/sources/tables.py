@@ -52,6 +52,10 @@ class Layout:
     def gold(self) -> str:
         return self.path("gold/price_weather")
 
+    @property
+    def load_log(self) -> str:
+        return self.path("_loads")
+
     def tables(self) -> dict[str, str]:
         return {"bronze_price": self.bronze_price, "bronze_weather": self.bronze_weather,
                 "silver_price": self.silver_price, "silver_weather": self.silver_weather,
