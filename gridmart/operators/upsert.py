@@ -74,10 +74,13 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
-                keys: list[str], partition_col: str, check_unique: bool = True) -> int:
+                keys: list[str], partition_col: str, check_unique: bool = True,
+                return_partitions: bool = False):
     """Upsert ``source`` into the parquet table at ``target_path``.
 
-    Returns the number of source rows applied (0: nothing written).
+    Returns the number of source rows applied (0: nothing written), or with
+    ``return_partitions`` the pair (rows, touched partition values); the
+    values are None when there are more than ``MAX_LITERAL_PARTITIONS``.
     """
     if check_unique:
         assert_unique(source, keys)
@@ -85,18 +88,19 @@ def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
     try:
         n = src.count()
         if n == 0:
-            return 0
+            return (0, []) if return_partitions else 0
+        touched = src.select(partition_col).distinct()
+        rows = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+        parts = [r[0] for r in rows] if len(rows) <= MAX_LITERAL_PARTITIONS else None
         writer_opts = {"partitionOverwriteMode": "dynamic"}
         if not _path_exists(spark, target_path):
             (src.hint("rebalance", partition_col).write.mode("overwrite").options(**writer_opts)
                 .partitionBy(partition_col).parquet(target_path))
-            return n
-        touched = src.select(partition_col).distinct()
+            return (n, parts) if return_partitions else n
         target = spark.read.parquet(target_path)
-        parts = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
-        if len(parts) <= MAX_LITERAL_PARTITIONS:
+        if parts is not None:
             # literal IN list: static partition pruning of the target scan
-            target = target.filter(F.col(partition_col).isin([r[0] for r in parts]))
+            target = target.filter(F.col(partition_col).isin(parts))
         else:
             target = target.join(touched, partition_col, "left_semi")
         merged = upsert_frame(target, src.select(*target.columns), keys, check_unique=False)
@@ -106,6 +110,6 @@ def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
         (spark.read.parquet(stage).select(*target.columns)
               .write.mode("overwrite").options(**writer_opts)
               .partitionBy(partition_col).parquet(target_path))
-        return n
+        return (n, parts) if return_partitions else n
     finally:
         src.unpersist()

@@ -119,33 +119,89 @@ def _silver_increment(bronze: DataFrame, silver_target: DataFrame | None, key: s
     return marks_op.increment(b, m, "region", "_t", lookback=lookback).drop("_t")
 
 
+def _in_parts(df: DataFrame, col: str, parts: list | None) -> DataFrame:
+    """Rows of the listed partitions (a literal IN list: partition pruning);
+    all rows when the list is unknown (too many partitions)."""
+    if parts is None:
+        return df
+    if not parts:
+        return df.filter(F.lit(False))
+    return df.filter(F.col(col).isin(parts))
+
+
 def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
-                  weather_landing: str, *, lookback: _dt.timedelta | None = _dt.timedelta(days=2),
+                  weather_landing: str, *, mode: str = "changed",
+                  lookback: _dt.timedelta | None = _dt.timedelta(days=2),
                   mark_scope: str = "region", zone: str = LOCAL_ZONE,
                   landing_margin: _dt.timedelta = _dt.timedelta(hours=1)) -> dict[str, int]:
     """Upsert newly landed (or corrected, i.e. re-landed) files through all
     layers.
 
-    ``lookback``: how much history before each region's mark is re-derived
-    (None: strictly after the mark, as the original pipeline).  Only landing
-    files modified since the previous load are read; the upsert makes a
-    re-read file idempotent.
+    Only landing files modified since the previous successful load are read
+    (the upsert makes a re-read file idempotent).  Then:
+
+    * mode "changed" (default): silver is re-derived from exactly the bronze
+      partitions this load changed, and gold from exactly the silver
+      partitions that changed -- work proportional to the change, corrections
+      always applied, no scan of the full silver or gold tables;
+    * mode "marks": rows after each region's high-water mark (``mark_scope``
+      "region") or one global mark ("global"), re-deriving ``lookback``
+      before it (None: strictly after, the original rule).
+
+    The load log is written after every layer succeeded, so a failed run is
+    retried from the same landing files.
     """
     assert_utc(spark)
+    if mode not in ("changed", "marks"):
+        raise ValueError("mode must be 'changed' or 'marks'")
     out = {}
     since_p = landed_since(spark, layout, "price", layout.bronze_price, landing_margin)
     since_w = landed_since(spark, layout, "weather", layout.bronze_weather, landing_margin)
     g = layout.granularity
     started = _now()
     bp = latest_per_key(_bronze_price(spark, price_landing, since_p, g), BRONZE_PRICE_KEYS, "ingestion_time")
-    out["bronze_price"] = upsert_path(spark, layout.bronze_price, bp, BRONZE_PRICE_KEYS, "feed_date")
-    log_load(spark, layout, "price", started, out["bronze_price"])
-    started = _now()
+    out["bronze_price"], parts_bp = upsert_path(spark, layout.bronze_price, bp, BRONZE_PRICE_KEYS,
+                                                "feed_date", return_partitions=True)
     bw = latest_per_key(_bronze_weather(spark, weather_landing, since_w, g), BRONZE_WEATHER_KEYS,
                         "ingestion_time")
-    out["bronze_weather"] = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS, "feed_date")
+    out["bronze_weather"], parts_bw = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS,
+                                                  "feed_date", return_partitions=True)
+    if mode == "changed":
+        _changed_downstream(spark, layout, parts_bp, parts_bw, zone, out)
+    else:
+        _marks_downstream(spark, layout, lookback, mark_scope, zone, out)
+    log_load(spark, layout, "price", started, out["bronze_price"])
     log_load(spark, layout, "weather", started, out["bronze_weather"])
+    return out
+
 
+def _changed_downstream(spark: SparkSession, layout: Layout, parts_bp, parts_bw, zone: str,
+                        out: dict) -> None:
+    g = layout.granularity
+    new_bp = _in_parts(spark.read.parquet(layout.bronze_price), "feed_date", parts_bp)
+    out["silver_price"], parts_sp = upsert_path(
+        spark, layout.silver_price, silver_plan.prices(new_bp, zone, g), SILVER_PRICE_KEYS,
+        "utc_date", return_partitions=True)
+    new_bw = _in_parts(spark.read.parquet(layout.bronze_weather), "feed_date", parts_bw)
+    out["silver_weather"], parts_sw = upsert_path(
+        spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g), SILVER_WEATHER_KEYS,
+        "utc_date", return_partitions=True)
+    sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
+    sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
+    if not tables.exists(spark, layout.gold):
+        new_g = gold_plan.build(spark, sp, sw, g)
+    else:
+        # An hour's rows always share one partition, so the changed
+        # partitions of either feed hold complete hours of both.
+        parts = None if parts_sp is None or parts_sw is None else sorted(set(parts_sp) | set(parts_sw))
+        new_g = gold_plan.join_hourly(gold_plan.price_hourly(_in_parts(sp, "utc_date", parts)),
+                                      gold_plan.weather_hourly(_in_parts(sw, "utc_date", parts)), g)
+    out["gold"] = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
+
+
+def _marks_downstream(spark: SparkSession, layout: Layout, lookback, mark_scope: str, zone: str,
+                      out: dict) -> None:
+    g = layout.granularity
     # silver
     sp_t = tables.read(spark, layout.silver_price)
     new_bp = _silver_increment(spark.read.parquet(layout.bronze_price), sp_t, "time_start",
@@ -165,7 +221,6 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
     new_g = gold_plan.increment(spark, sp, sw, g_t, lookback=lookback, mark_scope=mark_scope,
                                 granularity=g)
     out["gold"] = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
-    return out
 
 
 def merge_summary(spark: SparkSession, layout: Layout) -> dict[str, dict]:

@@ -99,9 +99,9 @@ def test_correction_strict_ignored_lookback_applied(spark, scratch):
     jobs.run_backfill(spark, layout, pl, wl)
     before = _gold_rows(spark, layout)
     _correct_day(pl, D1 + dt.timedelta(days=1), 2.0)   # C18
-    jobs.run_increment(spark, layout, pl, wl, lookback=None)
+    jobs.run_increment(spark, layout, pl, wl, mode="marks", lookback=None)
     assert _gold_rows(spark, layout) == before
-    jobs.run_increment(spark, layout, pl, wl, lookback=dt.timedelta(days=3))
+    jobs.run_increment(spark, layout, pl, wl, mode="marks", lookback=dt.timedelta(days=3))
     after = _gold_rows(spark, layout)
     assert after != before and len(after) == len(before)
 
@@ -111,11 +111,11 @@ def test_late_region_kept_by_region_marks(spark, scratch):
     jobs.run_backfill(spark, layout, pl, wl)
     d3 = D1 + dt.timedelta(days=2)
     feeds.write_feeds(pl, wl, [d3], regions=["SE1", "SE2", "SE3"])
-    jobs.run_increment(spark, layout, pl, wl, lookback=None)
+    jobs.run_increment(spark, layout, pl, wl, mode="marks", lookback=None)
     with pytest.raises(QualityGateError):
         jobs.gate(spark, layout)                        # SE4 lags: grid check fails
     feeds.write_feeds(pl, wl, [d3], regions=["SE4"])  # arrives a day later (C19)
-    jobs.run_increment(spark, layout, pl, wl, lookback=None)
+    jobs.run_increment(spark, layout, pl, wl, mode="marks", lookback=None)
     assert len(_gold_rows(spark, layout)) == 3 * 96
     jobs.gate(spark, layout)
 
@@ -125,9 +125,9 @@ def test_late_region_lost_by_global_mark(spark, scratch):
     jobs.run_backfill(spark, layout, pl, wl)
     d3 = D1 + dt.timedelta(days=2)
     feeds.write_feeds(pl, wl, [d3], regions=["SE1", "SE2", "SE3"])
-    jobs.run_increment(spark, layout, pl, wl, lookback=None, mark_scope="global")
+    jobs.run_increment(spark, layout, pl, wl, mode="marks", lookback=None, mark_scope="global")
     feeds.write_feeds(pl, wl, [d3], regions=["SE4"])
-    jobs.run_increment(spark, layout, pl, wl, lookback=None, mark_scope="global")
+    jobs.run_increment(spark, layout, pl, wl, mode="marks", lookback=None, mark_scope="global")
     g = spark.read.parquet(layout.gold)
     assert g.filter((F.col("region") == "SE4") & (F.col("hour_date") == F.lit(d3))).count() == 0
 
@@ -158,3 +158,20 @@ def test_month_partitions_split_history(spark, scratch):
     jobs.run_increment(spark, part, pl2, wl2)
     assert _gold_rows(spark, part) == _gold_rows(spark, full)
     jobs.gate(spark, part)
+
+
+def test_changed_mode_applies_corrections_and_late_regions(spark, scratch):
+    pl, wl, layout = _setup(scratch, n_days=2)
+    jobs.run_backfill(spark, layout, pl, wl)
+    d3 = D1 + dt.timedelta(days=2)
+    feeds.write_feeds(pl, wl, [d3], regions=["SE1", "SE2", "SE3"])
+    jobs.run_increment(spark, layout, pl, wl)
+    feeds.write_feeds(pl, wl, [d3], regions=["SE4"])            # late region
+    _correct_day(pl, D1, 3.0)                                    # correction of day 1
+    jobs.run_increment(spark, layout, pl, wl)
+    rows = _gold_rows(spark, layout)
+    assert len(rows) == 3 * 96
+    g = spark.read.parquet(layout.gold)
+    one = g.filter((F.col("region") == "SE2") & (F.col("hour_utc") == dt.datetime(2024, 5, 10, 5))).first()
+    assert one["EUR_per_kWh"] == pytest.approx((0.6 + 5 / 100) * 3.0)
+    jobs.gate(spark, layout)
