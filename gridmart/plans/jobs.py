@@ -10,14 +10,15 @@ full replacement (backfill) or a keyed upsert of the touched partitions
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.functions.timecols import (hour_key, parse_offset_instant, parse_wall_ntz,
-                                         period_of, utc_wall)
+from gridmart.functions.timecols import (feed_local_date, hour_key, parse_offset_instant,
+                                         parse_wall_ntz, period_of, utc_wall)
 from gridmart.operators import marks as marks_op
-from gridmart.operators import profiles, quality
+from gridmart.operators import grids, profiles, quality
 from gridmart.operators.upsert import latest_per_key, upsert_path
 from gridmart.plans import gold as gold_plan
 from gridmart.plans import silver as silver_plan
@@ -25,7 +26,7 @@ from gridmart.schemas import (BRONZE_PRICE_KEYS, BRONZE_WEATHER_KEYS, GOLD,
                               GOLD_KEYS, LOAD_LOG, LOCAL_ZONE, REGIONS,
                               REQUIRED_GOLD_COLUMNS, SILVER_PRICE,
                               SILVER_PRICE_KEYS, SILVER_WEATHER,
-                              SILVER_WEATHER_KEYS)
+                              SILVER_WEATHER_KEYS, WEATHER_MEASURES)
 from gridmart.session import assert_utc
 from gridmart.sources import landing, tables
 from gridmart.sources.tables import Layout
@@ -223,6 +224,57 @@ def _marks_downstream(spark: SparkSession, layout: Layout, lookback, mark_scope:
     out["gold"] = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
 
 
+def silver_profile(spark: SparkSession, layout: Layout,
+                   dst_days: list[str] = DST_DAYS) -> dict[str, DataFrame]:
+    """The informational silver checks, as lazy DataFrames (nothing is
+    collected here): null profiles, invalid regions, intervals whose end is
+    not after their start, duplicate keys, value profile, daily and hourly
+    coverage, bronze-versus-silver row counts and the local DST day lengths."""
+    sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
+    sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
+    bp = tables.read(spark, layout.bronze_price)
+    bw = tables.read(spark, layout.bronze_weather)
+    price_cols = ["price_date", "time_start", "time_end", "price_hour", "region",
+                  "SEK_per_kWh", "EUR_per_kWh", "EXR"]
+    counts = [profiles.row_count(df).select(F.lit(name).alias("table"), "rows")
+              for name, df in (("bronze_price", bp), ("silver_price", sp),
+                               ("bronze_weather", bw), ("silver_weather", sw)) if df is not None]
+    return {
+        "price_nulls": profiles.null_profile(sp, price_cols),
+        "weather_nulls": profiles.null_profile(sw, ["weather_time_utc", "region"] + WEATHER_MEASURES),
+        "invalid_regions": profiles.invalid_members(sp, "region", REGIONS),
+        "invalid_intervals": profiles.invalid_interval(sp, "time_start", "time_end"),
+        "price_duplicates": profiles.duplicate_keys(sp, SILVER_PRICE_KEYS),
+        "weather_duplicates": profiles.duplicate_keys(sw, SILVER_WEATHER_KEYS),
+        "price_values": profiles.value_profile(sp, ["SEK_per_kWh", "EUR_per_kWh"]),
+        "daily_coverage": profiles.counts_by(sp, ["price_date", "region"]),
+        "hour_coverage": profiles.hour_coverage(sp, ["price_date", "region"], F.col("price_hour")),
+        "row_counts": functools.reduce(lambda a, b: a.unionByName(b), counts),
+        "dst_local_days": silver_plan.local_day_counts(sw, dst_days),
+    }
+
+
+def missing_landing(spark: SparkSession, layout: Layout, feed: str, start: _dt.date,
+                    end: _dt.date | None = None, regions: list[str] = REGIONS) -> DataFrame:
+    """(region, day) with no bronze row between ``start`` and ``end`` -- the
+    files still to request.  ``end`` defaults to today for prices and to
+    yesterday for weather (the archive lags a day).  Holes in the middle are
+    listed, not only days after the latest load.  Only meaningful with day
+    partitions or for day-level feeds; the day is the feed's own date."""
+    if end is None:
+        today = _now().date()
+        end = today if feed == "price" else today - _dt.timedelta(days=1)
+    path, time_col = ((layout.bronze_price, "time_start") if feed == "price"
+                      else (layout.bronze_weather, "weather_time_utc"))
+    b = tables.read(spark, path)
+    members = spark.createDataFrame([(r,) for r in regions], "region string")
+    if b is None:
+        return grids.member_day_grid(members, "region", start, end)
+    loaded = b.filter(F.col("feed_date") >= F.lit(period_of(start, layout.granularity))) \
+              .select("region", feed_local_date(time_col).alias("day"))
+    return marks_op.missing_dates(loaded, "region", "day", members, start, end)
+
+
 def merge_summary(spark: SparkSession, layout: Layout) -> dict[str, dict]:
     """Post-merge re-check of every layer: rows, distinct keys, duplicated
     keys and the latest time (informational; one aggregation per table)."""

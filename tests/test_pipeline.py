@@ -175,3 +175,21 @@ def test_changed_mode_applies_corrections_and_late_regions(spark, scratch):
     one = g.filter((F.col("region") == "SE2") & (F.col("hour_utc") == dt.datetime(2024, 5, 10, 5))).first()
     assert one["EUR_per_kWh"] == pytest.approx((0.6 + 5 / 100) * 3.0)
     jobs.gate(spark, layout)
+
+
+def test_silver_profile_and_missing_landing(spark, scratch):
+    pl, wl, layout = _setup(scratch, n_days=3)
+    os.remove(os.path.join(pl, "2024", "05-11_SE2.json"))               # C25: hole in the middle
+    feeds.write_price_file(pl, dt.date(2024, 5, 10), "SE9",
+                           feeds.price_records(dt.date(2024, 5, 10), "SE9"))   # C9
+    jobs.run_backfill(spark, layout, pl, wl)
+    prof = jobs.silver_profile(spark, layout)
+    assert [r.region for r in prof["invalid_regions"].collect()] == ["SE9"]
+    assert prof["price_duplicates"].count() == 0
+    assert prof["invalid_intervals"].count() == 0
+    counts = {r.table: r.rows for r in prof["row_counts"].collect()}
+    assert counts["bronze_price"] == counts["silver_price"]
+    miss = jobs.missing_landing(spark, layout, "price", dt.date(2024, 5, 9), dt.date(2024, 5, 14))
+    got = sorted((r.region, r.day.isoformat()) for r in miss.collect())
+    assert ("SE2", "2024-05-11") in got
+    assert [d for r, d in got if r == "SE1"] == ["2024-05-14"]
