@@ -168,7 +168,7 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
     out["bronze_weather"], parts_bw = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS,
                                                   "feed_date", return_partitions=True)
     if mode == "changed":
-        _changed_downstream(spark, layout, parts_bp, parts_bw, zone, out)
+        changed_downstream(spark, layout, parts_bp, parts_bw, zone, out)
     else:
         _marks_downstream(spark, layout, lookback, mark_scope, zone, out)
     log_load(spark, layout, "price", started, out["bronze_price"])
@@ -176,17 +176,28 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
     return out
 
 
-def _changed_downstream(spark: SparkSession, layout: Layout, parts_bp, parts_bw, zone: str,
-                        out: dict) -> None:
+def changed_downstream(spark: SparkSession, layout: Layout, parts_bp, parts_bw,
+                       zone: str = LOCAL_ZONE, out: dict | None = None) -> dict:
+    """Re-derive silver from the listed bronze partitions of each feed and
+    gold from the silver partitions that changed; [] means "nothing changed
+    in this feed", None "unknown, take all"."""
+    out = {} if out is None else out
     g = layout.granularity
-    new_bp = _in_parts(spark.read.parquet(layout.bronze_price), "feed_date", parts_bp)
-    out["silver_price"], parts_sp = upsert_path(
-        spark, layout.silver_price, silver_plan.prices(new_bp, zone, g), SILVER_PRICE_KEYS,
-        "utc_date", return_partitions=True)
-    new_bw = _in_parts(spark.read.parquet(layout.bronze_weather), "feed_date", parts_bw)
-    out["silver_weather"], parts_sw = upsert_path(
-        spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g), SILVER_WEATHER_KEYS,
-        "utc_date", return_partitions=True)
+    out["silver_price"], parts_sp = 0, []
+    if parts_bp != [] and tables.exists(spark, layout.bronze_price):
+        new_bp = _in_parts(spark.read.parquet(layout.bronze_price), "feed_date", parts_bp)
+        out["silver_price"], parts_sp = upsert_path(
+            spark, layout.silver_price, silver_plan.prices(new_bp, zone, g), SILVER_PRICE_KEYS,
+            "utc_date", return_partitions=True)
+    out["silver_weather"], parts_sw = 0, []
+    if parts_bw != [] and tables.exists(spark, layout.bronze_weather):
+        new_bw = _in_parts(spark.read.parquet(layout.bronze_weather), "feed_date", parts_bw)
+        out["silver_weather"], parts_sw = upsert_path(
+            spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g), SILVER_WEATHER_KEYS,
+            "utc_date", return_partitions=True)
+    if parts_sp == [] and parts_sw == []:
+        out["gold"] = 0
+        return out
     sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
     sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
     if not tables.exists(spark, layout.gold):
@@ -198,6 +209,7 @@ def _changed_downstream(spark: SparkSession, layout: Layout, parts_bp, parts_bw,
         new_g = gold_plan.join_hourly(gold_plan.price_hourly(_in_parts(sp, "utc_date", parts)),
                                       gold_plan.weather_hourly(_in_parts(sw, "utc_date", parts)), g)
     out["gold"] = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
+    return out
 
 
 def _marks_downstream(spark: SparkSession, layout: Layout, lookback, mark_scope: str, zone: str,
