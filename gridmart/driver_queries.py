@@ -183,7 +183,7 @@ def q_continuity_breaks(spark, d):
 def q_missing_hours(spark, d):
     ev = events(spark, d)
     lo, hi = grids.whole_day_bounds(ev, "ts")
-    members = profiles.distinct_members(ev, "event_type").withColumnRenamed("event_type", "region")
+    members = joins.rename(profiles.distinct_members(ev, "event_type"), {"event_type": "region"})
     grid = grids.member_hour_grid(members, "region", lo, hi, ntz=True)
     return grids.absent_from(grid, event_hour_keys(spark, d), KEYS)
 
