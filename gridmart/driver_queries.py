@@ -327,13 +327,11 @@ def q_qc_report(spark, d):
     xh = weather_hourly(spark, d).select(*KEYS)
     present_types = profiles.distinct_members(events(spark, d), "event_type")
     return quality.report([
-        quality.check_keys(g, KEYS),
+        quality.check_basics(g, KEYS, GOLD_REQUIRED, "hour_utc"),
         quality.check_members(g, "region", present_types, "Region completeness"),
         quality.check_continuity(g, "region", "hour_utc"),
         quality.check_mappings(g, {"price": ph, "weather": xh}, KEYS),
-        quality.check_not_null(g, GOLD_REQUIRED),
         quality.check_day_completeness(g, "region", "hour_utc", present_types),
-        quality.info_time_range(g, "hour_utc"),
     ])
 
 

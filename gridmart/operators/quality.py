@@ -59,6 +59,37 @@ def check_keys(df: DataFrame, keys: list[str], label: str = "Gold") -> DataFrame
     return s.select(F.inline(F.array(r1, r2)))
 
 
+def check_basics(df: DataFrame, keys: list[str], required: list[str], hour_col: str,
+                 label: str = "Gold", not_null_name: str = "Required fields not null",
+                 range_name: str = "Time range") -> DataFrame:
+    """``check_keys`` + ``check_not_null`` + ``info_time_range`` from one
+    aggregation over per-key partial counts (one scan, one shuffle)."""
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(any_null(required)).alias("_nulls"),
+        F.min(hour_col).alias("_lo"), F.max(hour_col).alias("_hi"))
+    a = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
+        F.coalesce(F.sum("_nulls"), F.lit(0)).cast("long").alias("nulls"),
+        F.min("_lo").cast("string").alias("lo"), F.max("_hi").cast("string").alias("hi"))
+    rows = [
+        F.struct(F.lit(f"{label} rows = distinct keys").alias("check"),
+                 _status(F.col("rows") == F.col("distinct_keys")).alias("status"),
+                 F.format_string("rows=%d, distinct_keys=%d", "rows", "distinct_keys").alias("detail")),
+        F.struct(F.lit(f"{label} duplicate keys").alias("check"),
+                 _status(F.col("duplicate_keys") == 0).alias("status"),
+                 F.format_string("duplicate_keys=%d", "duplicate_keys").alias("detail")),
+        F.struct(F.lit(not_null_name).alias("check"), _status(F.col("nulls") == 0).alias("status"),
+                 F.format_string("rows_with_required_nulls=%d", "nulls").alias("detail")),
+        F.struct(F.lit(range_name).alias("check"), F.lit("INFO").alias("status"),
+                 F.format_string("min=%s, max=%s", F.coalesce("lo", F.lit("-")),
+                                 F.coalesce("hi", F.lit("-"))).alias("detail")),
+    ]
+    return a.select(F.inline(F.array(*rows)))
+
+
 def check_members(df: DataFrame, col: str, expected: DataFrame, name: str) -> DataFrame:
     """Set equality of present and expected members."""
     sets = profiles.member_sets(df, col, expected)

@@ -322,11 +322,11 @@ def gate_report(spark: SparkSession, layout: Layout, expected_regions: list[str]
     expected = spark.createDataFrame([(r,) for r in expected_regions], "region string")
     span = g.agg(F.min(utc_wall("hour_utc")).alias("lo"), F.max(utc_wall("hour_utc")).alias("hi")).first()
     checks = [
-        quality.check_keys(g, GOLD_KEYS),
+        quality.check_basics(g, GOLD_KEYS, REQUIRED_GOLD_COLUMNS, "hour_utc",
+                             not_null_name="Required Gold fields not null"),
         quality.check_members(g, "region", expected, "Region completeness"),
         quality.check_continuity(g, "region", "hour_utc"),
         quality.check_mappings(g, {"price": price_keys, "weather": weather_keys}, GOLD_KEYS),
-        quality.check_not_null(g, REQUIRED_GOLD_COLUMNS, "Required Gold fields not null"),
     ]
     if span["lo"] is not None:
         checks.append(quality.check_expected_grid(g, "region", "hour_utc", expected,
@@ -336,7 +336,6 @@ def gate_report(spark: SparkSession, layout: Layout, expected_regions: list[str]
         if inside:
             checks.append(quality.check_day_completeness(g, "region", "hour_utc", expected,
                                                          days=inside, name="DST UTC day completeness"))
-    checks.append(quality.info_time_range(g, "hour_utc"))
     return quality.report(checks)
 
 

@@ -125,3 +125,13 @@ def test_profiles(spark):
     assert empty[0] == 0                                              # T21: 0, not NULL
     iv = spark.createDataFrame([(D0, D0), (D0, D0 + dt.timedelta(hours=1))], "s timestamp, e timestamp")
     assert profiles.invalid_interval(iv, "s", "e").count() == 1      # C8
+
+
+def test_basics_equal_separate_checks(spark):
+    g = _gold(spark)
+    bad = g.unionByName(g.limit(1)).withColumn(
+        "EXR", F.when(F.col("hour_utc") == D0 + dt.timedelta(hours=3), None).otherwise(F.col("EXR")))
+    sep = quality.report([quality.check_keys(bad, GOLD_KEYS), quality.check_not_null(bad, REQUIRED_GOLD_COLUMNS),
+                          quality.info_time_range(bad, "hour_utc")])
+    one = quality.check_basics(bad, GOLD_KEYS, REQUIRED_GOLD_COLUMNS, "hour_utc")
+    assert sorted(tuple(r) for r in sep.collect()) == sorted(tuple(r) for r in one.collect())
