@@ -163,7 +163,9 @@ ORACLE: dict[str, str] = {
                   CAST(min(hour(ts)) AS INTEGER) AS min_hour, CAST(max(hour(ts)) AS INTEGER) AS max_hour,
                   COUNT(DISTINCT hour(ts)) AS distinct_hours
            FROM events GROUP BY 1, 2"""),
-    "value_profile": _w("SELECT min(value) AS min_value, max(value) AS max_value FROM events"),
+    # "+ 0.0" only normalises the sign of zero: DuckDB's parallel min over
+    # doubles can return -0.0 where the data holds 0.0 (seen at sf0.1).
+    "value_profile": _w("SELECT min(value) + 0.0 AS min_value, max(value) + 0.0 AS max_value FROM events"),
     "time_range": _w("SELECT min(hour_utc) AS min_hour, max(hour_utc) AS max_hour FROM G"),
     "day_slice": _w(
         """SELECT * FROM events WHERE event_type = 'click'
