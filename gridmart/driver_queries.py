@@ -163,6 +163,11 @@ def q_existing_overlap(spark, d):
     return hit.agg(F.count(F.lit(1)).alias("existing_keys"))
 
 
+def q_key_presence(spark, d):
+    return quality.key_presence({"price": price_hourly(spark, d).select(*KEYS),
+                                 "weather": weather_hourly(spark, d).select(*KEYS)}, KEYS)
+
+
 def q_hour_gaps(spark, d):
     return gaps.segmented_gaps(event_hour_keys(spark, d), "region", "hour_utc")
 
@@ -407,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anti_left_keys": q_anti_left_keys,
     "anti_right_keys": q_anti_right_keys,
     "existing_overlap": q_existing_overlap,
+    "key_presence": q_key_presence,
     "hour_gaps": q_hour_gaps,
     "hour_gaps_lag": q_hour_gaps_lag,
     "worst_gaps_topk": q_worst_gaps_topk,

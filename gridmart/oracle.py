@@ -81,6 +81,10 @@ ORACLE: dict[str, str] = {
     "existing_overlap": _w(
         """SELECT COUNT(*) AS existing_keys FROM XH WHERE EXISTS
            (SELECT 1 FROM PH WHERE XH.region = PH.region AND XH.hour_utc = PH.hour_utc)"""),
+    "key_presence": _w(
+        """SELECT COALESCE(PH.region, XH.region) AS region, COALESCE(PH.hour_utc, XH.hour_utc) AS hour_utc,
+                  PH.region IS NOT NULL AS in_price, XH.region IS NOT NULL AS in_weather
+           FROM PH FULL OUTER JOIN XH ON PH.region = XH.region AND PH.hour_utc = XH.hour_utc"""),
     "hour_gaps": _w("SELECT * FROM GAPS"),
     "hour_gaps_lag": _w("SELECT * FROM GAPS"),
     "worst_gaps_topk": _w("SELECT * FROM GAPS ORDER BY gap_hours DESC, region, hour_utc LIMIT 20"),
