@@ -82,11 +82,17 @@ def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
     ``return_partitions`` the pair (rows, touched partition values); the
     values are None when there are more than ``MAX_LITERAL_PARTITIONS``.
     """
-    if check_unique:
-        assert_unique(source, keys)
     src = source.cache()
     try:
-        n = src.count()
+        if check_unique:
+            # row count and key uniqueness from one aggregation
+            st = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+                     .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"), F.max("_c").alias("m")).first())
+            if st["m"] is not None and st["m"] > 1:
+                raise DuplicateSourceKeys(f"upsert source has repeated keys {keys}")
+            n = int(st["n"])
+        else:
+            n = src.count()
         if n == 0:
             return (0, []) if return_partitions else 0
         touched = src.select(partition_col).distinct()

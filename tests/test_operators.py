@@ -150,3 +150,11 @@ def test_zip_explode_pads_and_reports(spark):
 
 def test_date_spine_inclusive(spark):
     assert grids.date_spine(spark, "2024-02-27", "2024-03-01").count() == 4
+
+
+def test_upsert_path_refuses_duplicate_source_keys(spark, scratch):
+    src = spark.createDataFrame([(1, 1.0, dt.date(2024, 1, 1)), (1, 2.0, dt.date(2024, 1, 1))],
+                                "id long, v double, day date")
+    with pytest.raises(upsert.DuplicateSourceKeys):
+        upsert.upsert_path(spark, os.path.join(scratch, "t"), src, ["id"], "day")
+    assert not os.path.exists(os.path.join(scratch, "t"))
