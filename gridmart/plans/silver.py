@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.timecols import (parse_offset_instant, parse_wall_ntz,
                                          period, to_local_wall, utc_wall)
-from gridmart.schemas import LOCAL_ZONE, SILVER_PRICE, SILVER_WEATHER, WEATHER_MEASURES
+from gridmart.schemas import LOCAL_ZONE, SILVER_PRICE, SILVER_WEATHER
 
 
 def time_parts(df: DataFrame, time_col: str, zone: str = LOCAL_ZONE, *, ntz: bool,
@@ -68,5 +68,3 @@ def local_day_counts(silver_weather: DataFrame, days: list[str]) -> DataFrame:
     return (silver_weather.filter(F.col("weather_date").isin([F.lit(d).cast("date") for d in days]))
             .groupBy("weather_date", "region").agg(F.count(F.lit(1)).alias("rows")))
 
-
-MEASURES = WEATHER_MEASURES
