@@ -22,13 +22,15 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions import timecols
 from gridmart.operators import (arrays, gaps, grids, joins, marks, profiles,
                                 quality, rollup, upsert)
 from gridmart.plans import analytics, silver
+from gridmart.plans import gold as gold_plan
+from gridmart.sources import landing
 from gridmart.session import SESSION_ZONE
 
 KEYS = ["region", "hour_utc"]
@@ -102,6 +104,46 @@ def events_by_user_hour(spark, d) -> DataFrame:
     return events(spark, d).withColumn("hour_utc", timecols.hour_key("ts", ntz=True))
 
 
+def _offset_text(utc: Column) -> Column:
+    """UTC wall clock -> feed text with the true Stockholm offset
+    (``2024-01-10T13:05:07+01:00``), as the price feed writes it."""
+    local = timecols.to_local_wall(utc, ZONE)
+    off = ((F.unix_seconds(local.cast("timestamp")) - F.unix_seconds(utc.cast("timestamp")))
+           / F.lit(3600)).cast("int")
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.format_string("+%02d:00", off))
+
+
+def price_bronze_events(spark, d) -> DataFrame:
+    """Price-feed records made from the price half of events (15-minute
+    intervals; the exchange rate is constant within a UTC hour, as in the
+    feed), through the library's bronze builder."""
+    ev = events(spark, d).filter(F.col("event_id") % 2 == 0)
+    records = ev.select(
+        (F.col("value") * 11).alias("SEK_per_kWh"), F.col("value").alias("EUR_per_kWh"),
+        (F.lit(10.0) + F.hour("ts").cast("double") / F.lit(100.0)).alias("EXR"),
+        _offset_text(F.col("ts")).alias("time_start"),
+        _offset_text(F.col("ts") + F.make_dt_interval(mins=F.lit(15))).alias("time_end"),
+        F.col("event_type").alias("region"))
+    return landing.price_bronze(records, source="events")
+
+
+def weather_bronze_events(spark, d) -> DataFrame:
+    """Hourly weather rows made from the weather half of events, through the
+    library's bronze builder (location dimension join included)."""
+    xh = weather_hourly(spark, d)
+    rows = xh.select(
+        F.date_format("hour_utc", "yyyy-MM-dd'T'HH:mm").alias("weather_time_utc"),
+        F.col("temperature").alias("temperature_2m"),
+        F.lit(50.0).alias("relative_humidity_2m"), F.lit(0.0).alias("precipitation"),
+        (F.col("temperature") / F.lit(10.0)).alias("wind_speed_10m"),
+        F.lit(1).alias("weather_code"), "region")
+    return landing.weather_bronze_rows(rows, landing.locations(spark), source="events")
+
+
+SILVER_PRICE_OUT = ["price_date", "time_start", "time_end", "price_hour", "region", "SEK_per_kWh",
+                    "EUR_per_kWh", "EXR", "source", "utc_date"]
+
+
 def customer_regions(spark, d) -> DataFrame:
     """customer -> nation -> region.  The 25 x 5 dimension is broadcast by the
     planner on its file-size statistics (``autoBroadcastJoinThreshold``), a
@@ -375,6 +417,19 @@ def q_silver_projection(spark, d):
     return silver.time_parts(ev, "ts", ZONE, ntz=True).drop("local_time")
 
 
+def q_silver_prices(spark, d):
+    sp = silver.prices(price_bronze_events(spark, d), ZONE)
+    return sp.withColumns({"time_start": timecols.utc_wall("time_start"),
+                           "time_end": timecols.utc_wall("time_end")}).select(*SILVER_PRICE_OUT)
+
+
+def q_gold_build(spark, d):
+    sp = silver.prices(price_bronze_events(spark, d), ZONE)
+    sw = silver.weather(weather_bronze_events(spark, d), ZONE)
+    g = gold_plan.build(spark, sp, sw, mean_scale=2)
+    return g.withColumn("hour_utc", timecols.utc_wall("hour_utc"))
+
+
 def q_monthly_trend(spark, d):
     o = orders_by_region(spark, d)
     return analytics.monthly_trend(o, "region", "o_orderdate", "o_totalprice", mean_scale=2)
@@ -451,6 +506,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "array_zip_rows": q_array_zip_rows,
     "location_enrich": q_location_enrich,
     "silver_projection": q_silver_projection,
+    "silver_prices": q_silver_prices,
+    "gold_build": q_gold_build,
     "monthly_trend": q_monthly_trend,
     "daily_observations": q_daily_observations,
     "region_correlation": q_region_correlation,

@@ -56,6 +56,19 @@ P AS (
 """
 
 
+# Silver prices expected from the price half of events written as feed text
+# (seconds, Stockholm offset), parsed back and localised.
+SPX = f"""SPX AS (
+  SELECT CAST(L AS DATE) AS price_date, T AS time_start, T + INTERVAL 15 MINUTE AS time_end,
+         CAST(hour(L) AS INTEGER) AS price_hour, event_type AS region,
+         value * 11 AS SEK_per_kWh, value AS EUR_per_kWh,
+         CAST(10.0 AS DOUBLE) + CAST(hour(ts) AS DOUBLE) / CAST(100.0 AS DOUBLE) AS EXR,
+         'events' AS source, CAST(T AS DATE) AS utc_date
+  FROM (SELECT *, date_trunc('second', ts) AS T,
+               {LOCAL.format(c="date_trunc('second', ts)")} AS L
+        FROM events WHERE event_id % 2 = 0))"""
+
+
 def _w(body: str, *extra: str) -> str:
     ctes = BASE.rstrip() + "".join(f", {e}" for e in extra)
     return "WITH " + ctes + "\n" + body
@@ -278,6 +291,25 @@ ORACLE: dict[str, str] = {
                    CAST({_local('ts')} AS DATE) AS local_date,
                    CAST(hour({_local('ts')}) AS INTEGER) AS local_hour
             FROM events"""),
+    "silver_prices": _w("SELECT * FROM SPX", SPX),
+    "gold_build": _w(
+        """SELECT PB.region, PB.hour_utc, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude,
+                  NULL::DOUBLE AS longitude, SEK_per_kWh, EUR_per_kWh, EXR,
+                  temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m, weather_code,
+                  CAST(PB.hour_utc AS DATE) AS hour_date
+           FROM PB JOIN WB ON PB.region = WB.region AND PB.hour_utc = WB.hour_utc, BND
+           WHERE PB.hour_utc BETWEEN BND.lo AND BND.hi""",
+        SPX,
+        """PB AS (SELECT region, date_trunc('hour', time_start) AS hour_utc,
+                  CAST(SUM(CAST(SEK_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(SEK_per_kWh) AS DOUBLE) AS SEK_per_kWh,
+                  CAST(SUM(CAST(EUR_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(EUR_per_kWh) AS DOUBLE) AS EUR_per_kWh,
+                  min(EXR) AS EXR
+           FROM SPX GROUP BY 1, 2)""",
+        """WB AS (SELECT region, hour_utc, temperature AS temperature_2m,
+                  CAST(50.0 AS DOUBLE) AS relative_humidity_2m, CAST(0.0 AS DOUBLE) AS precipitation,
+                  temperature / CAST(10.0 AS DOUBLE) AS wind_speed_10m, 1 AS weather_code FROM XH)""",
+        """BND AS (SELECT greatest((SELECT min(hour_utc) FROM PB), (SELECT min(hour_utc) FROM WB)) AS lo,
+                          least((SELECT max(hour_utc) FROM PB), (SELECT max(hour_utc) FROM WB)) AS hi)"""),
     "monthly_trend": _w(
         """SELECT region, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
                   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(o_totalprice) AS DOUBLE) AS avg_price,

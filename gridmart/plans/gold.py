@@ -26,12 +26,12 @@ GOLD_COLUMNS = GOLD.fieldNames()
 HOUR = _dt.timedelta(hours=1)
 
 
-def price_hourly(silver_prices: DataFrame) -> DataFrame:
+def price_hourly(silver_prices: DataFrame, mean_scale: int | None = None) -> DataFrame:
     """Sub-hourly prices -> hourly: mean prices, first non-NULL exchange rate
-    in time order."""
+    in time order.  ``mean_scale``: exact decimal means (see ``exact_mean``)."""
     return hourly_rollup(silver_prices, "region", "time_start", ntz=False,
                          means={"SEK_per_kWh": "SEK_per_kWh", "EUR_per_kWh": "EUR_per_kWh"},
-                         firsts={"EXR": "EXR"})
+                         firsts={"EXR": "EXR"}, mean_scale=mean_scale)
 
 
 def weather_hourly(silver_weather: DataFrame) -> DataFrame:
@@ -80,12 +80,12 @@ def common_range(silver_prices: DataFrame, silver_weather: DataFrame):
 
 
 def build(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame,
-          granularity: str = "day") -> DataFrame:
+          granularity: str = "day", mean_scale: int | None = None) -> DataFrame:
     """Full gold over the common hour range of the two feeds."""
     lo, hi = common_range(silver_prices, silver_weather)
     if lo is None:
         return spark.createDataFrame([], GOLD)
-    ph = price_hourly(_price_window(silver_prices, lo, hi + HOUR, granularity))
+    ph = price_hourly(_price_window(silver_prices, lo, hi + HOUR, granularity), mean_scale)
     wh = weather_hourly(_weather_window(silver_weather, lo, hi + HOUR, granularity))
     return join_hourly(ph, wh, granularity)
 

@@ -106,7 +106,12 @@ def weather_bronze(files: DataFrame, dim: DataFrame, source: str = WEATHER_SOURC
                    granularity: str = "day") -> DataFrame:
     """Weather files -> weather bronze rows, tagged with location and
     coordinates from the (broadcast, size-checked) location dimension."""
-    rows = weather_rows(files)
+    return weather_bronze_rows(weather_rows(files), dim, source, granularity)
+
+
+def weather_bronze_rows(rows: DataFrame, dim: DataFrame, source: str = WEATHER_SOURCE,
+                        granularity: str = "day") -> DataFrame:
+    """Hourly weather rows (time text, measures, region) -> weather bronze."""
     tagged = rows.join(bounded_broadcast(dim), "region", "left")
     out = audit(tagged, source).withColumn("feed_date", period(feed_local_date("weather_time_utc"), granularity))
     return out.select(*BRONZE_WEATHER.fieldNames())
