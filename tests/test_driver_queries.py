@@ -34,7 +34,8 @@ def test_every_query_has_oracle():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["region", "hour_utc", "price", "first_price", "n_obs", "temperature"]
+    from gridmart.schemas import GOLD
+    assert df.columns == GOLD.fieldNames()
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
