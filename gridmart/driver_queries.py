@@ -423,6 +423,11 @@ def q_silver_prices(spark, d):
                            "time_end": timecols.utc_wall("time_end")}).select(*SILVER_PRICE_OUT)
 
 
+def q_silver_weather(spark, d):
+    sw = silver.weather(weather_bronze_events(spark, d), ZONE)
+    return sw.drop("ingestion_time")
+
+
 def q_gold_build(spark, d):
     sp = silver.prices(price_bronze_events(spark, d), ZONE)
     sw = silver.weather(weather_bronze_events(spark, d), ZONE)
@@ -507,6 +512,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_enrich": q_location_enrich,
     "silver_projection": q_silver_projection,
     "silver_prices": q_silver_prices,
+    "silver_weather": q_silver_weather,
     "gold_build": q_gold_build,
     "monthly_trend": q_monthly_trend,
     "daily_observations": q_daily_observations,

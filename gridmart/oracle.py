@@ -292,6 +292,15 @@ ORACLE: dict[str, str] = {
                    CAST(hour({_local('ts')}) AS INTEGER) AS local_hour
             FROM events"""),
     "silver_prices": _w("SELECT * FROM SPX", SPX),
+    "silver_weather": _w(
+        f"""SELECT CAST({LOCAL.format(c="hour_utc")} AS DATE) AS weather_date, hour_utc AS weather_time_utc,
+                   {LOCAL.format(c="hour_utc")} AS weather_time_local,
+                   CAST(hour({LOCAL.format(c="hour_utc")}) AS INTEGER) AS weather_hour,
+                   region, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude,
+                   temperature AS temperature_2m, CAST(50.0 AS DOUBLE) AS relative_humidity_2m,
+                   CAST(0.0 AS DOUBLE) AS precipitation, temperature / CAST(10.0 AS DOUBLE) AS wind_speed_10m,
+                   1 AS weather_code, 'events' AS source, CAST(hour_utc AS DATE) AS utc_date
+            FROM XH"""),
     "gold_build": _w(
         """SELECT PB.region, PB.hour_utc, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude,
                   NULL::DOUBLE AS longitude, SEK_per_kWh, EUR_per_kWh, EXR,
