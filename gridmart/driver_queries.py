@@ -435,6 +435,19 @@ def q_gold_build(spark, d):
     return g.withColumn("hour_utc", timecols.utc_wall("hour_utc"))
 
 
+def q_gold_increment(spark, d):
+    """Gold already built from events before LOADED_BEFORE; the increment
+    over all events adds the hours after each region's mark."""
+    sp = silver.prices(price_bronze_events(spark, d), ZONE)
+    sw = silver.weather(weather_bronze_events(spark, d), ZONE)
+    cut = timecols.utc_literal(LOADED_BEFORE, ntz=False)
+    target = gold_plan.build(spark, sp.filter(F.col("time_start") < cut),
+                             sw.filter(F.col("weather_time_utc") < timecols.utc_literal(LOADED_BEFORE, ntz=True)),
+                             mean_scale=2)
+    new = gold_plan.increment(spark, sp, sw, target, lookback=None, mean_scale=2)
+    return new.withColumn("hour_utc", timecols.utc_wall("hour_utc"))
+
+
 def q_monthly_trend(spark, d):
     o = orders_by_region(spark, d)
     return analytics.monthly_trend(o, "region", "o_orderdate", "o_totalprice", mean_scale=2)
@@ -514,6 +527,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_prices": q_silver_prices,
     "silver_weather": q_silver_weather,
     "gold_build": q_gold_build,
+    "gold_increment": q_gold_increment,
     "monthly_trend": q_monthly_trend,
     "daily_observations": q_daily_observations,
     "region_correlation": q_region_correlation,

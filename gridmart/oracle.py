@@ -319,6 +319,32 @@ ORACLE: dict[str, str] = {
                   temperature / CAST(10.0 AS DOUBLE) AS wind_speed_10m, 1 AS weather_code FROM XH)""",
         """BND AS (SELECT greatest((SELECT min(hour_utc) FROM PB), (SELECT min(hour_utc) FROM WB)) AS lo,
                           least((SELECT max(hour_utc) FROM PB), (SELECT max(hour_utc) FROM WB)) AS hi)"""),
+    "gold_increment": _w(
+        """SELECT PB.region, PB.hour_utc, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude,
+                  NULL::DOUBLE AS longitude, SEK_per_kWh, EUR_per_kWh, EXR,
+                  temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m, weather_code,
+                  CAST(PB.hour_utc AS DATE) AS hour_date
+           FROM PB JOIN WB ON PB.region = WB.region AND PB.hour_utc = WB.hour_utc
+           LEFT JOIN MK ON MK.region = PB.region
+           WHERE MK.mark IS NULL OR PB.hour_utc > MK.mark""",
+        SPX,
+        """PB AS (SELECT region, date_trunc('hour', time_start) AS hour_utc,
+                  CAST(SUM(CAST(SEK_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(SEK_per_kWh) AS DOUBLE) AS SEK_per_kWh,
+                  CAST(SUM(CAST(EUR_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(EUR_per_kWh) AS DOUBLE) AS EUR_per_kWh,
+                  min(EXR) AS EXR
+           FROM SPX GROUP BY 1, 2)""",
+        """WB AS (SELECT region, hour_utc, temperature AS temperature_2m,
+                  CAST(50.0 AS DOUBLE) AS relative_humidity_2m, CAST(0.0 AS DOUBLE) AS precipitation,
+                  temperature / CAST(10.0 AS DOUBLE) AS wind_speed_10m, 1 AS weather_code FROM XH)""",
+        # the target gold: both feeds cut at the load date, common range, joined
+        """PL AS (SELECT region, date_trunc('hour', time_start) AS hour_utc FROM SPX
+                  WHERE time_start < TIMESTAMP '2024-01-21 00:00:00' GROUP BY 1, 2)""",
+        """WL AS (SELECT region, hour_utc FROM WB WHERE hour_utc < TIMESTAMP '2024-01-21 00:00:00')""",
+        """BL AS (SELECT greatest((SELECT min(hour_utc) FROM PL), (SELECT min(hour_utc) FROM WL)) AS lo,
+                         least((SELECT max(hour_utc) FROM PL), (SELECT max(hour_utc) FROM WL)) AS hi)""",
+        """MK AS (SELECT PL.region, max(PL.hour_utc) AS mark
+                  FROM PL JOIN WL ON PL.region = WL.region AND PL.hour_utc = WL.hour_utc, BL
+                  WHERE PL.hour_utc BETWEEN BL.lo AND BL.hi GROUP BY 1)"""),
     "monthly_trend": _w(
         """SELECT region, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
                   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(o_totalprice) AS DOUBLE) AS avg_price,

@@ -93,7 +93,7 @@ def build(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFra
 def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame,
               gold_target: DataFrame | None, *, lookback: _dt.timedelta | None = None,
               mark_scope: str = "region", expected_regions: list[str] = REGIONS,
-              granularity: str = "day") -> DataFrame:
+              granularity: str = "day", mean_scale: int | None = None) -> DataFrame:
     """Gold rows for the hours after each region's high-water mark.
 
     mark_scope "region": one mark per region (a lagging region is caught up);
@@ -102,17 +102,17 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
     gold through the upsert.  No target / no mark -> everything.
     """
     if gold_target is None:
-        return build(spark, silver_prices, silver_weather, granularity)
+        return build(spark, silver_prices, silver_weather, granularity, mean_scale)
     sp = silver_prices.withColumn("_hour", hour_key("time_start", ntz=False))
     sw = silver_weather.withColumn("_hour", hour_key(as_instant("weather_time_utc"), ntz=False))
     back = lookback or _dt.timedelta(0)
     if mark_scope == "global":
         mark = gold_target.agg(F.max(utc_wall("hour_utc")).alias("m")).first()["m"]
         if mark is None:
-            return build(spark, silver_prices, silver_weather, granularity)
+            return build(spark, silver_prices, silver_weather, granularity, mean_scale)
         lo = mark - back + HOUR
         ph = price_hourly(sp.filter((F.col("_hour") > utc_literal(mark - back, ntz=False))
-                                    & _parts_from(lo, granularity)).drop("_hour"))
+                                    & _parts_from(lo, granularity)).drop("_hour"), mean_scale)
         wh = weather_hourly(sw.filter((F.col("_hour") > utc_literal(mark - back, ntz=False))
                                       & _parts_from(lo, granularity)).drop("_hour"))
         return join_hourly(ph, wh, granularity)
@@ -127,4 +127,5 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
         sw = sw.filter((F.col("_hour") > utc_literal(floor, ntz=False)) & _parts_from(floor, granularity))
     new_p = marks_op.increment(sp, marks, "region", "_hour", lookback=lookback)
     new_w = marks_op.increment(sw, marks, "region", "_hour", lookback=lookback)
-    return join_hourly(price_hourly(new_p.drop("_hour")), weather_hourly(new_w.drop("_hour")), granularity)
+    return join_hourly(price_hourly(new_p.drop("_hour"), mean_scale), weather_hourly(new_w.drop("_hour")),
+                       granularity)
