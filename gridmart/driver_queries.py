@@ -54,6 +54,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the session's shared
+    ``spark.checkpoint.dir`` -- the stand-in for a stored layer table, so the
+    feed derivation is not repeated by every job of a query.  Without a
+    configured folder the lineage is kept (no local folder is invented)."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        d = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            return df
+        sc.setCheckpointDir(d)
+    return df.checkpoint()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -429,8 +443,8 @@ def q_silver_weather(spark, d):
 
 
 def q_gold_build(spark, d):
-    sp = silver.prices(price_bronze_events(spark, d), ZONE)
-    sw = silver.weather(weather_bronze_events(spark, d), ZONE)
+    sp = stored(silver.prices(price_bronze_events(spark, d), ZONE))
+    sw = stored(silver.weather(weather_bronze_events(spark, d), ZONE))
     g = gold_plan.build(spark, sp, sw, mean_scale=2)
     return g.withColumn("hour_utc", timecols.utc_wall("hour_utc"))
 
@@ -438,8 +452,8 @@ def q_gold_build(spark, d):
 def q_gold_increment(spark, d):
     """Gold already built from events before LOADED_BEFORE; the increment
     over all events adds the hours after each region's mark."""
-    sp = silver.prices(price_bronze_events(spark, d), ZONE)
-    sw = silver.weather(weather_bronze_events(spark, d), ZONE)
+    sp = stored(silver.prices(price_bronze_events(spark, d), ZONE))
+    sw = stored(silver.weather(weather_bronze_events(spark, d), ZONE))
     cut = timecols.utc_literal(LOADED_BEFORE, ntz=False)
     target = gold_plan.build(spark, sp.filter(F.col("time_start") < cut),
                              sw.filter(F.col("weather_time_utc") < timecols.utc_literal(LOADED_BEFORE, ntz=True)),
