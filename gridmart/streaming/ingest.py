@@ -95,7 +95,13 @@ def layered_stream(spark: SparkSession, layout, feed: str, landing_path: str,
     """The incremental job as a stream: each micro-batch of newly landed files
     of ``feed`` is upserted into bronze, and silver and gold are re-derived
     for exactly the partitions that batch changed.  A replayed batch gives
-    the same tables (every write is an upsert)."""
+    the same tables (every write is an upsert).
+
+    Run the price and the weather stream of one layout one after the other
+    (``availableNow`` each, as the daily job does), not at the same time:
+    both upsert gold, and two concurrent dynamic overwrites of the same gold
+    partition would let the later one drop the other's rows.
+    """
     g = layout.granularity
     if feed == "price":
         stream = price_landing_stream(spark, landing_path, max_files, g)
