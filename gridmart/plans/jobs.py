@@ -27,7 +27,7 @@ from gridmart.schemas import (BRONZE_PRICE_KEYS, BRONZE_WEATHER_KEYS, GOLD,
                               REQUIRED_GOLD_COLUMNS, SILVER_PRICE,
                               SILVER_PRICE_KEYS, SILVER_WEATHER,
                               SILVER_WEATHER_KEYS, WEATHER_MEASURES)
-from gridmart.session import assert_utc
+from gridmart.session import assert_utc, staging_path
 from gridmart.sources import landing, tables
 from gridmart.sources.tables import Layout
 
@@ -47,7 +47,25 @@ def _bronze_weather(spark: SparkSession, weather_landing: str, since=None, granu
 
 def log_load(spark: SparkSession, layout: Layout, feed: str, started: _dt.datetime, rows: int) -> None:
     """Append one row to the load log (a tiny table next to the layers)."""
-    spark.createDataFrame([(feed, started, rows)], LOAD_LOG).write.mode("append").parquet(layout.load_log)
+    (spark.createDataFrame([(feed, started, rows)], LOAD_LOG).coalesce(1)
+          .write.mode("append").parquet(layout.load_log))
+
+
+def compact_load_log(spark: SparkSession, layout: Layout, max_files: int = 64) -> int:
+    """Rewrite the load log as one file once it holds more than ``max_files``
+    (two tiny files are appended per load).  Goes through a staging copy in
+    the shared folder; if it fails half-way, ``landed_since`` falls back to
+    bronze's ``ingestion_time``.  Returns the number of files before."""
+    log = tables.read(spark, layout.load_log)
+    if log is None:
+        return 0
+    n = len(log.inputFiles())
+    if n <= max_files:
+        return n
+    stage = staging_path(spark, "load-log")
+    log.coalesce(1).write.mode("overwrite").parquet(stage)
+    spark.read.parquet(stage).coalesce(1).write.mode("overwrite").parquet(layout.load_log)
+    return n
 
 
 def landed_since(spark: SparkSession, layout: Layout, feed: str, bronze_path: str,
@@ -173,6 +191,7 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
         _marks_downstream(spark, layout, lookback, mark_scope, zone, out)
     log_load(spark, layout, "price", started, out["bronze_price"])
     log_load(spark, layout, "weather", started, out["bronze_weather"])
+    compact_load_log(spark, layout)
     return out
 
 

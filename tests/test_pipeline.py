@@ -193,3 +193,16 @@ def test_silver_profile_and_missing_landing(spark, scratch):
     got = sorted((r.region, r.day.isoformat()) for r in miss.collect())
     assert ("SE2", "2024-05-11") in got
     assert [d for r, d in got if r == "SE1"] == ["2024-05-14"]
+
+
+def test_load_log_compaction_keeps_rows(spark, scratch):
+    layout = Layout(os.path.join(scratch, "t"))
+    for i in range(5):
+        jobs.log_load(spark, layout, "price", dt.datetime(2024, 1, 1 + i, tzinfo=dt.timezone.utc), i)
+    before = sorted(tuple(r) for r in spark.read.parquet(layout.load_log).collect())
+    assert jobs.compact_load_log(spark, layout, max_files=2) == 5
+    after = spark.read.parquet(layout.load_log)
+    assert len(after.inputFiles()) == 1
+    assert sorted(tuple(r) for r in after.collect()) == before
+    assert jobs.landed_since(spark, layout, "price", layout.bronze_price, dt.timedelta(0)) == \
+        dt.datetime(2024, 1, 5)
