@@ -4,19 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, lang_id, mixing, quality, sharding, simhash, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _text_id_crc() -> Column:
+    """CRC-32 of the doc_id as text."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+# The rules the url query judges by.
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(_text_id_crc() % 4 == 2, F.lit(False))
+    model = lang_id.learn(docs.filter(~held_out))
+    return lang_id.predict(docs, model).withColumn("held_out", held_out) \
+        .select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_read(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(_read(spark, sf_dir, "documents")).drop("uid")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_read(spark, sf_dir, "documents"), 40).drop("cell")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(mixing.by_source(_read(spark, sf_dir, "documents"))) \
+        .select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=3) \
+        .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe.encode(_read(spark, sf_dir, "documents"),
@@ -26,11 +72,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op10_bpe)}
+    return {f.__name__: f for f in (op1_url_filter, op2_language, op3_quality, op4_exact_dedup, op5_sharding,
+                                    op7_mixing, op9_simhash, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": ORACLE_OP4}
+    return {"op1_url_filter": ORACLE_OP1, "op4_exact_dedup": ORACLE_OP4}
 
 
 ORACLE_OP4 = """
@@ -41,3 +88,25 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY t)
 """
+
+ORACLE_OP1 = r"""
+WITH r(rule, host, path, verdict) AS (VALUES
+  ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+  ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+p AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+q AS (
+  SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw_host FROM p),
+u AS (
+  SELECT page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw_host) + 1), '^[^?#]*') AS path FROM q)
+SELECT page_id, host, path,
+       (SELECT arg_max(r.rule, length(r.rule)) FROM r
+         WHERE (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)) AS rule,
+       coalesce((SELECT arg_max(r.verdict, length(r.rule)) FROM r
+         WHERE (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)),
+         'allow') AS verdict
+FROM u
+"""
