@@ -36,6 +36,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``."""
+    common.ship(spark)
     common.ensure_checkpoints(spark)
     base = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")

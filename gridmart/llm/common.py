@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,6 +21,22 @@ BLANKS = " \t\n\x0b\x0c\r"
 SLICE_BYTES = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package's source files to the executors (once a session), so
+    that workers can import it wherever they start.  Spark copies the archive
+    to them itself; nothing else reads it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_gridmart_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix="gridmart-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)
+    sc._gridmart_shipped = True
+
+
 def columns(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """Only the named columns, cast to the types the operator works on.
 

@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lang_id, mixing, quality, sharding, simhash, url_filter
+from . import bpe, common, exact_dedup, lang_id, mixing, quality, sharding, simhash, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -58,6 +59,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_text_id_crc() % 5 == 0, F.lit(False))
+    model = toxicity.learn(docs, _read(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, model).withColumn("held_out", held_out) \
+        .select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"), shingle=3, max_bits=3) \
         .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -73,7 +82,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_language, op3_quality, op4_exact_dedup, op5_sharding,
-                                    op7_mixing, op9_simhash, op10_bpe)}
+                                    op7_mixing, op8_toxicity, op9_simhash, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
