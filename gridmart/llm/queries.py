@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, exact_dedup, lang_id, mixing, quality, sharding, simhash, toxicity, url_filter
+from . import bpe, common, exact_dedup, lang_id, mixing, quality, sharding, simhash, suffix_dedup, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_read(spark, sf_dir, "documents"), 40).drop("cell")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents"), 50)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.by_source(_read(spark, sf_dir, "documents"))) \
         .select("doc_id", "size", "source_size", "target", "taken")
@@ -81,7 +85,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_language, op3_quality, op4_exact_dedup, op5_sharding,
+    return {f.__name__: f for f in (op1_url_filter, op2_language, op3_quality, op4_exact_dedup, op5_sharding, op6_suffix_dedup,
                                     op7_mixing, op8_toxicity, op9_simhash, op10_bpe)}
 
 
