@@ -96,6 +96,12 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage that this session wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder; later reads do not
     depend on any executor.  With ``cleanCheckpoints`` Spark removes the files

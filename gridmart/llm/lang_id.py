@@ -207,9 +207,12 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
 
 def keep_known(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
     """``docs`` without the documents that have no language or whose best
-    share of n-grams is below ``min_score``; all their columns."""
-    uid = common.fresh(docs, "_row_id")
-    rows = docs.withColumn(uid, F.monotonically_increasing_id())
-    stay = predict(rows, model, (uid,)).filter(
-        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(uid)
-    return rows.join(stay, uid, "left_semi").drop(uid)
+    share of n-grams is below ``min_score``; all their columns, no shuffle."""
+    given = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in common.slices(batches, "text"):
+            found = given.value.predict([t or "" for t in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array([p != UNKNOWN and s >= min_score for p, s in found]))
+
+    return docs.mapInArrow(run, docs.schema)
