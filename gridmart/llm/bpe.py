@@ -60,20 +60,29 @@ class Encoder:
         and is still long."""
         at, n = 0, len(text)
         while n - at > PART_CHARS:
-            hit = None
-            # the last safe place within the part, else the first one after it
-            for back in (256, 4096, PART_CHARS):
-                for hit in _SAFE.finditer(text, at + PART_CHARS - back + 1, at + PART_CHARS):
-                    pass
-                if hit:
-                    break
-            hit = hit or _SAFE.search(text, at + PART_CHARS)
-            end = hit.start() if hit else n
+            end = self._safe_before(text, at, at + PART_CHARS)
+            if end is None:
+                hit = _SAFE.search(text, at + PART_CHARS)
+                end = hit.start() if hit else n
             yield text[at:end], end - at > PART_CHARS
             at = end
         if at < n:
             yield text[at:], False
 
+    @staticmethod
+    def _safe_before(text: str, start: int, end: int) -> int | None:
+        """The last safe place after ``start`` and up to ``end``, looked for
+        near the end first.  The search sees one character more than it may
+        cut before, or the end of the search would look like a safe place."""
+        for back in (256, 4096, end - start):
+            last = None
+            for hit in _SAFE.finditer(text, max(end - back, start + 1), end + 1):
+                if hit.start() <= end:
+                    last = hit.start()
+            if last is not None:
+                return last
+        return None
+
     def encode(self, text: str) -> list[int]:
         if len(text) <= PART_CHARS:
             return self.encoding.encode_ordinary(text)
