@@ -95,17 +95,17 @@ def _posting_masks(max_bits: int) -> list[int]:
 
 
 def _compare(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Forest edges (member, its component's first member) by breadth-first
-    search; each member is compared with the members not yet reached."""
+    """Links of a spanning forest by breadth-first search; each member is
+    compared with the members not yet reached."""
     edges, left = [], fps
     while len(left) > 1:
-        root, left = left[0], left[1:]
-        queue = [root]
+        queue, left = [left[0]], left[1:]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= max_bits
+            member = queue.pop(0)
+            near = np.bitwise_count(left ^ member) <= max_bits
             if near.any():
                 found, left = left[near], left[~near]
-                edges += [(f, root) for f in found]
+                edges += [(f, member) for f in found]
                 queue += list(found)
     return edges
 
@@ -124,18 +124,18 @@ def _enumerate(fps: np.ndarray, mask: int, max_bits: int) -> list[tuple[int, int
         if not new[start]:
             continue
         new[start] = False
-        root, frontier = order[start], order[start:start + 1]
+        frontier = order[start:start + 1]
         while len(frontier):
             reached = []
             for flip in flips:
-                near = frontier ^ flip
+                near = frontier ^ flip       # distinct, so each member is met once
                 at = np.minimum(np.searchsorted(order, near), len(order) - 1)
-                at = np.unique(at[(order[at] == near) & new[at]])
-                if len(at):
-                    new[at] = False
-                    reached.append(order[at])
+                hit = (order[at] == near) & new[at]
+                if hit.any():
+                    new[at[hit]] = False
+                    reached.append(near[hit])
+                    edges += zip(near[hit], frontier[hit])
             frontier = np.concatenate(reached) if reached else order[:0]
-            edges += [(f, root) for f in frontier]
     return edges
 
 
