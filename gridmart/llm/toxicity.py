@@ -235,6 +235,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
     for r in seen:
         for s, c in zip(r.scores, r.counts):
             spread[s] += c
+    for odds in model.odds.values():      # the prior's share of each feature in calm documents
+        spread[round(odds - DRIFT, 2)] += PSEUDO * (1 - base)
     model.lam = _solve_lambda(spread)
     calm = [r for r in seen if not r.toxic and r.n]
     model.k = len(calm) / max(1e-9, sum(r.n * math.exp(-model.lam * max(r.found, default=0.0)) for r in calm)) \
