@@ -11,9 +11,10 @@ patterns, whatever the corpus), so the estimation runs on a few hundred counts
 while measuring, voting and scoring are DataFrame operations on all rows.  The
 measures are taken once and kept in the shared folder.
 
-Dirichlet pseudo-counts, a fixed share of the documents, hold the two classes
-to their meaning (rules vote good more often on good documents), so neither a
-small table nor one without any bad document can swap them.
+The first round takes documents with a bad vote for probably bad, and Beta
+pseudo-counts, a fixed share of the documents, hold the two classes to their
+meaning, so neither a small table nor one without any bad document can swap
+them.  An abstention says nothing.
 
 Defined results: a null text counts as empty (no words, hence the base rules
 fail); ties and repeated rows are scored one by one, copies alike; an empty
@@ -90,75 +91,80 @@ def _repeats(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes by a ratio of two measures: good up to ``good``, bad above
-    ``bad``, else it abstains (``low``: the other way round)."""
+    """Votes on one kind of defect by ratios of measures (over, under, good,
+    bad): bad if one is above ``bad``, good if all are up to ``good``, else it
+    abstains.  Ratios that tend to fail together belong into one rule, since
+    estimation takes the rules' errors for independent."""
     name: str
-    over: str
-    under: str
-    good: float
-    bad: float
-    low: bool = False
+    ratios: tuple[tuple[str, str, float, float], ...]
 
     def vote(self) -> Column:
-        x, n = F.col(self.over), F.col(self.under)
-        if self.low:
-            return F.when(x >= self.good * n, 1).when(x < self.bad * n, -1).otherwise(0)
-        return F.when(x <= self.good * n, 1).when(x > self.bad * n, -1).otherwise(0)
+        bad, good = F.lit(False), F.lit(True)
+        for over, under, up_to, above in self.ratios:
+            bad = bad | (F.col(over) > above * F.col(under))
+            good = good & (F.col(over) <= up_to * F.col(under))
+        return F.when(bad, -1).when(good, 1).otherwise(0)
 
 
 RULES = (
-    Rule("length", "n_words", "one", 50, 20, low=True),
-    Rule("repeats", "n_repeat_words", "n_words", 0.03, 0.10),
-    Rule("symbols", "n_symbols", "n_words", 0.02, 0.10),
-    Rule("dup_lines", "n_dup_lines", "one", 0, 2),
-    Rule("word_length", "word_chars", "n_words", 9, 14),
-    Rule("upper", "n_upper", "word_chars", 0.10, 0.30),
-    Rule("marks", "n_marks", "n_words", 0.05, 0.20),
+    Rule("repetition", (("n_repeat_words", "n_words", 0.03, 0.15), ("n_dup_lines", "one", 0, 3))),
+    Rule("symbols", (("n_symbols", "n_words", 0.02, 0.10),)),
+    Rule("shouting", (("n_upper", "word_chars", 0.10, 0.30), ("n_marks", "n_words", 0.05, 0.20))),
+    Rule("word_length", (("word_chars", "n_words", 9, 14),)),
+    Rule("short_words", (("n_words", "word_chars", 0.4, 0.6),)),
 )
 
 
 @dataclass
 class Model:
     prior: float
-    #: For each rule, (good, bad) -> probability of the votes -1, 0, 1.
-    votes: list[tuple[list[float], list[float]]]
+    #: For each rule that votes, how often it votes good on good documents and
+    #: how often it votes bad on bad ones: its accuracies.
+    accuracy: list[tuple[float, float]]
 
     def log_odds(self, rule: int, vote: int) -> float:
-        good, bad = self.votes[rule]
-        return math.log(good[vote + 1] / bad[vote + 1])
+        on_good, on_bad = self.accuracy[rule]
+        if vote == 0:
+            return 0.0
+        return math.log(on_good / (1 - on_bad)) if vote > 0 else math.log((1 - on_good) / on_bad)
 
     def posterior(self, pattern: tuple[int, ...]) -> float:
         z = math.log(self.prior / (1 - self.prior)) + sum(self.log_odds(j, v) for j, v in enumerate(pattern))
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))
 
 
-#: Where estimation starts and what the pseudo-counts stand for: votes -1, 0,
-#: 1 on good and on bad documents, and the share of good ones.
-START_GOOD, START_BAD, START_PRIOR = (0.03, 0.12, 0.85), (0.45, 0.20, 0.35), 0.8
-#: Pseudo-counts as a share of the documents.
-HOLD = 0.05
+#: Fixed values of the estimation: the chance that a document is good before
+#: the first round, without and with a bad vote; the accuracies and the share of
+#: good documents that the pseudo-counts stand for (a bad document is expected
+#: to fail few of the rules); the pseudo-counts as a share of the documents.
+START = (0.95, 0.10)
+PRIOR_ACCURACY, PRIOR_GOOD = (0.99, 0.30), 0.85
+HOLD = 0.01
 
 
 def estimate(counts: dict[tuple[int, ...], int], rules: int, rounds: int = 200) -> Model:
     """Expectation-maximisation over vote patterns and their row counts."""
-    model = Model(START_PRIOR, [(list(START_GOOD), list(START_BAD)) for _ in range(rules)])
     total = sum(counts.values())
     hold = HOLD * total + 1
+    good = {p: START[min(p, default=0) < 0] for p in counts}
+    model = Model(PRIOR_GOOD, [PRIOR_ACCURACY] * rules)
     for _ in range(rounds):
-        good = {p: model.posterior(p) for p in counts}
-        n_good = sum(n * good[p] for p, n in counts.items())
-        votes = []
+        accuracy = []
         for j in range(rules):
-            sums = [[hold * s for s in START_GOOD], [hold * s for s in START_BAD]]
+            right = [hold * PRIOR_GOOD * PRIOR_ACCURACY[0], hold * (1 - PRIOR_GOOD) * PRIOR_ACCURACY[1]]
+            voted = [hold * PRIOR_GOOD, hold * (1 - PRIOR_GOOD)]
             for p, n in counts.items():
-                sums[0][p[j] + 1] += n * good[p]
-                sums[1][p[j] + 1] += n * (1 - good[p])
-            votes.append(([x / sum(sums[0]) for x in sums[0]], [x / sum(sums[1]) for x in sums[1]]))
-        prior = (n_good + hold * START_PRIOR) / (total + hold)
-        moved = abs(prior - model.prior) + sum(
-            abs(a - b) for new, old in zip(votes, model.votes) for x, y in zip(new, old) for a, b in zip(x, y))
-        model = Model(prior, votes)
-        if moved < 1e-9:
+                if p[j]:
+                    voted[0] += n * good[p]
+                    voted[1] += n * (1 - good[p])
+                    right[0] += n * good[p] * (p[j] > 0)
+                    right[1] += n * (1 - good[p]) * (p[j] < 0)
+            accuracy.append((right[0] / voted[0], right[1] / voted[1]))
+        n_good = sum(n * good[p] for p, n in counts.items())
+        old, model = model, Model((n_good + hold * PRIOR_GOOD) / (total + hold), accuracy)
+        good = {p: model.posterior(p) for p in counts}
+        if abs(old.prior - model.prior) + sum(
+                abs(x - y) for a, b in zip(old.accuracy, accuracy) for x, y in zip(a, b)) < 1e-9:
             break
     return model
 
@@ -173,8 +179,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = 0
     model = estimate(counts, len(rules))
     z = F.lit(math.log(model.prior / (1 - model.prior)))
     for j, n in enumerate(names):
-        z = z + F.when(F.col(n) > 0, model.log_odds(j, 1)).when(F.col(n) < 0, model.log_odds(j, -1)) \
-            .otherwise(model.log_odds(j, 0))
+        z = z + F.when(F.col(n) > 0, model.log_odds(j, 1)).when(F.col(n) < 0, model.log_odds(j, -1)).otherwise(0.0)
     failed = (F.col("n_words") < MIN_WORDS) | \
         (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return voted.withColumn("base_failed", failed) \
