@@ -91,27 +91,30 @@ def _repeats(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes on one kind of defect by ratios of measures (over, under, good,
-    bad): bad if one is above ``bad``, good if all are up to ``good``, else it
-    abstains.  Ratios that tend to fail together belong into one rule, since
-    estimation takes the rules' errors for independent."""
+    """Votes by a ratio of two measures: good up to ``good``, bad above
+    ``bad``, else it abstains."""
     name: str
-    ratios: tuple[tuple[str, str, float, float], ...]
+    over: str
+    under: str
+    good: float
+    bad: float
 
     def vote(self) -> Column:
-        bad, good = F.lit(False), F.lit(True)
-        for over, under, up_to, above in self.ratios:
-            bad = bad | (F.col(over) > above * F.col(under))
-            good = good & (F.col(over) <= up_to * F.col(under))
-        return F.when(bad, -1).when(good, 1).otherwise(0)
+        x, n = F.col(self.over), F.col(self.under)
+        return F.when(x > self.bad * n, -1).when(x <= self.good * n, 1).otherwise(0)
 
 
+#: Each kind of defect is seen by more than one rule; estimation learns which
+#: documents are bad from rules that agree.
 RULES = (
-    Rule("repetition", (("n_repeat_words", "n_words", 0.03, 0.15), ("n_dup_lines", "one", 0, 3))),
-    Rule("symbols", (("n_symbols", "n_words", 0.02, 0.10),)),
-    Rule("shouting", (("n_upper", "word_chars", 0.10, 0.30), ("n_marks", "n_words", 0.05, 0.20))),
-    Rule("word_length", (("word_chars", "n_words", 9, 14),)),
-    Rule("short_words", (("n_words", "word_chars", 0.4, 0.6),)),
+    Rule("repeats", "n_repeat_words", "n_words", 0.03, 0.15),
+    Rule("dup_lines", "n_dup_lines", "one", 0, 3),
+    Rule("symbols", "n_symbols", "n_words", 0.02, 0.10),
+    Rule("symbol_chars", "n_symbols", "word_chars", 0.004, 0.02),
+    Rule("many_symbols", "n_symbols", "n_words", 0.05, 0.20),
+    Rule("upper", "n_upper", "word_chars", 0.10, 0.30),
+    Rule("marks", "n_marks", "n_words", 0.05, 0.20),
+    Rule("word_length", "word_chars", "n_words", 9, 14),
 )
 
 
