@@ -1,0 +1,191 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from itertools import product
+
+import llm_cases as cases
+import pytest
+
+from gridmart.llm import mixing as M
+from gridmart.llm import sharding as H
+
+
+def sized(text):
+    return len((text or "").encode()) + 16
+
+
+def test_counts_are_at_most_one_apart_and_slots_gapless(spark):
+    data = cases.rows() + [(1000 + i, f"text {i}", None, None, 0) for i in range(300)]
+    got = H.shard(cases.frame(spark, data), 40).collect()
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == \
+        Counter((r[0], sized(r[1]), zlib.crc32((r[1] or "").encode())) for r in data)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+        assert r.law == "rows" and r.grown_shard is None
+    counts = [len(slots[s]) for s in range(40)]
+    assert max(counts) - min(counts) <= 1
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def walked(counts, shards, cells, vnodes=4):
+    """The ring row by row: each row steps clockwise until a shard has room."""
+    nodes = H.ring(shards, vnodes, cells)
+    room = H.bounds(sum(counts.values()), shards)
+    waiting = [(cell, next((i for i, (c, _) in enumerate(nodes) if c >= cell), 0))
+               for cell, n in sorted(counts.items()) for _ in range(n)]
+    placed = defaultdict(Counter)
+    hop = 0
+    while waiting:
+        left = []
+        for cell, home in waiting:
+            s = nodes[(home + hop) % len(nodes)][1]
+            if room[s]:
+                room[s] -= 1
+                placed[cell][s] += 1
+            else:
+                left.append((cell, home))
+        waiting, hop = left, hop + 1
+    return placed
+
+
+def test_walk_matches_rows_walking_one_by_one():
+    rng = random.Random(0)
+    for shards in (1, 3, 7):
+        counts = {c: rng.randint(0, 9) * (20 if c % 13 == 0 else 1) for c in range(64)}
+        pieces = H.walk(counts, shards, 4, 64)
+        got = defaultdict(Counter)
+        for cell, a, b, s, _ in pieces:
+            got[cell][s] += b - a
+        assert {c: dict(v) for c, v in got.items()} == {c: dict(v) for c, v in walked(counts, shards, 64).items()}
+        assert len(pieces) <= 64 + shards
+        for cell, n in counts.items():
+            ranks = sorted((a, b) for c, a, b, _, _ in pieces if c == cell)
+            assert [a for a, _ in ranks] == [0, *(b for _, b in ranks[:-1])][:len(ranks)]
+            assert not n or ranks[-1][1] == n
+
+
+def test_growing_the_ring_moves_few_cells():
+    old, new = dict(H.ring(40)), dict(H.ring(41))
+    assert all(new[c] == s for c, s in old.items())          # earlier virtual nodes stay
+    counts = {c: 10 for c in range(H.CELLS)}
+
+    def owners(shards):
+        out = Counter()
+        for cell, a, b, s, _ in H.walk(counts, shards, slack=0.25):
+            out[cell, s] += b - a
+        return out
+    a, b = owners(40), owners(41)
+    moved = sum((a - b).values()) / sum(a.values())
+    assert moved < 0.15                                      # a modulo would move 97 %
+
+
+def test_sharding_is_native_and_stable(spark):
+    df = cases.frame(spark, cases.rows())
+    plan = H.shard(df, 7)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+    one = sorted(map(tuple, H.shard(df.filter("doc_id < 100"), 7).collect()))
+    assert one == sorted(map(tuple, H.shard(df.filter("doc_id < 100").repartition(5), 7).collect()))
+    assert H.shard(cases.empty(spark), 7).collect() == []
+    with pytest.raises(ValueError):
+        H.ring(0)
+
+
+# -- mixing ---------------------------------------------------------------------
+
+def blanks(text):
+    return len([w for w in re.split("[ \t-\r]+", text or "") if w])
+
+
+def test_targets_share_what_full_sources_leave():
+    assert M.targets({"a": 100, "b": 100, "c": 100}) == {"a": 200.0, "b": 250 / 3, "c": 500 / 3}
+    got = M.targets({"a": 1000, "b": 10, "c": 10, None: 10})
+    assert got == {"a": 1485.0, "b": 20.0, "c": 20.0, None: 20.0}
+    assert M.targets({}) == {} and M.targets({"a": 0, "b": 0}) == {"a": 0.0, "b": 0.0}
+
+
+def corpus(n=1200):
+    rng = random.Random(0)
+    return [(i, cases.words(rng, rng.choice([3, 20, 60, 200])), None,
+             rng.choice(["a"] * 4 + ["b", "c", "d", "é", None]), 0) for i in range(n)]
+
+
+def test_taken_words_come_near_the_targets(spark):
+    data = corpus() + cases.rows()[:40]
+    got = M.mix(M.by_source(cases.frame(spark, data))).collect()
+    sizes = Counter()
+    for r in data:
+        sizes[r[3]] += blanks(r[1])
+    goal, taken = M.targets(dict(sizes)), Counter()
+    assert sorted((r.doc_id, r["size"]) for r in got) == sorted((r[0], blanks(r[1])) for r in data)
+    for r in got:
+        s = r.sources[0]
+        assert r.source_size == sizes[s] and abs(r.target - goal[s]) < 1e-6
+        assert r.taken in (0, r["size"], 2 * r["size"])
+        taken[s] += r.taken
+    for s, t in goal.items():
+        assert abs(taken[s] - t) <= max(3, 0.002 * t), s
+
+
+def test_reruns_and_other_partitionings_agree(spark):
+    docs = M.by_source(cases.frame(spark, corpus(300)))
+    one = sorted((r.doc_id, r.taken) for r in M.mix(docs).collect())
+    assert one == sorted((r.doc_id, r.taken) for r in M.mix(docs.repartition(7)).collect())
+    assert one != sorted((r.doc_id, r.taken) for r in M.mix(docs, seed=1).collect())
+
+
+def test_repeated_rows_keep_all_columns(spark):
+    df = cases.frame(spark, corpus(200) + cases.rows())
+    out = M.repeat_rows(df)
+    assert out.columns == df.columns
+    want = Counter()
+    for r in M.mix(M.by_source(df)).filter("taken > 0").collect():
+        want[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in out.select("doc_id").collect()) == want
+
+
+def test_empty_tables(spark):
+    assert M.mix(M.by_source(cases.empty(spark))).collect() == []
+    assert M.repeat_rows(cases.empty(spark)).collect() == []
+    null = [(1, None, None, None, 0), (2, "", None, "a", 0)]
+    assert {r.taken for r in M.mix(M.by_source(cases.frame(spark, null))).collect()} == {0}
+
+
+def test_overlapping_sources_fill_their_quotas(spark):
+    rng = random.Random(1)
+    rows = [(i, cases.words(rng, 50), rng.choice([["x"], ["x", "y"], ["y", "z"], ["z"], [None, "x"]])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sources array<string>")
+    got = M.mix(docs).collect()
+    assert all(r.taken <= 2 * r["size"] for r in got) and len(got) == 400
+    capacity, sizes = Counter(), Counter()
+    for r in got:
+        capacity[tuple(r.sources)] += r["size"]
+        for s in r.sources:
+            sizes[s] += r["size"]
+    flow = M.route(dict(capacity), {s: round(t) for s, t in M.targets(dict(sizes)).items()})
+    taken = Counter()
+    for r in got:
+        taken[tuple(r.sources)] += r.taken
+    assert all(abs(taken[p] - flow[p]) <= 50 for p in flow)
+
+
+def test_flow_costs_least():
+    """Against all integer flows of a small network."""
+    rng = random.Random(2)
+    for _ in range(25):
+        patterns = {("x",): rng.randint(0, 2), ("x", "y"): rng.randint(0, 2), ("y",): rng.randint(0, 1)}
+        quotas = {"x": rng.randint(0, 4), "y": rng.randint(0, 3)}
+
+        def cost(taken):
+            return sum((r // max(n, 1) + 1) ** 2 for (p, n), f in zip(patterns.items(), taken) for r in range(f))
+        best = None
+        for a, bx, by, c in product(range(5), range(5), range(5), range(3)):
+            takes = (a, bx + by, c)
+            if a + bx > quotas["x"] or by + c > quotas["y"] or \
+                    any(t > 2 * n for t, n in zip(takes, patterns.values())):
+                continue
+            key = (-(sum(takes)), cost(takes))
+            best = key if best is None else min(best, key)
+        got = list(M.route(patterns, quotas).values())
+        assert (-sum(got), cost(got)) == best
