@@ -9,6 +9,8 @@ halves that together hold every row:
 * weather feed ``X`` = events with odd ``event_id``: temperature := ``props.k``;
 * gold ``G``         = hourly ``P`` joined with hourly ``X`` on (region, hour).
 
+A query that needs one feed only takes it from all of ``events``.
+
 The TPC-H-like tables stand in where a check needs calendar dates or
 dimensions (orders per region and day, customer -> nation -> region).
 
@@ -31,7 +33,7 @@ from gridmart.operators import (arrays, gaps, grids, joins, marks, profiles,
 from gridmart.plans import analytics, silver
 from gridmart.plans import gold as gold_plan
 from gridmart.sources import landing
-from gridmart.session import SESSION_ZONE
+from gridmart.session import SESSION_ZONE, remove_path, staging_path
 
 KEYS = ["region", "hour_utc"]
 ZONE = "Europe/Stockholm"
@@ -40,6 +42,7 @@ ZONE = "Europe/Stockholm"
 EXPECTED_TYPES = ["click", "view", "purchase", "error", "refund"]
 ALLOWED_TYPES = ["click", "view", "purchase"]
 LOADED_BEFORE = "2024-01-21 00:00:00"          # history already loaded (marks)
+UNLOADED_REGION = "signup"                     # not in gold before the increment
 LOOKBACK = _dt.timedelta(days=2)
 SLICE_DAY = "2024-01-10"
 TOP_K = 20
@@ -80,32 +83,40 @@ def events(spark, d) -> DataFrame:
     return table(spark, d, "events")
 
 
-def price_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
-    return (ev.filter(F.col("event_id") % 2 == 0)
-              .select(F.col("event_type").alias("region"), "ts",
-                      F.col("value").alias("price")))
+def _half(df: DataFrame, parity: int, whole: bool) -> DataFrame:
+    return df if whole else df.filter(F.col("event_id") % 2 == parity)
+
+
+def price_feed(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return (_half(events(spark, sf_dir), 0, whole)
+            .select(F.col("event_type").alias("region"), "ts", F.col("value").alias("price")))
 
 
-def weather_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir)
-    return (ev.filter(F.col("event_id") % 2 == 1)
-              .select(F.col("event_type").alias("region"), "ts",
-                      F.get_json_object("props", "$.k").cast("double").alias("temperature")))
+def weather_feed(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return (_half(events(spark, sf_dir), 1, whole)
+            .select(F.col("event_type").alias("region"), "ts",
+                    F.get_json_object("props", "$.k").cast("double").alias("temperature"),
+                    (F.col("user_id") % 20).cast("double").alias("wind")))
 
 
-def price_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.hourly_rollup(price_feed(spark, sf_dir), "region", "ts", ntz=True,
+def price_hourly(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return rollup.hourly_rollup(price_feed(spark, sf_dir, whole), "region", "ts", ntz=True,
                                 means={"price": "price"},
                                 firsts={"first_price": "price"},
                                 count_col="n_obs", mean_scale=2)
 
 
-def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.hourly_rollup(weather_feed(spark, sf_dir), "region", "ts", ntz=True,
+def weather_hourly(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    return rollup.hourly_rollup(weather_feed(spark, sf_dir, whole), "region", "ts", ntz=True,
                                 means={"temperature": "temperature"})
 
 
+def gold_with_wind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    xh = rollup.hourly_rollup(weather_feed(spark, sf_dir), "region", "ts", ntz=True,
+                              means={"temperature": "temperature", "wind": "wind"})
+    return joins.keyed_join(price_hourly(spark, sf_dir), xh, KEYS)
+
+
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.keyed_join(price_hourly(spark, sf_dir), weather_hourly(spark, sf_dir), KEYS)
 
@@ -127,11 +138,11 @@ def _offset_text(utc: Column) -> Column:
     return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.format_string("+%02d:00", off))
 
 
-def price_bronze_events(spark, d) -> DataFrame:
+def price_bronze_events(spark, d, whole: bool = False) -> DataFrame:
     """Price-feed records made from the price half of events (15-minute
     intervals; the exchange rate is constant within a UTC hour, as in the
     feed), through the library's bronze builder."""
-    ev = events(spark, d).filter(F.col("event_id") % 2 == 0)
+    ev = _half(events(spark, d), 0, whole)
     records = ev.select(
         (F.col("value") * 11).alias("SEK_per_kWh"), F.col("value").alias("EUR_per_kWh"),
         (F.lit(10.0) + F.hour("ts").cast("double") / F.lit(100.0)).alias("EXR"),
@@ -141,10 +152,19 @@ def price_bronze_events(spark, d) -> DataFrame:
     return landing.price_bronze(records, source="events")
 
 
-def weather_bronze_events(spark, d) -> DataFrame:
+#: Event types that stand for the feeds' regions, so that the location dimension
+#: has matching rows; the other types stay regions without a location.
+REGION_OF_TYPE = {"click": "SE1", "error": "SE2", "purchase": "SE3", "signup": "SE4"}
+
+
+def weather_bronze_events(spark, d, whole: bool = False) -> DataFrame:
     """Hourly weather rows made from the weather half of events, through the
-    library's bronze builder (location dimension join included)."""
-    xh = weather_hourly(spark, d)
+    library's bronze builder (location dimension join included).  ``whole``:
+    from all events, the event types mapped to the feeds' regions."""
+    xh = weather_hourly(spark, d, whole)
+    if whole:
+        codes = F.create_map(*[F.lit(x) for kv in REGION_OF_TYPE.items() for x in kv])
+        xh = xh.withColumn("region", F.coalesce(codes[F.col("region")], "region"))
     rows = xh.select(
         F.date_format("hour_utc", "yyyy-MM-dd'T'HH:mm").alias("weather_time_utc"),
         F.col("temperature").alias("temperature_2m"),
@@ -193,7 +213,7 @@ def _members(spark, values: list[str], name: str = "member") -> DataFrame:
 # --------------------------------------------------------------------------
 
 def q_hourly_rollup(spark, d):
-    return price_hourly(spark, d)
+    return price_hourly(spark, d, whole=True)
 
 
 def q_gold_hourly_join(spark, d):
@@ -278,8 +298,7 @@ def q_increment_lookback(spark, d):
 def q_increment_global(spark, d):
     loaded = events(spark, d).filter(F.col("ts") < timecols.utc_literal(LOADED_BEFORE, ntz=True))
     mark = marks.global_mark(loaded, "ts")
-    ev = events(spark, d)
-    return ev.filter(F.col("ts") > timecols.ts_literal(mark, ntz=True)) if mark is not None else ev
+    return marks.global_increment(events(spark, d), "ts", mark)
 
 
 def q_high_water_mark(spark, d):
@@ -383,16 +402,15 @@ def q_region_completeness(spark, d):
 
 
 def q_qc_report(spark, d):
-    g = gold(spark, d)
-    ph = price_hourly(spark, d).select(*KEYS)
-    xh = weather_hourly(spark, d).select(*KEYS)
-    present_types = profiles.distinct_members(events(spark, d), "event_type")
+    ph, xh = stored(price_hourly(spark, d)), stored(weather_hourly(spark, d))
+    per_key = stored(quality.per_key_counts(joins.keyed_join(ph, xh, KEYS), KEYS, GOLD_REQUIRED))
+    present_types = stored(profiles.distinct_members(events(spark, d), "event_type"))
     return quality.report([
-        quality.check_basics(g, KEYS, GOLD_REQUIRED, "hour_utc"),
-        quality.check_members(g, "region", present_types, "Region completeness"),
-        quality.check_continuity(g, "region", "hour_utc"),
-        quality.check_mappings(g, {"price": ph, "weather": xh}, KEYS),
-        quality.check_day_completeness(g, "region", "hour_utc", present_types),
+        quality.check_basics_of(per_key, "hour_utc", not_null_name=quality.REQUIRED_NOT_NULL),
+        quality.check_members(per_key, "region", present_types, quality.REGION_COMPLETENESS),
+        quality.check_continuity(per_key, "region", "hour_utc"),
+        quality.check_mappings(per_key, {"Electricity": ph.select(*KEYS), "Weather": xh.select(*KEYS)}, KEYS),
+        quality.check_day_completeness(per_key, "region", "hour_utc", present_types, rows="_n"),
     ])
 
 
@@ -423,22 +441,44 @@ def q_array_zip_rows(spark, d):
 
 
 def q_location_enrich(spark, d):
+    return weather_bronze_events(spark, d, whole=True).select(
+        "region", "weather_time_utc", "location", "latitude", "longitude")
+
+
+def q_dimension_join(spark, d):
     return customer_regions(spark, d)
 
 
+def q_upsert_null_days(spark, d):
+    """``upsert_path`` on a table partitioned by day, some days and some keys
+    NULL; the source is applied twice."""
+    ev = events(spark, d).select(
+        F.when(F.col("event_id") % 11 != 0, F.col("event_id")).alias("event_id"),
+        F.col("event_id").alias("_id"), "ts", "user_id", "event_type", "value",
+        F.when(F.col("event_id") % 7 != 0, F.to_date("ts")).alias("day"))
+    first = ev.filter(F.col("_id") % 3 != 0).drop("_id")
+    source = ev.filter(F.col("_id") % 3 != 1).drop("_id").withColumn("value", F.col("value") * 2)
+    path = staging_path(prepare(spark), "upsert-query")
+    for rows in (first, source, source):
+        upsert.upsert_path(spark, path, rows, ["event_id"], "day")
+    out = stored(spark.read.schema(first.schema).parquet(path).select(*first.columns))
+    remove_path(spark, path)
+    return out
+
+
 def q_silver_projection(spark, d):
     ev = events(spark, d).select("event_id", F.col("event_type").alias("region"), "ts", "value")
     return silver.time_parts(ev, "ts", ZONE, ntz=True).drop("local_time")
 
 
 def q_silver_prices(spark, d):
-    sp = silver.prices(price_bronze_events(spark, d), ZONE)
+    sp = silver.prices(price_bronze_events(spark, d, whole=True), ZONE)
     return sp.withColumns({"time_start": timecols.utc_wall("time_start"),
                            "time_end": timecols.utc_wall("time_end")}).select(*SILVER_PRICE_OUT)
 
 
 def q_silver_weather(spark, d):
-    sw = silver.weather(weather_bronze_events(spark, d), ZONE)
+    sw = silver.weather(weather_bronze_events(spark, d, whole=True), ZONE)
     return sw.drop("ingestion_time")
 
 
@@ -450,14 +490,15 @@ def q_gold_build(spark, d):
 
 
 def q_gold_increment(spark, d):
-    """Gold already built from events before LOADED_BEFORE; the increment
-    over all events adds the hours after each region's mark."""
+    """Gold already built from events before LOADED_BEFORE, without one region;
+    the increment over all events adds the hours after each region's mark and
+    all hours of the region that has none."""
     sp = stored(silver.prices(price_bronze_events(spark, d), ZONE))
     sw = stored(silver.weather(weather_bronze_events(spark, d), ZONE))
     cut = timecols.utc_literal(LOADED_BEFORE, ntz=False)
     target = gold_plan.build(spark, sp.filter(F.col("time_start") < cut),
                              sw.filter(F.col("weather_time_utc") < timecols.utc_literal(LOADED_BEFORE, ntz=True)),
-                             mean_scale=2)
+                             mean_scale=2).filter(F.col("region") != UNLOADED_REGION)
     new = gold_plan.increment(spark, sp, sw, target, lookback=None, mean_scale=2)
     return new.withColumn("hour_utc", timecols.utc_wall("hour_utc"))
 
@@ -468,28 +509,30 @@ def q_monthly_trend(spark, d):
 
 
 def q_daily_observations(spark, d):
-    return analytics.daily_observations(gold(spark, d), "region", "hour_utc", ["price", "temperature"])
+    return analytics.daily_observations(gold_with_wind(spark, d), "region", "hour_utc",
+                                        ["price", "temperature", "wind"], digits=6)
 
 
 def q_region_correlation(spark, d):
-    return analytics.correlation(gold(spark, d), "region", "price", "temperature",
-                                 out="corr_price_temperature")
+    g = gold_with_wind(spark, d)
+    by_wind = analytics.correlation(g, "region", "price", "wind", digits=6).drop("pairs")
+    return analytics.correlation(g, "region", "price", "temperature", digits=6).join(by_wind, "region")
 
 
 def q_region_spread(spark, d):
-    return analytics.pair_spread(gold(spark, d), "region", "hour_utc", "price", "click", "view")
+    return analytics.pair_spread(gold(spark, d), "region", "hour_utc", "price", "click", "view", digits=6)
 
 
 def q_region_level(spark, d):
-    return analytics.level_vs_overall(gold(spark, d), "region", "price")
+    return analytics.level_vs_overall(gold(spark, d), "region", "price", digits=6)
 
 
 def q_price_volatility(spark, d):
-    return analytics.volatility(price_hourly(spark, d), "region", "price")
+    return analytics.volatility(price_hourly(spark, d, whole=True), "region", "price", digits=6)
 
 
 def q_seasonal_profile(spark, d):
-    return analytics.hour_of_day_profile(price_feed(spark, d), "ts", "price", mean_scale=2)
+    return analytics.hour_of_day_profile(price_feed(spark, d, whole=True), "ts", "price", mean_scale=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -537,6 +580,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_offset_timestamp": q_parse_offset_timestamp,
     "array_zip_rows": q_array_zip_rows,
     "location_enrich": q_location_enrich,
+    "dimension_join": q_dimension_join,
+    "upsert_null_days": q_upsert_null_days,
     "silver_projection": q_silver_projection,
     "silver_prices": q_silver_prices,
     "silver_weather": q_silver_weather,

@@ -16,6 +16,8 @@ from gridmart.schemas import PRICE_TIME_PATTERN
 
 ColumnOrName = Column | str
 
+WALL_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2})?$"
+
 
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -31,9 +33,10 @@ def parse_offset_instant(c: ColumnOrName, pattern: str = PRICE_TIME_PATTERN) ->
 
 
 def parse_wall_ntz(c: ColumnOrName) -> Column:
-    """ISO wall-clock text without offset (``2026-03-29T01:00``) -> NTZ; NULL if
-    malformed.  Independent of the session zone."""
-    return _c(c).try_cast("timestamp_ntz")
+    """ISO wall-clock text without offset (``2026-03-29T01:00``, seconds allowed)
+    -> NTZ; NULL if malformed, a partial date included.  Independent of the
+    session zone."""
+    return F.when(_c(c).rlike(WALL_TEXT), _c(c).try_cast("timestamp_ntz"))
 
 
 def utc_wall(c: ColumnOrName) -> Column:
@@ -80,14 +83,6 @@ def epoch_hour(c: ColumnOrName) -> Column:
     return F.floor(F.unix_seconds(_c(c).cast("timestamp")) / F.lit(3600)).cast("long")
 
 
-def hour_from_epoch(h: ColumnOrName, ntz: bool) -> Column:
-    ts = F.timestamp_seconds(_c(h) * F.lit(3600))
-    return ts.cast("timestamp_ntz") if ntz else ts
-
-
-# Partition periods of the layer tables.
-GRANULARITIES = ("day", "month")
-
 
 def period(date_col: ColumnOrName, granularity: str) -> Column:
     """Partition value of a date: the date itself ("day") or the first day of

@@ -3,8 +3,7 @@
 Join strategy is left to Spark: with AQE on, a side that turns out small at
 run time becomes a broadcast hash join (AQE checks the real size against
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``); anything larger stays a
-sort-merge join on the shuffled keys.  An explicit broadcast hint is only
-placed through ``bounded_broadcast``, which checks the row count first.
+sort-merge join on the shuffled keys.  No hint is placed.
 """
 
 from __future__ import annotations
@@ -15,26 +14,6 @@ from pyspark.sql import types as T
 
 from gridmart.functions.timecols import between_closed
 
-# Above this many rows a dimension is joined without a broadcast hint.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      cache: bool = False) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unhinted and Spark shuffles both sides instead.  With
-    ``cache`` a derived frame (e.g. marks aggregated from a table) is cached
-    so the check and the join compute it once; a lost cache block is simply
-    recomputed from lineage.
-    """
-    if cache:
-        df = df.cache()
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Rename columns (``{old: new}``), keeping the column order."""
     return df.select([F.col(c).alias(mapping.get(c, c)) for c in df.columns])

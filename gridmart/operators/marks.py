@@ -14,10 +14,10 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridmart.functions.timecols import feed_local_date
+from gridmart.functions.timecols import feed_local_date, utc_literal
 from gridmart.operators.grids import absent_from, member_day_grid
-from gridmart.operators.joins import bounded_broadcast
 
 
 def high_water_marks(df: DataFrame, key: str, time_col: str, out: str = "mark") -> DataFrame:
@@ -49,29 +49,29 @@ def missing_dates(loaded: DataFrame, key: str, date_col: str, members: DataFrame
 
 def increment(source: DataFrame, marks: DataFrame, key: str, time_col: str, *,
               mark_col: str = "mark", lookback: _dt.timedelta | None = None,
-              lower_bound=None) -> DataFrame:
+              keep_null_time: bool = False) -> DataFrame:
     """Rows of ``source`` after their key's mark (strict), or after
-    ``mark - lookback``.  Keys without a mark keep all rows.
+    ``mark - lookback``.  Keys without a mark keep all rows; rows without a
+    time are kept on demand.
 
-    ``marks`` has one row per key and is broadcast behind a row-count check.
-    ``lower_bound``, when the caller knows every key has a mark, is a literal
-    applied first so the scan prunes files and row groups.
+    ``marks`` has one row per key; whether it is broadcast is the planner's to
+    judge by its size.
     """
-    src = source
-    if lower_bound is not None:
-        src = src.filter(F.col(time_col) > F.lit(lower_bound))
     m = marks.select(key, F.col(mark_col).alias("_mark"))
     threshold = F.col("_mark")
     if lookback is not None:
         secs = int(lookback.total_seconds())
         threshold = F.col("_mark") - F.make_dt_interval(secs=F.lit(secs))
-    return (src.join(bounded_broadcast(m, cache=True), key, "left")
-               .filter(F.col("_mark").isNull() | (F.col(time_col) > threshold))
-               .drop("_mark"))
+    wanted = F.col("_mark").isNull() | (F.col(time_col) > threshold)
+    if keep_null_time:
+        wanted = wanted | F.col(time_col).isNull()
+    return source.join(m, key, "left").filter(wanted).drop("_mark").select(*source.columns)
 
 
 def global_increment(source: DataFrame, time_col: str, mark) -> DataFrame:
-    """The reference's rule: strictly after one global mark; no mark -> all."""
+    """The reference's rule: strictly after one global mark; no mark -> all.
+    ``mark`` is a UTC wall clock; it does not depend on any zone."""
     if mark is None:
         return source
-    return source.filter(F.col(time_col) > F.lit(mark))
+    ntz = isinstance(source.schema[time_col].dataType, T.TimestampNTZType)
+    return source.filter(F.col(time_col) > utc_literal(mark, ntz=ntz))

@@ -14,14 +14,22 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.functions.predicates import any_null
+from gridmart.functions.timecols import day_range
 from gridmart.operators import gaps, grids, profiles
 from gridmart.operators.joins import missing_on_right
-from gridmart.schemas import QC_REPORT
+
+# Names of the checks as published, but those that the label and
+# source names complete ("Duplicate Gold keys", "Gold rows = distinct keys",
+# "Gold keys mapped to Electricity", "Gold keys mapped to Weather").
+REGION_COMPLETENESS = "Region completeness"
+HOURLY_CONTINUITY = "Hourly continuity"
+REQUIRED_NOT_NULL = "Required Gold fields not null"
+DST_DAYS_COMPLETE = "DST UTC day completeness"
 
 
 class QualityGateError(RuntimeError):
@@ -53,36 +61,47 @@ def check_keys(df: DataFrame, keys: list[str], label: str = "Gold") -> DataFrame
     r1 = F.struct(F.lit(f"{label} rows = distinct keys").alias("check"),
                   _status(F.col("rows") == F.col("distinct_keys")).alias("status"),
                   F.format_string("rows=%d, distinct_keys=%d", "rows", "distinct_keys").alias("detail"))
-    r2 = F.struct(F.lit(f"{label} duplicate keys").alias("check"),
+    r2 = F.struct(F.lit(f"Duplicate {label} keys").alias("check"),
                   _status(F.col("duplicate_keys") == 0).alias("status"),
-                  F.format_string("duplicate_keys=%d", "duplicate_keys").alias("detail"))
+                  F.format_string("repeated=%d", "duplicate_keys").alias("detail"))
     return s.select(F.inline(F.array(r1, r2)))
 
 
+def per_key_counts(df: DataFrame, keys: list[str], required: list[str]) -> DataFrame:
+    """One row per key: its rows (``_n``) and those with a NULL in a required
+    column (``_nulls``).  Every check that needs keys, hours or day counts can
+    read this instead of the table."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                 F.count_if(any_null(required)).alias("_nulls"))
+
+
 def check_basics(df: DataFrame, keys: list[str], required: list[str], hour_col: str,
                  label: str = "Gold", not_null_name: str = "Required fields not null",
                  range_name: str = "Time range") -> DataFrame:
     """``check_keys`` + ``check_not_null`` + ``info_time_range`` from one
     aggregation over per-key partial counts (one scan, one shuffle)."""
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(any_null(required)).alias("_nulls"),
-        F.min(hour_col).alias("_lo"), F.max(hour_col).alias("_hi"))
+    return check_basics_of(per_key_counts(df, keys, required), hour_col, label, not_null_name, range_name)
+
+
+def check_basics_of(per_key: DataFrame, hour_col: str, label: str = "Gold",
+                    not_null_name: str = "Required fields not null",
+                    range_name: str = "Time range") -> DataFrame:
+    """``check_basics`` of stored ``per_key_counts``."""
     a = per_key.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
         F.count(F.lit(1)).alias("distinct_keys"),
         F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
         F.coalesce(F.sum("_nulls"), F.lit(0)).cast("long").alias("nulls"),
-        F.min("_lo").cast("string").alias("lo"), F.max("_hi").cast("string").alias("hi"))
+        F.min(hour_col).cast("string").alias("lo"), F.max(hour_col).cast("string").alias("hi"))
     rows = [
         F.struct(F.lit(f"{label} rows = distinct keys").alias("check"),
                  _status(F.col("rows") == F.col("distinct_keys")).alias("status"),
                  F.format_string("rows=%d, distinct_keys=%d", "rows", "distinct_keys").alias("detail")),
-        F.struct(F.lit(f"{label} duplicate keys").alias("check"),
+        F.struct(F.lit(f"Duplicate {label} keys").alias("check"),
                  _status(F.col("duplicate_keys") == 0).alias("status"),
-                 F.format_string("duplicate_keys=%d", "duplicate_keys").alias("detail")),
+                 F.format_string("repeated=%d", "duplicate_keys").alias("detail")),
         F.struct(F.lit(not_null_name).alias("check"), _status(F.col("nulls") == 0).alias("status"),
-                 F.format_string("rows_with_required_nulls=%d", "nulls").alias("detail")),
+                 F.format_string("rows_lacking_a_value=%d", "nulls").alias("detail")),
         F.struct(F.lit(range_name).alias("check"), F.lit("INFO").alias("status"),
                  F.format_string("min=%s, max=%s", F.coalesce("lo", F.lit("-")),
                                  F.coalesce("hi", F.lit("-"))).alias("detail")),
@@ -90,18 +109,27 @@ def check_basics(df: DataFrame, keys: list[str], required: list[str], hour_col:
     return a.select(F.inline(F.array(*rows)))
 
 
+def check_no_rows(df: DataFrame, name: str, what: str) -> DataFrame:
+    """A list of faults is empty."""
+    return _one(df.agg(F.count(F.lit(1)).alias("n")), name, _status(F.col("n") == 0),
+                F.format_string(f"{what}=%d", "n"))
+
+
 def check_members(df: DataFrame, col: str, expected: DataFrame, name: str) -> DataFrame:
-    """Set equality of present and expected members."""
+    """Set equality of present and expected members; tells how many differ and
+    the first of each kind (a corrupted column may hold any number)."""
     sets = profiles.member_sets(df, col, expected)
-    agg = sets.agg(
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("status") == "missing", F.col("member")))), ",").alias("m"),
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("status") == "unexpected", F.col("member")))), ",").alias("u"),
-        F.count(F.lit(1)).alias("n"))
+    missing, odd = F.col("status") == "missing", F.col("status") == "unexpected"
+    agg = sets.agg(F.count_if(missing).alias("m"), F.count_if(odd).alias("u"),
+                   F.min(F.when(missing, F.col("member"))).alias("m1"),
+                   F.min(F.when(odd, F.col("member"))).alias("u1"),
+                   F.count(F.lit(1)).alias("n"))
     return _one(agg, name, _status(F.col("n") == 0),
-                F.format_string("missing=[%s], unexpected=[%s]", "m", "u"))
+                F.format_string("missing=%d (first: %s), unexpected=%d (first: %s)",
+                                "m", F.coalesce("m1", F.lit("-")), "u", F.coalesce("u1", F.lit("-"))))
 
 
-def check_continuity(df: DataFrame, key: str, hour_col: str, name: str = "Hourly continuity") -> DataFrame:
+def check_continuity(df: DataFrame, key: str, hour_col: str, name: str = HOURLY_CONTINUITY) -> DataFrame:
     """Interior gaps between consecutive present hours of a key."""
     g = gaps.segmented_gaps(df.select(key, hour_col), key, hour_col)
     agg = g.agg(F.count(F.lit(1)).alias("n"))
@@ -115,13 +143,6 @@ def check_mapped(df: DataFrame, other_keys: DataFrame, keys: list[str], name: st
     return _one(agg, name, _status(F.col("n") == 0), F.format_string("missing_keys=%d", "n"))
 
 
-def info_source_only(source_keys: DataFrame, df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Keys of a source absent from ``df``: informational."""
-    only = missing_on_right(source_keys.select(*keys).distinct(), df, keys)
-    agg = only.agg(F.count(F.lit(1)).alias("n"))
-    return _one(agg, name, F.lit("INFO"), F.format_string("source_only_keys=%d", "n"))
-
-
 def key_presence(frames: dict[str, DataFrame], keys: list[str]) -> DataFrame:
     """One row per distinct key over all ``frames`` with one boolean column
     ``in_<name>`` per frame.
@@ -150,7 +171,7 @@ def check_mappings(df: DataFrame, sources: dict[str, DataFrame], keys: list[str]
     a = p.agg(*aggs)
     rows = []
     for n in sources:
-        rows.append(F.struct(F.lit(f"{label} keys map to {n}").alias("check"),
+        rows.append(F.struct(F.lit(f"{label} keys mapped to {n}").alias("check"),
                              _status(F.col(f"miss_{n}") == 0).alias("status"),
                              F.format_string("missing_keys=%d", f"miss_{n}").alias("detail")))
     for n in sources:
@@ -163,19 +184,27 @@ def check_mappings(df: DataFrame, sources: dict[str, DataFrame], keys: list[str]
 def check_not_null(df: DataFrame, columns: list[str], name: str = "Required fields not null") -> DataFrame:
     agg = df.agg(F.count_if(any_null(columns)).alias("n"))
     return _one(agg, name, _status(F.col("n") == 0),
-                F.format_string("rows_with_required_nulls=%d", "n"))
+                F.format_string("rows_lacking_a_value=%d", "n"))
 
 
 def day_exceptions(df: DataFrame, key: str, hour_col: str, members: DataFrame,
-                   days: list[str] | None = None, expected: int = 24) -> DataFrame:
+                   days: list[str] | None = None, expected: int = 24,
+                   rows: str | None = None) -> DataFrame:
     """(member, UTC day, rows) of every grid cell whose row count is not
     ``expected``; an absent day shows with 0 rows.
 
-    ``days``: the days to check (e.g. the DST change days); default every day
-    between the first and last row.
+    ``days``: the days to check (e.g. the DST change days), which are cut out
+    by the raw time before anything is grouped; default every day between the
+    first and last row.  ``rows``: a column that holds how many rows each row
+    stands for.
     """
     day = F.to_date(hour_col)
-    counts = profiles.counts_by(df, [F.col(key), day.alias("day")], "rows")
+    if days is not None:
+        df = df.filter(functools.reduce(lambda a, b: a | b,
+                                        [day_range(hour_col, d, ntz=_is_ntz(df, hour_col)) for d in days],
+                                        F.lit(False)))
+    counts = df.groupBy(F.col(key), day.alias("day")).agg(
+        F.sum(F.col(rows) if rows else F.lit(1)).alias("rows"))
     m = members.select(F.col(members.columns[0]).alias(key)).distinct()
     if days is not None:
         grid = m.select(key, F.explode(F.array(*[F.lit(d).cast("date") for d in days])).alias("day"))
@@ -192,10 +221,10 @@ def day_exceptions(df: DataFrame, key: str, hour_col: str, members: DataFrame,
 
 def check_day_completeness(df: DataFrame, key: str, hour_col: str, members: DataFrame,
                            days: list[str] | None = None, expected: int = 24,
-                           name: str = "UTC day completeness") -> DataFrame:
+                           name: str = "UTC day completeness", rows: str | None = None) -> DataFrame:
     """Every (member, UTC day) of the grid holds exactly ``expected`` rows.  A
     day with no row counts as wrong, which a group-only check misses."""
-    wrong = day_exceptions(df, key, hour_col, members, days, expected)
+    wrong = day_exceptions(df, key, hour_col, members, days, expected, rows)
     agg = wrong.agg(F.count(F.lit(1)).alias("n"))
     return _one(agg, name, _status(F.col("n") == 0),
                 F.format_string("unexpected_day_counts=%d", "n"))
@@ -228,7 +257,3 @@ def enforce(rep: DataFrame) -> list:
     if failed:
         raise QualityGateError(failed, rows)
     return rows
-
-
-def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], QC_REPORT)

@@ -10,34 +10,50 @@ column is derived from the key's time (so a key never changes partition):
 it reads only the partitions the source touches, writes the merged rows to a
 fresh staging folder under the shared ``spark.checkpoint.dir`` (cutting the
 lineage on storage that survives executor loss), then replaces just those
-partitions with a dynamic partition overwrite.  Re-running the same source is
-idempotent.  Not atomic across partitions: a failure between the two writes
-leaves the target as before or with some partitions replaced by their final
-content, never with partial partitions.
-
-Like MERGE, NULL keys never match.  Several source rows for one key are
-refused (MERGE raises for them too); ``latest_per_key`` resolves them first
-when the caller wants "latest wins".
+partitions with a dynamic partition overwrite and removes the staging folder.
+Re-running the same source is idempotent.  Not atomic across partitions: a
+failure between the two writes leaves the target as before or with some
+partitions replaced by their final content, never with partial partitions.
+
+The touched partitions stay a table: the target is matched with them by a
+null-safe semi-join (rows of the NULL partition are merged like any other) and
+narrowed by their literal range first, so the scan prunes.  Nothing depends on
+how many there are.
+
+Like MERGE, NULL keys never match.  A row without a full key (say, a malformed
+time) can not be identified by it; ``upsert_path`` identifies such rows by their
+whole content but the audit columns, so loading the same bad row twice leaves
+one.  Several source rows for one full key are refused (MERGE raises for them
+too); ``latest_per_key`` resolves them first when the caller wants "latest wins".
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridmart.session import staging_path
+from gridmart.session import remove_path, shared_dir, staging_path
+from gridmart.sources.tables import exists
 
-# Above this many touched partitions the partition filter is a semi-join
-# instead of a literal IN list.
-MAX_LITERAL_PARTITIONS = 10_000
+# Columns that tell when a row was loaded, not what it says.
+AUDIT_COLUMNS = ("ingestion_time",)
 
 
 class DuplicateSourceKeys(ValueError):
     """The upsert source holds a key more than once."""
 
 
+def full_key(keys: list[str]) -> Column:
+    return functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def duplicate_key_count(df: DataFrame, keys: list[str]) -> int:
-    return (df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count())
+    return (df.filter(full_key(keys)).groupBy(*keys).count()
+              .filter(F.col("count") > 1).limit(1).count())
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:
@@ -56,6 +72,14 @@ def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
+def latest_landed(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """``latest_per_key`` for rows with a full key; every other row stays.
+    ``order_col`` is dropped."""
+    whole = latest_per_key(df.filter(full_key(keys)), keys, order_col)
+    rest = df.filter(~full_key(keys))
+    return whole.unionByName(rest).drop(order_col)
+
+
 def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str],
                  check_unique: bool = True) -> DataFrame:
     """Target rows not replaced by the source, plus every source row."""
@@ -66,56 +90,97 @@ def upsert_frame(target: DataFrame, source: DataFrame, keys: list[str],
     return kept.unionByName(src)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+def _without_repeated_content(target: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
+    """Target rows but those without a full key that the source holds again."""
+    content = [c for c in target.columns if c not in AUDIT_COLUMNS]
+    again = src.filter(~full_key(keys)).select(*[F.col(c).alias(f"_s_{c}") for c in content]).distinct()
+    same = functools.reduce(lambda a, b: a & b,
+                            [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in content])
+    odd = target.filter(~full_key(keys)).join(again, same, "left_anti")
+    return target.filter(full_key(keys)).unionByName(odd)
+
+
+@dataclass(frozen=True)
+class Touched:
+    """The partition values a load touched: a one-column table in the shared
+    folder and its range."""
+    values: DataFrame
+    column: str
+    low: object
+    high: object
+    has_null: bool
+
+    @staticmethod
+    def of(df: DataFrame, column: str) -> "Touched":
+        values = df.select(column).distinct().checkpoint(eager=True)
+        r = values.agg(F.min(column).alias("lo"), F.max(column).alias("hi"),
+                       F.count_if(F.col(column).isNull()).alias("nulls")).first()
+        return Touched(values, column, r["lo"], r["hi"], r["nulls"] > 0)
+
+    def union(self, other: "Touched | None") -> "Touched":
+        if other is None:
+            return self
+        both = other.values.withColumnRenamed(other.column, self.column)
+        return Touched.of(self.values.unionByName(both), self.column)
+
+    def rows_of(self, df: DataFrame, column: str | None = None) -> DataFrame:
+        """The rows of ``df`` in these partitions (its ``column``)."""
+        column = column or self.column
+        inside = F.lit(False) if self.low is None else F.col(column).between(F.lit(self.low), F.lit(self.high))
+        if self.has_null:
+            inside = inside | F.col(column).isNull()
+        values = self.values.withColumnRenamed(self.column, "_touched")
+        return df.filter(inside).join(values, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
 def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
-                keys: list[str], partition_col: str, check_unique: bool = True,
-                return_partitions: bool = False):
+                keys: list[str], partition_col: str,
+                check_unique: bool = True) -> tuple[int, Touched | None]:
     """Upsert ``source`` into the parquet table at ``target_path``.
 
-    Returns the number of source rows applied (0: nothing written), or with
-    ``return_partitions`` the pair (rows, touched partition values); the
-    values are None when there are more than ``MAX_LITERAL_PARTITIONS``.
+    Returns the number of source rows applied and the partitions they touch;
+    (0, None) for an empty source, which writes nothing.
     """
+    shared_dir(spark)          # the touched partitions are checkpointed there
     src = source.cache()
     try:
         if check_unique:
             # row count and key uniqueness from one aggregation
             st = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-                     .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"), F.max("_c").alias("m")).first())
+                     .agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"),
+                          F.max(F.when(full_key(keys), F.col("_c"))).alias("m")).first())
             if st["m"] is not None and st["m"] > 1:
                 raise DuplicateSourceKeys(f"upsert source has repeated keys {keys}")
             n = int(st["n"])
         else:
             n = src.count()
         if n == 0:
-            return (0, []) if return_partitions else 0
-        touched = src.select(partition_col).distinct()
-        rows = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
-        parts = [r[0] for r in rows] if len(rows) <= MAX_LITERAL_PARTITIONS else None
+            return 0, None
+        touched = Touched.of(src, partition_col)
         writer_opts = {"partitionOverwriteMode": "dynamic"}
-        if not _path_exists(spark, target_path):
+        if not exists(spark, target_path):
             (src.hint("rebalance", partition_col).write.mode("overwrite").options(**writer_opts)
                 .partitionBy(partition_col).parquet(target_path))
-            return (n, parts) if return_partitions else n
-        target = spark.read.parquet(target_path)
-        if parts is not None:
-            # literal IN list: static partition pruning of the target scan
-            target = target.filter(F.col(partition_col).isin(parts))
-        else:
-            target = target.join(touched, partition_col, "left_semi")
-        merged = upsert_frame(target, src.select(*target.columns), keys, check_unique=False)
+            return n, touched
+        # the schema is the source's: a table without a data file, or whose
+        # only partition is the NULL one, has none that could be inferred
+        schema = _nullable(src.schema)
+        target = touched.rows_of(spark.read.schema(schema).parquet(target_path))
+        target = target.select(*src.columns)
+        merged = upsert_frame(_without_repeated_content(target, src, keys), src, keys, check_unique=False)
         stage = staging_path(spark, "upsert")
-        (merged.hint("rebalance", partition_col)
-               .write.mode("overwrite").partitionBy(partition_col).parquet(stage))
-        (spark.read.parquet(stage).select(*target.columns)
-              .write.mode("overwrite").options(**writer_opts)
-              .partitionBy(partition_col).parquet(target_path))
-        return (n, parts) if return_partitions else n
+        try:
+            (merged.hint("rebalance", partition_col)
+                   .write.mode("overwrite").partitionBy(partition_col).parquet(stage))
+            (spark.read.schema(schema).parquet(stage).select(*src.columns)
+                  .write.mode("overwrite").options(**writer_opts)
+                  .partitionBy(partition_col).parquet(target_path))
+        finally:
+            remove_path(spark, stage)
+        return n, touched
     finally:
         src.unpersist()

@@ -22,12 +22,33 @@ P AS (
          arg_min(price, ts) FILTER (WHERE price IS NOT NULL) AS first_price,
          COUNT(*) AS n_obs
   FROM P GROUP BY 1, 2
+), PHA AS (
+  SELECT event_type AS region, date_trunc('hour', ts) AS hour_utc,
+         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS price,
+         arg_min(value, ts) FILTER (WHERE value IS NOT NULL) AS first_price,
+         COUNT(*) AS n_obs
+  FROM events GROUP BY 1, 2
+), XHA AS (
+  SELECT CASE event_type WHEN 'click' THEN 'SE1' WHEN 'error' THEN 'SE2' WHEN 'purchase' THEN 'SE3'
+                         WHEN 'signup' THEN 'SE4' ELSE event_type END AS region,
+         date_trunc('hour', ts) AS hour_utc,
+         AVG(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS temperature
+  FROM events GROUP BY 1, 2
+), LOC AS (
+  SELECT * FROM (VALUES ('SE1', 'Lulea', 65.5848::DOUBLE, 22.1547::DOUBLE), ('SE2', 'Umea', 63.8258, 20.2630),
+                        ('SE3', 'Stockholm', 59.3293, 18.0686), ('SE4', 'Malmo', 55.6050, 13.0038))
+           t(region, location, latitude, longitude)
 ), XH AS (
   SELECT region, date_trunc('hour', ts) AS hour_utc, AVG(temperature) AS temperature
   FROM X GROUP BY 1, 2
 ), G AS (
   SELECT PH.region, PH.hour_utc, price, first_price, n_obs, temperature
   FROM PH JOIN XH ON PH.region = XH.region AND PH.hour_utc = XH.hour_utc
+), GW AS (
+  SELECT G.*, wind FROM G JOIN
+         (SELECT event_type AS region, date_trunc('hour', ts) AS hour_utc, AVG(CAST(user_id % 20 AS DOUBLE)) AS wind
+          FROM events WHERE event_id % 2 = 1 GROUP BY 1, 2) W
+         ON G.region = W.region AND G.hour_utc = W.hour_utc
 ), K AS (
   SELECT DISTINCT event_type AS region, date_trunc('hour', ts) AS hour_utc FROM events
 ), GAPS AS (
@@ -79,7 +100,7 @@ def _local(c: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "hourly_rollup": _w("SELECT * FROM PH"),
+    "hourly_rollup": _w("SELECT * FROM PHA"),
     "gold_hourly_join": _w("SELECT * FROM G"),
     "overlap_range": _w(
         "SELECT PH.* FROM PH, B WHERE PH.hour_utc BETWEEN B.lo AND B.hi",
@@ -211,27 +232,27 @@ ORACLE: dict[str, str] = {
                   CASE WHEN r = dk THEN 'PASS' ELSE 'FAIL' END AS status,
                   'rows=' || r || ', distinct_keys=' || dk AS detail FROM KS
            UNION ALL
-           SELECT 'Gold duplicate keys', CASE WHEN dup = 0 THEN 'PASS' ELSE 'FAIL' END,
-                  'duplicate_keys=' || dup FROM KS
+           SELECT 'Duplicate Gold keys', CASE WHEN dup = 0 THEN 'PASS' ELSE 'FAIL' END,
+                  'repeated=' || dup FROM KS
            UNION ALL
            SELECT 'Region completeness', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-                  'missing=[' || m || '], unexpected=[' || u || ']' FROM MSA
+                  'missing=' || m || ' (first: ' || m1 || '), unexpected=' || u || ' (first: ' || u1 || ')' FROM MSA
            UNION ALL
            SELECT 'Hourly continuity', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
                   'unexpected_gaps=' || n FROM NG
            UNION ALL
-           SELECT 'Gold keys map to price', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
+           SELECT 'Gold keys mapped to Electricity', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
                   'missing_keys=' || n FROM MP
            UNION ALL
-           SELECT 'Gold keys map to weather', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
+           SELECT 'Gold keys mapped to Weather', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
                   'missing_keys=' || n FROM MW
            UNION ALL
-           SELECT 'Price-only keys', 'INFO', 'source_only_keys=' || n FROM PO
+           SELECT 'Electricity-only keys', 'INFO', 'source_only_keys=' || n FROM PO
            UNION ALL
            SELECT 'Weather-only keys', 'INFO', 'source_only_keys=' || n FROM WO
            UNION ALL
-           SELECT 'Required fields not null', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
-                  'rows_with_required_nulls=' || n FROM NN
+           SELECT 'Required Gold fields not null', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
+                  'rows_lacking_a_value=' || n FROM NN
            UNION ALL
            SELECT 'UTC day completeness', CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END,
                   'unexpected_day_counts=' || n FROM DC
@@ -246,8 +267,9 @@ ORACLE: dict[str, str] = {
         """MS AS (SELECT member, 'missing' AS status FROM PT WHERE member NOT IN (SELECT member FROM GM)
                   UNION ALL
                   SELECT member, 'unexpected' AS status FROM GM WHERE member NOT IN (SELECT member FROM PT))""",
-        """MSA AS (SELECT COALESCE(string_agg(member, ',' ORDER BY member) FILTER (WHERE status = 'missing'), '') AS m,
-                          COALESCE(string_agg(member, ',' ORDER BY member) FILTER (WHERE status = 'unexpected'), '') AS u,
+        """MSA AS (SELECT COUNT(*) FILTER (WHERE status = 'missing') AS m, COUNT(*) FILTER (WHERE status = 'unexpected') AS u,
+                          COALESCE(min(member) FILTER (WHERE status = 'missing'), '-') AS m1,
+                          COALESCE(min(member) FILTER (WHERE status = 'unexpected'), '-') AS u1,
                           COUNT(*) AS n FROM MS)""",
         """NG AS (SELECT COUNT(*) AS n FROM
                   (SELECT hour_utc, lag(hour_utc) OVER (PARTITION BY region ORDER BY hour_utc) AS prev FROM G)
@@ -284,23 +306,37 @@ ORACLE: dict[str, str] = {
         """SELECT vec_id, CAST(idx AS BIGINT) AS idx, CAST(c AS DOUBLE) AS component FROM
            (SELECT vec_id, unnest(generate_series(1, len(embedding))) AS idx, unnest(embedding) AS c
             FROM embeddings)"""),
-    "location_enrich": _w("SELECT * FROM CR"),
+    "location_enrich": _w(
+        """SELECT XHA.region, strftime(hour_utc, '%Y-%m-%dT%H:%M') AS weather_time_utc, location, latitude, longitude
+           FROM XHA LEFT JOIN LOC ON XHA.region = LOC.region"""),
+    "dimension_join": _w("SELECT * FROM CR"),
+    "upsert_null_days": _w(
+        """SELECT * FROM T WHERE event_id IS NOT NULL AND event_id NOT IN (SELECT event_id FROM S WHERE event_id IS NOT NULL)
+           UNION ALL
+           SELECT * FROM T WHERE event_id IS NULL AND NOT EXISTS
+             (SELECT 1 FROM S WHERE S.event_id IS NULL AND S.ts = T.ts AND S.user_id = T.user_id
+                AND S.event_type = T.event_type AND S.value = T.value AND S.day IS NOT DISTINCT FROM T.day)
+           UNION ALL SELECT * FROM S""",
+        """E AS (SELECT CASE WHEN event_id % 11 <> 0 THEN event_id END AS event_id, event_id AS id, ts, user_id,
+                        event_type, value, CASE WHEN event_id % 7 <> 0 THEN CAST(ts AS DATE) END AS day FROM events)""",
+        "T AS (SELECT * EXCLUDE (id) FROM E WHERE id % 3 <> 0)",
+        "S AS (SELECT * EXCLUDE (id) REPLACE (value * 2 AS value) FROM E WHERE id % 3 <> 1)"),
     "silver_projection": _w(
         f"""SELECT event_id, event_type AS region, ts, value,
                    CAST(ts AS DATE) AS utc_date, CAST(hour(ts) AS INTEGER) AS utc_hour,
                    CAST({_local('ts')} AS DATE) AS local_date,
                    CAST(hour({_local('ts')}) AS INTEGER) AS local_hour
             FROM events"""),
-    "silver_prices": _w("SELECT * FROM SPX", SPX),
+    "silver_prices": _w("SELECT * FROM SPX", SPX.replace("WHERE event_id % 2 = 0", "")),
     "silver_weather": _w(
         f"""SELECT CAST({LOCAL.format(c="hour_utc")} AS DATE) AS weather_date, hour_utc AS weather_time_utc,
                    {LOCAL.format(c="hour_utc")} AS weather_time_local,
                    CAST(hour({LOCAL.format(c="hour_utc")}) AS INTEGER) AS weather_hour,
-                   region, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude,
+                   XHA.region, location, latitude, longitude,
                    temperature AS temperature_2m, CAST(50.0 AS DOUBLE) AS relative_humidity_2m,
                    CAST(0.0 AS DOUBLE) AS precipitation, temperature / CAST(10.0 AS DOUBLE) AS wind_speed_10m,
                    1 AS weather_code, 'events' AS source, CAST(hour_utc AS DATE) AS utc_date
-            FROM XH"""),
+            FROM XHA LEFT JOIN LOC ON XHA.region = LOC.region"""),
     "gold_build": _w(
         """SELECT PB.region, PB.hour_utc, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude,
                   NULL::DOUBLE AS longitude, SEK_per_kWh, EUR_per_kWh, EXR,
@@ -344,7 +380,7 @@ ORACLE: dict[str, str] = {
                          least((SELECT max(hour_utc) FROM PL), (SELECT max(hour_utc) FROM WL)) AS hi)""",
         """MK AS (SELECT PL.region, max(PL.hour_utc) AS mark
                   FROM PL JOIN WL ON PL.region = WL.region AND PL.hour_utc = WL.hour_utc, BL
-                  WHERE PL.hour_utc BETWEEN BL.lo AND BL.hi GROUP BY 1)"""),
+                  WHERE PL.hour_utc BETWEEN BL.lo AND BL.hi AND PL.region <> 'signup' GROUP BY 1)"""),
     "monthly_trend": _w(
         """SELECT region, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
                   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(o_totalprice) AS DOUBLE) AS avg_price,
@@ -352,11 +388,13 @@ ORACLE: dict[str, str] = {
            FROM OR_ GROUP BY 1, 2"""),
     "daily_observations": _w(
         """SELECT region, CAST(hour_utc AS DATE) AS day, COUNT(*) AS hours,
-                  round(avg(price), 6) AS avg_price, round(avg(temperature), 6) AS avg_temperature
-           FROM G GROUP BY 1, 2"""),
+                  round(avg(price), 6) AS avg_price, round(avg(temperature), 6) AS avg_temperature,
+                  round(avg(wind), 6) AS avg_wind
+           FROM GW GROUP BY 1, 2"""),
     "region_correlation": _w(
-        """SELECT region, COUNT(*) AS pairs, round(corr(price, temperature), 6) AS corr_price_temperature
-           FROM G GROUP BY 1"""),
+        """SELECT region, COUNT(*) AS pairs, round(corr(price, temperature), 6) AS corr_price_temperature,
+                  round(corr(price, wind), 6) AS corr_price_wind
+           FROM GW GROUP BY 1"""),
     "region_spread": _w(
         """SELECT day, avg_click, avg_view, round(avg_click - avg_view, 6) AS spread FROM
            (SELECT CAST(hour_utc AS DATE) AS day,
@@ -368,10 +406,10 @@ ORACLE: dict[str, str] = {
                   round(SUM(s) OVER () / SUM(n) OVER (), 6) AS overall_mean,
                   round(s / n - SUM(s) OVER () / SUM(n) OVER (), 6) AS difference
            FROM (SELECT region, SUM(price) AS s, COUNT(price) AS n FROM G GROUP BY 1)"""),
-    "price_volatility": _w("SELECT region, round(stddev_samp(price), 6) AS stddev_price FROM PH GROUP BY 1"),
+    "price_volatility": _w("SELECT region, round(stddev_samp(price), 6) AS stddev_price FROM PHA GROUP BY 1"),
     "seasonal_profile": _w(
         """SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day,
-                  CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(price) AS DOUBLE) AS avg_price,
-                  COUNT(price) AS observations
-           FROM P GROUP BY 1"""),
+                  CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS avg_price,
+                  COUNT(value) AS observations
+           FROM events GROUP BY 1"""),
 }

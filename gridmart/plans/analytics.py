@@ -28,14 +28,14 @@ def monthly_trend(df: DataFrame, key: str, time_col: str, value: str, *,
 
 
 def daily_observations(gold: DataFrame, key: str, hour_col: str, measures: list[str],
-                       digits: int | None = 6) -> DataFrame:
+                       digits: int | None = None) -> DataFrame:
     """Per (key, UTC day): hours present and the daily mean of each measure."""
     return gold.groupBy(F.col(key), F.to_date(hour_col).alias("day")).agg(
         F.count(F.lit(1)).alias("hours"),
         *[_r(F.avg(m), digits).alias(f"avg_{m}") for m in measures])
 
 
-def correlation(gold: DataFrame, key: str, a: str, b: str, digits: int | None = 6,
+def correlation(gold: DataFrame, key: str, a: str, b: str, digits: int | None = None,
                 out: str | None = None) -> DataFrame:
     """Pearson correlation of two measures per key (NULL for fewer than two
     pairs)."""
@@ -45,21 +45,20 @@ def correlation(gold: DataFrame, key: str, a: str, b: str, digits: int | None =
 
 
 def pair_spread(gold: DataFrame, key: str, hour_col: str, measure: str,
-                left: str, right: str, digits: int | None = 6) -> DataFrame:
+                left: str, right: str, digits: int | None = None) -> DataFrame:
     """Per UTC day: mean of ``measure`` for member ``left`` minus the mean for
     member ``right`` (NULL when either is absent that day)."""
     day = F.to_date(hour_col)
     lhs = _r(F.avg(F.when(F.col(key) == left, F.col(measure))), digits)
     rhs = _r(F.avg(F.when(F.col(key) == right, F.col(measure))), digits)
-    # The spread is taken between the displayed (rounded) means, so it never
-    # lands on a rounding tie of its own.
+    # With ``digits`` the spread is that of the rounded means it is shown with.
     return (gold.filter(F.col(key).isin(left, right))
                 .groupBy(day.alias("day"))
                 .agg(lhs.alias(f"avg_{left}"), rhs.alias(f"avg_{right}"))
                 .withColumn("spread", _r(F.col(f"avg_{left}") - F.col(f"avg_{right}"), digits)))
 
 
-def level_vs_overall(gold: DataFrame, key: str, measure: str, digits: int | None = 6) -> DataFrame:
+def level_vs_overall(gold: DataFrame, key: str, measure: str, digits: int | None = None) -> DataFrame:
     """Per key: its mean, the overall mean and the difference."""
     # The window spans the aggregated frame: one row per key, not the data.
     per = gold.groupBy(key).agg(F.sum(measure).alias("_s"), F.count(measure).alias("_n"))
@@ -71,7 +70,7 @@ def level_vs_overall(gold: DataFrame, key: str, measure: str, digits: int | None
                       _r(F.col("_s") / F.col("_n") - tot / cnt, digits).alias("difference"))
 
 
-def volatility(df: DataFrame, key: str, measure: str, digits: int | None = 6) -> DataFrame:
+def volatility(df: DataFrame, key: str, measure: str, digits: int | None = None) -> DataFrame:
     """Sample standard deviation of a measure per key."""
     return df.groupBy(key).agg(_r(F.stddev_samp(measure), digits).alias(f"stddev_{measure}"))
 

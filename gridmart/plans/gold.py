@@ -20,7 +20,7 @@ from gridmart.functions.timecols import (as_instant, hour_key, period,
 from gridmart.operators import marks as marks_op
 from gridmart.operators.joins import keyed_join, overlap_bounds
 from gridmart.operators.rollup import hourly_rollup
-from gridmart.schemas import GOLD, GOLD_KEYS, REGIONS, WEATHER_MEASURES
+from gridmart.schemas import GOLD, GOLD_KEYS, WEATHER_MEASURES
 
 GOLD_COLUMNS = GOLD.fieldNames()
 HOUR = _dt.timedelta(hours=1)
@@ -74,8 +74,13 @@ def _weather_window(silver_weather: DataFrame, lo: _dt.datetime, hi_excl: _dt.da
 
 def common_range(silver_prices: DataFrame, silver_weather: DataFrame):
     """First and last common hour of the two feeds, as UTC walls (or None)."""
-    p = silver_prices.select(utc_wall(hour_key("time_start", ntz=False)).alias("h"))
-    w = silver_weather.select(hour_key("weather_time_utc", ntz=True).alias("h"))
+    # the raw columns' minimum and maximum, truncated after: the order of
+    # hours is that of times, and the scans read the column's own statistics
+    p = silver_prices.agg(F.min("time_start").alias("lo"), F.max("time_start").alias("hi")) \
+        .select(F.explode(F.array("lo", "hi")).alias("t")) \
+        .select(utc_wall(hour_key("t", ntz=False)).alias("h"))
+    w = silver_weather.agg(F.min("weather_time_utc").alias("lo"), F.max("weather_time_utc").alias("hi")) \
+        .select(F.explode(F.array("lo", "hi")).alias("t")).select(hour_key("t", ntz=True).alias("h"))
     return overlap_bounds(p, "h", w, "h")
 
 
@@ -91,9 +96,8 @@ def build(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFra
 
 
 def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame,
-              gold_target: DataFrame | None, *, lookback: _dt.timedelta | None = None,
-              mark_scope: str = "region", expected_regions: list[str] = REGIONS,
-              granularity: str = "day", mean_scale: int | None = None) -> DataFrame:
+              gold_target: DataFrame, *, lookback: _dt.timedelta | None = None,
+              mark_scope: str = "region", granularity: str = "day", mean_scale: int | None = None) -> DataFrame:
     """Gold rows for the hours after each region's high-water mark.
 
     mark_scope "region": one mark per region (a lagging region is caught up);
@@ -101,30 +105,33 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
     re-derives that much history before the mark, so late corrections reach
     gold through the upsert.  No target / no mark -> everything.
     """
-    if gold_target is None:
-        return build(spark, silver_prices, silver_weather, granularity, mean_scale)
-    sp = silver_prices.withColumn("_hour", hour_key("time_start", ntz=False))
-    sw = silver_weather.withColumn("_hour", hour_key(as_instant("weather_time_utc"), ntz=False))
     back = lookback or _dt.timedelta(0)
+    marked = gold_target.filter(F.col("hour_utc").isNotNull())
     if mark_scope == "global":
-        mark = gold_target.agg(F.max(utc_wall("hour_utc")).alias("m")).first()["m"]
+        mark = marked.agg(F.max(utc_wall("hour_utc")).alias("m")).first()["m"]
         if mark is None:
             return build(spark, silver_prices, silver_weather, granularity, mean_scale)
-        lo = mark - back + HOUR
-        ph = price_hourly(sp.filter((F.col("_hour") > utc_literal(mark - back, ntz=False))
-                                    & _parts_from(lo, granularity)).drop("_hour"), mean_scale)
-        wh = weather_hourly(sw.filter((F.col("_hour") > utc_literal(mark - back, ntz=False))
-                                      & _parts_from(lo, granularity)).drop("_hour"))
+        lo = mark - back + HOUR           # hours strictly after the mark
+        ph = price_hourly(silver_prices.filter(
+            (F.col("time_start") >= utc_literal(lo, ntz=False)) & _parts_from(lo, granularity)), mean_scale)
+        wh = weather_hourly(silver_weather.filter(
+            (F.col("weather_time_utc") >= utc_literal(lo, ntz=True)) & _parts_from(lo, granularity)))
         return join_hourly(ph, wh, granularity)
-    marks = marks_op.high_water_marks(gold_target, "region", "hour_utc")
-    # A literal lower bound for pruning is safe only when every expected
-    # region has a mark (a region without one takes all of its history).
-    s = marks.agg(F.min(utc_wall("mark")).alias("lo"),
-                  F.count_if(F.col("region").isin(expected_regions)).alias("n")).first()
-    if s["lo"] is not None and s["n"] >= len(set(expected_regions)):
+    marks = marks_op.high_water_marks(marked, "region", "hour_utc")
+    s = marks.agg(F.min(utc_wall("mark")).alias("lo"), F.collect_set("region").alias("regions")).first()
+    sp, sw = silver_prices, silver_weather
+    if s["lo"] is not None:
+        # A literal lower bound on the raw time lets the scans skip files and
+        # row groups.  It holds for the regions that have a mark; a region
+        # without one takes all of its history.
         floor = s["lo"] - back
-        sp = sp.filter((F.col("_hour") > utc_literal(floor, ntz=False)) & _parts_from(floor, granularity))
-        sw = sw.filter((F.col("_hour") > utc_literal(floor, ntz=False)) & _parts_from(floor, granularity))
+        other = ~F.col("region").isin(s["regions"])
+        sp = sp.filter(other | ((F.col("time_start") > utc_literal(floor, ntz=False))
+                                & _parts_from(floor, granularity)))
+        sw = sw.filter(other | ((F.col("weather_time_utc") > utc_literal(floor, ntz=True))
+                                & _parts_from(floor, granularity)))
+    sp = sp.withColumn("_hour", hour_key("time_start", ntz=False))
+    sw = sw.withColumn("_hour", hour_key(as_instant("weather_time_utc"), ntz=False))
     new_p = marks_op.increment(sp, marks, "region", "_hour", lookback=lookback)
     new_w = marks_op.increment(sw, marks, "region", "_hour", lookback=lookback)
     return join_hourly(price_hourly(new_p.drop("_hour"), mean_scale), weather_hourly(new_w.drop("_hour")),

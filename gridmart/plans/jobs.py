@@ -18,16 +18,17 @@ from pyspark.sql import functions as F
 from gridmart.functions.timecols import (feed_local_date, hour_key, parse_offset_instant,
                                          parse_wall_ntz, period_of, utc_wall)
 from gridmart.operators import marks as marks_op
-from gridmart.operators import grids, profiles, quality
-from gridmart.operators.upsert import latest_per_key, upsert_path
+from gridmart.operators import profiles, quality
+from gridmart.operators.upsert import Touched, latest_landed, upsert_path
 from gridmart.plans import gold as gold_plan
 from gridmart.plans import silver as silver_plan
-from gridmart.schemas import (BRONZE_PRICE_KEYS, BRONZE_WEATHER_KEYS, GOLD,
+from gridmart.schemas import (BRONZE_PRICE, BRONZE_PRICE_KEYS, BRONZE_WEATHER,
+                              BRONZE_WEATHER_KEYS, GOLD,
                               GOLD_KEYS, LOAD_LOG, LOCAL_ZONE, REGIONS,
                               REQUIRED_GOLD_COLUMNS, SILVER_PRICE,
                               SILVER_PRICE_KEYS, SILVER_WEATHER,
-                              SILVER_WEATHER_KEYS, WEATHER_MEASURES)
-from gridmart.session import assert_utc, staging_path
+                              SILVER_WEATHER_KEYS, UNREADABLE, WEATHER_MEASURES)
+from gridmart.session import assert_utc, shared_dir
 from gridmart.sources import landing, tables
 from gridmart.sources.tables import Layout
 
@@ -40,9 +41,10 @@ def _bronze_price(spark: SparkSession, price_landing: str, since=None, granulari
                                 granularity=granularity)
 
 
-def _bronze_weather(spark: SparkSession, weather_landing: str, since=None, granularity="day") -> DataFrame:
+def _bronze_weather(spark: SparkSession, weather_landing: str, since=None, granularity="day",
+                    source: str = landing.WEATHER_SOURCE) -> DataFrame:
     return landing.weather_bronze(landing.read_weather_landing(spark, weather_landing, since),
-                                  landing.locations(spark), granularity=granularity)
+                                  landing.locations(spark), source, granularity)
 
 
 def log_load(spark: SparkSession, layout: Layout, feed: str, started: _dt.datetime, rows: int) -> None:
@@ -51,21 +53,21 @@ def log_load(spark: SparkSession, layout: Layout, feed: str, started: _dt.dateti
           .write.mode("append").parquet(layout.load_log))
 
 
-def compact_load_log(spark: SparkSession, layout: Layout, max_files: int = 64) -> int:
-    """Rewrite the load log as one file once it holds more than ``max_files``
-    (two tiny files are appended per load).  Goes through a staging copy in
-    the shared folder; if it fails half-way, ``landed_since`` falls back to
-    bronze's ``ingestion_time``.  Returns the number of files before."""
-    log = tables.read(spark, layout.load_log)
-    if log is None:
-        return 0
-    n = len(log.inputFiles())
-    if n <= max_files:
-        return n
-    stage = staging_path(spark, "load-log")
-    log.coalesce(1).write.mode("overwrite").parquet(stage)
-    spark.read.parquet(stage).coalesce(1).write.mode("overwrite").parquet(layout.load_log)
-    return n
+def record_unreadable(spark: SparkSession, layout: Layout, feed: str, files: DataFrame) -> int:
+    """Keeps the list of landed files that could not be parsed: those found in
+    this load, and earlier ones that have not landed again since.  Returns the
+    number of files of ``feed`` that are open."""
+    path = layout.path(f"_unreadable/{feed}")
+    record = "time_start" if feed == "price" else "hourly"
+    seen = files.groupBy("landed_file").agg(F.max(landing.is_unreadable()).alias("bad"),
+                                            F.count(record).alias("records"))
+    old = tables.read(spark, path, UNREADABLE)
+    bad = seen.filter("bad").select("landed_file", F.lit(feed).alias("feed"),
+                                    F.current_timestamp().alias("found_at"), "records")
+    rows = old.join(seen, "landed_file", "left_anti").select(*UNREADABLE.fieldNames()) \
+        .unionByName(bad).checkpoint(eager=True)
+    rows.coalesce(1).write.mode("overwrite").parquet(path)
+    return rows.count()
 
 
 def landed_since(spark: SparkSession, layout: Layout, feed: str, bronze_path: str,
@@ -75,17 +77,15 @@ def landed_since(spark: SparkSession, layout: Layout, feed: str, bronze_path: st
 
     The start is read from the load log (a few rows per day), not from the
     bronze table; without a log the latest ``ingestion_time`` of bronze is
-    used, and without bronze everything is read (None).
+    used, and without bronze everything is read (None).  A file copied into
+    the landing folder with an old modification time is not seen; the landing
+    stream (``streaming.ingest``), which remembers the files it took, sees it.
     """
-    log = tables.read(spark, layout.load_log)
-    last = None
-    if log is not None:
-        last = (log.filter(F.col("feed") == feed)
-                   .agg(F.max(utc_wall("load_started")).alias("t")).first()["t"])
+    log = tables.read(spark, layout.load_log, LOAD_LOG)
+    last = (log.filter(F.col("feed") == feed)
+               .agg(F.max(utc_wall("load_started")).alias("t")).first()["t"])
     if last is None:
-        b = tables.read(spark, bronze_path)
-        if b is None:
-            return None
+        b = tables.read(spark, bronze_path, BRONZE_PRICE if feed == "price" else BRONZE_WEATHER)
         last = b.agg(F.max(utc_wall("ingestion_time")).alias("t")).first()["t"]
     return None if last is None else last - margin
 
@@ -96,56 +96,57 @@ def _now() -> _dt.datetime:
 
 def run_backfill(spark: SparkSession, layout: Layout, price_landing: str,
                  weather_landing: str, zone: str = LOCAL_ZONE) -> dict[str, int]:
-    """Read every landed file once, rebuild all layers.  Returns rows written
-    per table."""
+    """Read every landed file once, rebuild all layers.  A feed without files
+    gives empty layers.  Returns rows written per table and the number of
+    unreadable files per feed."""
     assert_utc(spark)
+    shared_dir(spark)
     out = {}
     g = layout.granularity
     started = _now()
-    out["bronze_price"] = tables.overwrite(_bronze_price(spark, price_landing, granularity=g),
-                                           layout.bronze_price, "feed_date")
+    out["bronze_price"] = tables.overwrite(
+        _bronze_price(spark, price_landing, granularity=g).drop(landing.LANDED), layout.bronze_price, "feed_date")
     log_load(spark, layout, "price", started, out["bronze_price"])
     started = _now()
-    out["bronze_weather"] = tables.overwrite(_bronze_weather(spark, weather_landing, granularity=g),
-                                             layout.bronze_weather, "feed_date")
+    out["bronze_weather"] = tables.overwrite(
+        _bronze_weather(spark, weather_landing, granularity=g).drop(landing.LANDED), layout.bronze_weather,
+        "feed_date")
     log_load(spark, layout, "weather", started, out["bronze_weather"])
-    bp = spark.read.parquet(layout.bronze_price)
-    bw = spark.read.parquet(layout.bronze_weather)
+    _record_both(spark, layout, price_landing, weather_landing, None, None, out)
+    bp = tables.read(spark, layout.bronze_price, BRONZE_PRICE)
+    bw = tables.read(spark, layout.bronze_weather, BRONZE_WEATHER)
     out["silver_price"] = tables.overwrite(silver_plan.prices(bp, zone, g), layout.silver_price, "utc_date")
     out["silver_weather"] = tables.overwrite(silver_plan.weather(bw, zone, g), layout.silver_weather,
                                              "utc_date")
-    sp = spark.read.parquet(layout.silver_price)
-    sw = spark.read.parquet(layout.silver_weather)
+    sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
+    sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
     out["gold"] = tables.overwrite(gold_plan.build(spark, sp, sw, g), layout.gold, "hour_date")
     return out
 
 
-def _silver_increment(bronze: DataFrame, silver_target: DataFrame | None, key: str,
-                      parsed_time, lookback: _dt.timedelta | None, granularity: str) -> DataFrame:
-    """Bronze rows after each region's silver mark (minus lookback)."""
+def _record_both(spark, layout, price_landing, weather_landing, since_p, since_w, out) -> None:
+    out["unreadable_price"] = record_unreadable(
+        spark, layout, "price", landing.read_price_landing(spark, price_landing, since_p))
+    out["unreadable_weather"] = record_unreadable(
+        spark, layout, "weather", landing.read_weather_landing(spark, weather_landing, since_w))
+
+
+def _silver_increment(bronze: DataFrame, silver_target: DataFrame, key: str, parsed_time,
+                      lookback: _dt.timedelta | None, granularity: str) -> DataFrame:
+    """Bronze rows after their region's silver mark (minus lookback), all rows
+    of a region without a mark, and rows whose time does not parse."""
+    m = marks_op.high_water_marks(silver_target.filter(F.col(key).isNotNull()), "region", key)
     b = bronze.withColumn("_t", parsed_time)
-    if silver_target is None:
-        return b.drop("_t")
-    m = marks_op.high_water_marks(silver_target, "region", key)
-    # Partition pruning on bronze: once every expected region has a mark, no
-    # row before the earliest mark (less lookback, less a day for the feed's
-    # own zone) can be needed.
-    s = m.agg(F.min(utc_wall("mark")).alias("lo"),
-              F.count_if(F.col("region").isin(REGIONS)).alias("n")).first()
-    if s["lo"] is not None and s["n"] >= len(REGIONS):
-        floor = s["lo"] - (lookback or _dt.timedelta(0)) - _dt.timedelta(days=1)
-        b = b.filter(F.col("feed_date") >= F.lit(period_of(floor.date(), granularity)))
-    return marks_op.increment(b, m, "region", "_t", lookback=lookback).drop("_t")
-
-
-def _in_parts(df: DataFrame, col: str, parts: list | None) -> DataFrame:
-    """Rows of the listed partitions (a literal IN list: partition pruning);
-    all rows when the list is unknown (too many partitions)."""
-    if parts is None:
-        return df
-    if not parts:
-        return df.filter(F.lit(False))
-    return df.filter(F.col(col).isin(parts))
+    marked = m.agg(F.min(utc_wall("mark")).alias("lo"), F.collect_set("region").alias("regions")).first()
+    if marked["lo"] is not None:
+        # Pruning on bronze: no row of a region with a mark before the
+        # earliest mark (less lookback, less a day for the feed's own zone)
+        # can be needed.  A region without a mark is never cut.
+        floor = marked["lo"] - (lookback or _dt.timedelta(0)) - _dt.timedelta(days=1)
+        recent = F.col("feed_date") >= F.lit(period_of(floor.date(), granularity))
+        other = F.col("region").isNull() | ~F.col("region").isin(marked["regions"])
+        b = b.filter(recent | other | F.col("feed_date").isNull())
+    return marks_op.increment(b, m, "region", "_t", lookback=lookback, keep_null_time=True).drop("_t")
 
 
 def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
@@ -167,10 +168,16 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
       "region") or one global mark ("global"), re-deriving ``lookback``
       before it (None: strictly after, the original rule).
 
+    Of rows with one key the one from the file that landed last wins.  A row
+    whose time does not parse stays in bronze and silver (with a NULL time,
+    which the null profile counts) and reaches no gold hour.  A file that can
+    not be read gives no rows and is listed (``record_unreadable``).
+
     The load log is written after every layer succeeded, so a failed run is
     retried from the same landing files.
     """
     assert_utc(spark)
+    shared_dir(spark)
     if mode not in ("changed", "marks"):
         raise ValueError("mode must be 'changed' or 'marks'")
     out = {}
@@ -178,43 +185,41 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
     since_w = landed_since(spark, layout, "weather", layout.bronze_weather, landing_margin)
     g = layout.granularity
     started = _now()
-    bp = latest_per_key(_bronze_price(spark, price_landing, since_p, g), BRONZE_PRICE_KEYS, "ingestion_time")
-    out["bronze_price"], parts_bp = upsert_path(spark, layout.bronze_price, bp, BRONZE_PRICE_KEYS,
-                                                "feed_date", return_partitions=True)
-    bw = latest_per_key(_bronze_weather(spark, weather_landing, since_w, g), BRONZE_WEATHER_KEYS,
-                        "ingestion_time")
-    out["bronze_weather"], parts_bw = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS,
-                                                  "feed_date", return_partitions=True)
+    bp = latest_landed(_bronze_price(spark, price_landing, since_p, g), BRONZE_PRICE_KEYS, landing.LANDED)
+    out["bronze_price"], touched_bp = upsert_path(spark, layout.bronze_price, bp, BRONZE_PRICE_KEYS, "feed_date")
+    bw = latest_landed(_bronze_weather(spark, weather_landing, since_w, g, landing.WEATHER_INCREMENT_SOURCE),
+                       BRONZE_WEATHER_KEYS, landing.LANDED)
+    out["bronze_weather"], touched_bw = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS,
+                                                    "feed_date")
+    _record_both(spark, layout, price_landing, weather_landing, since_p, since_w, out)
     if mode == "changed":
-        changed_downstream(spark, layout, parts_bp, parts_bw, zone, out)
+        changed_downstream(spark, layout, touched_bp, touched_bw, zone, out)
     else:
         _marks_downstream(spark, layout, lookback, mark_scope, zone, out)
     log_load(spark, layout, "price", started, out["bronze_price"])
     log_load(spark, layout, "weather", started, out["bronze_weather"])
-    compact_load_log(spark, layout)
     return out
 
 
-def changed_downstream(spark: SparkSession, layout: Layout, parts_bp, parts_bw,
-                       zone: str = LOCAL_ZONE, out: dict | None = None) -> dict:
-    """Re-derive silver from the listed bronze partitions of each feed and
-    gold from the silver partitions that changed; [] means "nothing changed
-    in this feed", None "unknown, take all"."""
+def changed_downstream(spark: SparkSession, layout: Layout, touched_bp: Touched | None,
+                       touched_bw: Touched | None, zone: str = LOCAL_ZONE, out: dict | None = None) -> dict:
+    """Re-derive silver from the touched bronze partitions of each feed and
+    gold from the silver partitions that changed; None means "nothing changed
+    in this feed"."""
     out = {} if out is None else out
     g = layout.granularity
-    out["silver_price"], parts_sp = 0, []
-    if parts_bp != [] and tables.exists(spark, layout.bronze_price):
-        new_bp = _in_parts(spark.read.parquet(layout.bronze_price), "feed_date", parts_bp)
-        out["silver_price"], parts_sp = upsert_path(
-            spark, layout.silver_price, silver_plan.prices(new_bp, zone, g), SILVER_PRICE_KEYS,
-            "utc_date", return_partitions=True)
-    out["silver_weather"], parts_sw = 0, []
-    if parts_bw != [] and tables.exists(spark, layout.bronze_weather):
-        new_bw = _in_parts(spark.read.parquet(layout.bronze_weather), "feed_date", parts_bw)
-        out["silver_weather"], parts_sw = upsert_path(
-            spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g), SILVER_WEATHER_KEYS,
-            "utc_date", return_partitions=True)
-    if parts_sp == [] and parts_sw == []:
+    out["silver_price"], touched_sp = 0, None
+    if touched_bp is not None:
+        new_bp = touched_bp.rows_of(tables.read(spark, layout.bronze_price, BRONZE_PRICE))
+        out["silver_price"], touched_sp = upsert_path(
+            spark, layout.silver_price, silver_plan.prices(new_bp, zone, g), SILVER_PRICE_KEYS, "utc_date")
+    out["silver_weather"], touched_sw = 0, None
+    if touched_bw is not None:
+        new_bw = touched_bw.rows_of(tables.read(spark, layout.bronze_weather, BRONZE_WEATHER))
+        out["silver_weather"], touched_sw = upsert_path(
+            spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g), SILVER_WEATHER_KEYS, "utc_date")
+    touched = touched_sw if touched_sp is None else touched_sp.union(touched_sw)
+    if touched is None:
         out["gold"] = 0
         return out
     sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
@@ -224,10 +229,9 @@ def changed_downstream(spark: SparkSession, layout: Layout, parts_bp, parts_bw,
     else:
         # An hour's rows always share one partition, so the changed
         # partitions of either feed hold complete hours of both.
-        parts = None if parts_sp is None or parts_sw is None else sorted(set(parts_sp) | set(parts_sw))
-        new_g = gold_plan.join_hourly(gold_plan.price_hourly(_in_parts(sp, "utc_date", parts)),
-                                      gold_plan.weather_hourly(_in_parts(sw, "utc_date", parts)), g)
-    out["gold"] = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
+        new_g = gold_plan.join_hourly(gold_plan.price_hourly(touched.rows_of(sp)),
+                                      gold_plan.weather_hourly(touched.rows_of(sw)), g)
+    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
     return out
 
 
@@ -235,24 +239,24 @@ def _marks_downstream(spark: SparkSession, layout: Layout, lookback, mark_scope:
                       out: dict) -> None:
     g = layout.granularity
     # silver
-    sp_t = tables.read(spark, layout.silver_price)
-    new_bp = _silver_increment(spark.read.parquet(layout.bronze_price), sp_t, "time_start",
+    sp_t = tables.read(spark, layout.silver_price, SILVER_PRICE)
+    new_bp = _silver_increment(tables.read(spark, layout.bronze_price, BRONZE_PRICE), sp_t, "time_start",
                                parse_offset_instant("time_start"), lookback, g)
-    out["silver_price"] = upsert_path(spark, layout.silver_price, silver_plan.prices(new_bp, zone, g),
-                                      SILVER_PRICE_KEYS, "utc_date")
-    sw_t = tables.read(spark, layout.silver_weather)
-    new_bw = _silver_increment(spark.read.parquet(layout.bronze_weather), sw_t, "weather_time_utc",
-                               parse_wall_ntz("weather_time_utc"), lookback, g)
-    out["silver_weather"] = upsert_path(spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g),
-                                        SILVER_WEATHER_KEYS, "utc_date")
+    out["silver_price"], _ = upsert_path(spark, layout.silver_price, silver_plan.prices(new_bp, zone, g),
+                                         SILVER_PRICE_KEYS, "utc_date")
+    sw_t = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
+    new_bw = _silver_increment(tables.read(spark, layout.bronze_weather, BRONZE_WEATHER), sw_t,
+                               "weather_time_utc", parse_wall_ntz("weather_time_utc"), lookback, g)
+    out["silver_weather"], _ = upsert_path(spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g),
+                                           SILVER_WEATHER_KEYS, "utc_date")
 
     # gold
     sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
     sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
-    g_t = tables.read(spark, layout.gold)
+    g_t = tables.read(spark, layout.gold, GOLD)
     new_g = gold_plan.increment(spark, sp, sw, g_t, lookback=lookback, mark_scope=mark_scope,
                                 granularity=g)
-    out["gold"] = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
+    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
 
 
 def silver_profile(spark: SparkSession, layout: Layout,
@@ -263,13 +267,13 @@ def silver_profile(spark: SparkSession, layout: Layout,
     coverage, bronze-versus-silver row counts and the local DST day lengths."""
     sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
     sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
-    bp = tables.read(spark, layout.bronze_price)
-    bw = tables.read(spark, layout.bronze_weather)
+    bp = tables.read(spark, layout.bronze_price, BRONZE_PRICE)
+    bw = tables.read(spark, layout.bronze_weather, BRONZE_WEATHER)
     price_cols = ["price_date", "time_start", "time_end", "price_hour", "region",
                   "SEK_per_kWh", "EUR_per_kWh", "EXR"]
     counts = [profiles.row_count(df).select(F.lit(name).alias("table"), "rows")
               for name, df in (("bronze_price", bp), ("silver_price", sp),
-                               ("bronze_weather", bw), ("silver_weather", sw)) if df is not None]
+                               ("bronze_weather", bw), ("silver_weather", sw))]
     return {
         "price_nulls": profiles.null_profile(sp, price_cols),
         "weather_nulls": profiles.null_profile(sw, ["weather_time_utc", "region"] + WEATHER_MEASURES),
@@ -297,10 +301,8 @@ def missing_landing(spark: SparkSession, layout: Layout, feed: str, start: _dt.d
         end = today if feed == "price" else today - _dt.timedelta(days=1)
     path, time_col = ((layout.bronze_price, "time_start") if feed == "price"
                       else (layout.bronze_weather, "weather_time_utc"))
-    b = tables.read(spark, path)
+    b = tables.read(spark, path, BRONZE_PRICE if feed == "price" else BRONZE_WEATHER)
     members = spark.createDataFrame([(r,) for r in regions], "region string")
-    if b is None:
-        return grids.member_day_grid(members, "region", start, end)
     loaded = b.filter(F.col("feed_date") >= F.lit(period_of(start, layout.granularity))) \
               .select("region", feed_local_date(time_col).alias("day"))
     return marks_op.missing_dates(loaded, "region", "day", members, start, end)
@@ -310,51 +312,63 @@ def merge_summary(spark: SparkSession, layout: Layout) -> dict[str, dict]:
     """Post-merge re-check of every layer: rows, distinct keys, duplicated
     keys and the latest time (informational; one aggregation per table)."""
     specs = {
-        "bronze_price": (layout.bronze_price, BRONZE_PRICE_KEYS, "time_start"),
-        "bronze_weather": (layout.bronze_weather, BRONZE_WEATHER_KEYS, "weather_time_utc"),
-        "silver_price": (layout.silver_price, SILVER_PRICE_KEYS, "time_start"),
-        "silver_weather": (layout.silver_weather, SILVER_WEATHER_KEYS, "weather_time_utc"),
-        "gold": (layout.gold, GOLD_KEYS, "hour_utc"),
+        "bronze_price": (layout.bronze_price, BRONZE_PRICE, BRONZE_PRICE_KEYS, "time_start"),
+        "bronze_weather": (layout.bronze_weather, BRONZE_WEATHER, BRONZE_WEATHER_KEYS, "weather_time_utc"),
+        "silver_price": (layout.silver_price, SILVER_PRICE, SILVER_PRICE_KEYS, "time_start"),
+        "silver_weather": (layout.silver_weather, SILVER_WEATHER, SILVER_WEATHER_KEYS, "weather_time_utc"),
+        "gold": (layout.gold, GOLD, GOLD_KEYS, "hour_utc"),
     }
     out = {}
-    for name, (path, keys, t) in specs.items():
-        df = tables.read(spark, path)
-        if df is not None:
+    for name, (path, schema, keys, t) in specs.items():
+        if tables.exists(spark, path):
+            df = tables.read(spark, path, schema)
             out[name] = profiles.key_stats(df, keys, t).first().asDict()
     return out
 
 
 def gate_report(spark: SparkSession, layout: Layout, expected_regions: list[str] = REGIONS,
-                dst_days: list[str] | None = DST_DAYS) -> DataFrame:
-    """The gold quality report (check, status, detail).
-
-    Beyond the original checks: every expected region must hold every hour
-    between the first and last gold hour (head and tail gaps, a lagging
-    region), and a DST day inside the gold span is checked on the grid of
-    expected regions, so a wholly missing day fails instead of passing.
+                dst_days: list[str] | None = DST_DAYS,
+                expected_until: _dt.datetime | None = None) -> DataFrame:
+    """The gold quality report (check, status, detail), its eight published
+    checks under their published names.
+
+    Beyond them: every expected region must hold every hour between the first
+    gold hour and ``expected_until`` (a UTC wall clock; default the last gold
+    hour), so head and tail gaps, a lagging region and, with
+    ``expected_until``, a feed that stopped for all regions fail; a DST day
+    inside the gold span is checked on the grid of expected regions, so a
+    wholly missing day fails; a landed file that could not be read and has not
+    landed again fails.
+
+    Region completeness, continuity, the grid and the day lengths come from
+    one aggregate of gold by (region, hour), kept in the shared folder.
     """
+    shared_dir(spark)
     g = tables.read(spark, layout.gold, GOLD)
     sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
     sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
     price_keys = sp.select("region", hour_key("time_start", ntz=False).alias("hour_utc"))
     weather_keys = sw.select("region", F.col("weather_time_utc").cast("timestamp").alias("hour_utc"))
     expected = spark.createDataFrame([(r,) for r in expected_regions], "region string")
-    span = g.agg(F.min(utc_wall("hour_utc")).alias("lo"), F.max(utc_wall("hour_utc")).alias("hi")).first()
+    per_key = quality.per_key_counts(g, GOLD_KEYS, REQUIRED_GOLD_COLUMNS).checkpoint(eager=True)
+    span = per_key.agg(F.min(utc_wall("hour_utc")).alias("lo"), F.max(utc_wall("hour_utc")).alias("hi")).first()
     checks = [
-        quality.check_basics(g, GOLD_KEYS, REQUIRED_GOLD_COLUMNS, "hour_utc",
-                             not_null_name="Required Gold fields not null"),
-        quality.check_members(g, "region", expected, "Region completeness"),
-        quality.check_continuity(g, "region", "hour_utc"),
-        quality.check_mappings(g, {"price": price_keys, "weather": weather_keys}, GOLD_KEYS),
+        quality.check_basics_of(per_key, "hour_utc", not_null_name=quality.REQUIRED_NOT_NULL),
+        quality.check_members(per_key, "region", expected, quality.REGION_COMPLETENESS),
+        quality.check_continuity(per_key, "region", "hour_utc"),
+        quality.check_mappings(per_key, {"Electricity": price_keys, "Weather": weather_keys}, GOLD_KEYS),
+        quality.check_no_rows(functools.reduce(
+            DataFrame.unionByName, [tables.read(spark, layout.path(f"_unreadable/{f}"), UNREADABLE)
+                                    for f in ("price", "weather")]), "Landing files readable", "unreadable_files"),
     ]
     if span["lo"] is not None:
-        checks.append(quality.check_expected_grid(g, "region", "hour_utc", expected,
-                                                  span["lo"], span["hi"]))
+        until = max(span["hi"], expected_until or span["hi"])
+        checks.append(quality.check_expected_grid(per_key, "region", "hour_utc", expected, span["lo"], until))
         inside = [d for d in (dst_days or [])
                   if span["lo"].date() <= _dt.date.fromisoformat(d) <= span["hi"].date()]
         if inside:
-            checks.append(quality.check_day_completeness(g, "region", "hour_utc", expected,
-                                                         days=inside, name="DST UTC day completeness"))
+            checks.append(quality.check_day_completeness(per_key, "region", "hour_utc", expected, days=inside,
+                                                         name=quality.DST_DAYS_COMPLETE, rows="_n"))
     return quality.report(checks)
 
 

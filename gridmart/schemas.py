@@ -29,10 +29,10 @@ REQUIRED_GOLD_COLUMNS = [
     "wind_speed_10m", "weather_code",
 ]
 QC_COLUMNS = ["check", "status", "detail"]
-# ---------------------------------------------------------------------------
-
 WEATHER_MEASURES = ["temperature_2m", "relative_humidity_2m", "precipitation",
                     "wind_speed_10m"]
+# ---------------------------------------------------------------------------
+
 WEATHER_VARIABLES = WEATHER_MEASURES + ["weather_code"]
 
 D = T.DoubleType()
@@ -49,7 +49,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 # Landing: one JSON array of interval records per (day, region) file.
 PRICE_FEED = _struct(("SEK_per_kWh", D), ("EUR_per_kWh", D), ("EXR", D),
-                     ("time_start", S), ("time_end", S))
+                     ("time_start", S), ("time_end", S), ("_corrupt_record", S))
 
 # Landing: one JSON object per (day, region) file, hourly parallel arrays.
 WEATHER_FEED = _struct(
@@ -60,6 +60,7 @@ WEATHER_FEED = _struct(
                        ("precipitation", T.ArrayType(D)),
                        ("wind_speed_10m", T.ArrayType(D)),
                        ("weather_code", T.ArrayType(I)))),
+    ("_corrupt_record", S),
 )
 
 BRONZE_PRICE = _struct(("SEK_per_kWh", D), ("EUR_per_kWh", D), ("EXR", D),
@@ -97,6 +98,10 @@ QC_REPORT = _struct(("check", S), ("status", S), ("detail", S))
 # One row per load of a feed into bronze: when it started and what it wrote.
 LOAD_LOG = _struct(("feed", S), ("load_started", TS), ("rows", T.LongType()))
 
+# Landed files that could not be parsed and have not landed again since.
+UNREADABLE = _struct(("landed_file", S), ("feed", S), ("found_at", TS),
+                     ("records", T.LongType()))
+
 LOCATION_SCHEMA = _struct(("region", S), ("location", S), ("latitude", D),
                           ("longitude", D))
 
@@ -107,11 +112,3 @@ BRONZE_WEATHER_KEYS = ["region", "weather_time_utc"]
 SILVER_PRICE_KEYS = ["region", "time_start"]
 SILVER_WEATHER_KEYS = ["region", "weather_time_utc"]
 GOLD_KEYS = ["region", "hour_utc"]
-
-PARTITION_COLUMN = {
-    "bronze_price": "feed_date",
-    "bronze_weather": "feed_date",
-    "silver_price": "utc_date",
-    "silver_weather": "utc_date",
-    "gold": "hour_date",
-}

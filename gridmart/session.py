@@ -9,7 +9,6 @@ session is therefore pinned to UTC and every entry point asserts it.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -81,27 +80,19 @@ def shared_dir(spark: SparkSession) -> str:
     storage that survives the loss of any executor.  Raises if the setting is
     absent: a machine-local fallback is wrong on a cluster.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if d and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set; gridmart needs a "
                            "shared folder for checkpoints and staging tables")
     return d
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder; set ``fallback`` only when unset
-    (tests and local benches)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        os.makedirs(fallback, exist_ok=True)
-        spark.sparkContext.setCheckpointDir(fallback)
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        d = fallback
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this session wrote."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staging_path(spark: SparkSession, purpose: str) -> str:

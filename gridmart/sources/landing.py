@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.timecols import feed_local_date, period
 from gridmart.operators.arrays import length_mismatch, zip_explode
-from gridmart.operators.joins import bounded_broadcast
 from gridmart.schemas import (BRONZE_PRICE, BRONZE_WEATHER, LOCATION_SCHEMA,
                               LOCATIONS, PRICE_FEED, WEATHER_FEED, WEATHER_VARIABLES)
 
@@ -26,6 +25,9 @@ MONTH_DAY_IN_PATH = r"/([0-9]{2}-[0-9]{2})_[^/]+\.json$"
 
 PRICE_SOURCE = "price-feed"
 WEATHER_SOURCE = "weather-archive"
+WEATHER_INCREMENT_SOURCE = "weather-forecast"
+# When and from which file a row landed; orders the rows of one key.
+LANDED = "_landed"
 
 
 def file_region(path: Column) -> Column:
@@ -41,7 +43,14 @@ def file_date(path: Column) -> Column:
 
 def with_file_tags(df: DataFrame) -> DataFrame:
     p = F.col("_metadata.file_path")
-    return df.withColumns({"region": file_region(p), "file_date": file_date(p)})
+    return df.withColumns({"region": file_region(p), "file_date": file_date(p), "landed_file": p,
+                           LANDED: F.struct(F.col("_metadata.file_modification_time").alias("at"),
+                                            p.alias("file"))})
+
+
+def is_unreadable() -> Column:
+    """True for the row that stands for a file the JSON parser gave up on."""
+    return F.col("_corrupt_record").isNotNull()
 
 
 def _json_reader(spark: SparkSession, schema, modified_after=None):
@@ -84,8 +93,17 @@ def price_bronze(records: DataFrame, source: str = PRICE_SOURCE, granularity: st
     ``feed_date`` (partition column) is the period (day or month) of the date
     as written at the start of ``time_start``, so it is a function of the key.
     """
-    out = audit(records, source).withColumn("feed_date", period(feed_local_date("time_start"), granularity))
-    return out.select(*BRONZE_PRICE.fieldNames())
+    out = audit(_readable(records), source) \
+        .withColumn("feed_date", period(feed_local_date("time_start"), granularity))
+    return out.select(*BRONZE_PRICE.fieldNames(), *_landed(out))
+
+
+def _readable(df: DataFrame) -> DataFrame:
+    return df.filter(~is_unreadable()) if "_corrupt_record" in df.columns else df
+
+
+def _landed(df: DataFrame) -> list[str]:
+    return [LANDED] if LANDED in df.columns else []
 
 
 def weather_rows(files: DataFrame) -> DataFrame:
@@ -93,7 +111,7 @@ def weather_rows(files: DataFrame) -> DataFrame:
     shorter than ``time``)."""
     arrays = {"weather_time_utc": "hourly.time",
               **{v: f"hourly.{v}" for v in WEATHER_VARIABLES}}
-    return zip_explode(files, ["region", "file_date"], arrays)
+    return zip_explode(_readable(files), ["region", "file_date", *_landed(files)], arrays)
 
 
 def weather_length_mismatch(files: DataFrame) -> DataFrame:
@@ -105,13 +123,14 @@ def weather_length_mismatch(files: DataFrame) -> DataFrame:
 def weather_bronze(files: DataFrame, dim: DataFrame, source: str = WEATHER_SOURCE,
                    granularity: str = "day") -> DataFrame:
     """Weather files -> weather bronze rows, tagged with location and
-    coordinates from the (broadcast, size-checked) location dimension."""
+    coordinates from the location dimension."""
     return weather_bronze_rows(weather_rows(files), dim, source, granularity)
 
 
 def weather_bronze_rows(rows: DataFrame, dim: DataFrame, source: str = WEATHER_SOURCE,
                         granularity: str = "day") -> DataFrame:
-    """Hourly weather rows (time text, measures, region) -> weather bronze."""
-    tagged = rows.join(bounded_broadcast(dim), "region", "left")
+    """Hourly weather rows (time text, measures, region) -> weather bronze.
+    The dimension's size is the planner's to judge (broadcast or not)."""
+    tagged = rows.join(dim, "region", "left")
     out = audit(tagged, source).withColumn("feed_date", period(feed_local_date("weather_time_utc"), granularity))
-    return out.select(*BRONZE_WEATHER.fieldNames())
+    return out.select(*BRONZE_WEATHER.fieldNames(), *_landed(out))

@@ -11,8 +11,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridmart.schemas import PARTITION_COLUMN
+from gridmart.schemas import BRONZE_PRICE, BRONZE_WEATHER, GOLD, SILVER_PRICE, SILVER_WEATHER
+
+LAYER_SCHEMAS = {"bronze_price": BRONZE_PRICE, "bronze_weather": BRONZE_WEATHER,
+                 "silver_price": SILVER_PRICE, "silver_weather": SILVER_WEATHER, "gold": GOLD}
 
 
 @dataclass(frozen=True)
@@ -69,13 +73,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def read(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The table at ``path``; an empty frame of ``schema`` if it does not exist
-    yet (or None without a schema)."""
+def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, always with the layer's own schema, so a table
+    without a data file reads as empty; also empty if it does not exist yet."""
     if exists(spark, path):
-        return spark.read.parquet(path)
-    if schema is None:
-        return None
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     return spark.createDataFrame([], schema)
 
 
@@ -93,7 +95,10 @@ def organised(df: DataFrame, partition_col: str) -> DataFrame:
 
 def overwrite(df: DataFrame, path: str, partition_col: str) -> int:
     """Full replacement of a table (all partitions), counting the written rows
-    with an ``Observation`` instead of a second job."""
+    with an ``Observation`` instead of a second job.
+
+    Spark deletes the old files first: a replacement that fails leaves no
+    table, and is to be run again (every input of a layer is kept)."""
     obs = Observation("written")
     observed = organised(df, partition_col).observe(obs, F.count(F.lit(1)).alias("rows"))
     (observed.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -113,7 +118,7 @@ def register_views(spark: SparkSession, layout: Layout, prefix: str = "") -> lis
     names = []
     for name, path in layout.tables().items():
         if exists(spark, path):
-            spark.read.parquet(path).createOrReplaceTempView(prefix + name)
+            read(spark, path, LAYER_SCHEMAS[name]).createOrReplaceTempView(prefix + name)
             names.append(prefix + name)
     return names
 
@@ -128,7 +133,3 @@ def save_table(df: DataFrame, database: str, table: str, partition_col: str) ->
     """Write a layer as a catalog table (full replacement)."""
     (df.write.mode("overwrite").partitionBy(partition_col)
        .format("parquet").saveAsTable(f"`{database}`.`{table}`"))
-
-
-def partition_column(table: str) -> str:
-    return PARTITION_COLUMN[table]

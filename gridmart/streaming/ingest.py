@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmart.functions.predicates import first_non_null_by
-from gridmart.operators.upsert import latest_per_key, upsert_path
+from gridmart.operators.upsert import latest_landed, upsert_path
 from gridmart.schemas import (BRONZE_PRICE_KEYS, BRONZE_WEATHER_KEYS, PRICE_FEED,
                               WEATHER_FEED)
 from gridmart.session import shared_dir
@@ -30,6 +30,8 @@ def _file_stream(spark: SparkSession, schema, path: str, max_files: int | None)
     r = (spark.readStream.schema(schema)
          .option("multiLine", True)
          .option("recursiveFileLookup", True)
+         # by default a file a week older than the newest is ignored
+         .option("maxFileAge", "36500d")
          .option("pathGlobFilter", "*.json"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
@@ -50,7 +52,7 @@ def weather_landing_stream(spark: SparkSession, path: str, max_files: int | None
 
 def _upsert_batch(target: str, keys: list[str], partition_col: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        dedup = latest_per_key(batch, keys, "ingestion_time")
+        dedup = latest_landed(batch, keys, landing.LANDED)
         upsert_path(batch.sparkSession, target, dedup, keys, partition_col)
     return write
 
@@ -80,12 +82,12 @@ def _layered_batch(layout, feed: str, zone: str):
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        dedup = latest_per_key(batch, keys, "ingestion_time")
-        _, parts = upsert_path(spark, target, dedup, keys, "feed_date", return_partitions=True)
+        dedup = latest_landed(batch, keys, landing.LANDED)
+        _, touched = upsert_path(spark, target, dedup, keys, "feed_date")
         if feed == "price":
-            changed_downstream(spark, layout, parts, [], zone)
+            changed_downstream(spark, layout, touched, None, zone)
         else:
-            changed_downstream(spark, layout, [], parts, zone)
+            changed_downstream(spark, layout, None, touched, zone)
     return write
 
 

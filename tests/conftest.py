@@ -11,14 +11,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from gridmart.session import ensure_checkpoint_dir, get_session
+    from gridmart.session import get_session
     s = get_session("gridmart-tests", master="local[4]", extra={
         "spark.sql.shuffle.partitions": "4",
         "spark.default.parallelism": "4",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
     })
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s, tempfile.mkdtemp(prefix="gridmart-ckpt-"))
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridmart-ckpt-"))
     yield s
     s.stop()
 

@@ -10,6 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from gridmart import driver_queries  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -28,7 +29,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(driver_queries.queries()) == set(driver_queries.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -38,7 +39,7 @@ def test_entry_smoke(spark):
     assert df.columns == GOLD.fieldNames()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(driver_queries.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]

@@ -124,7 +124,7 @@ def test_upsert_path_rewrites_only_touched_partitions(spark, scratch):
     target = os.path.join(scratch, "t")
     base = spark.createDataFrame([(i, float(i), dt.date(2024, 1, 1 + i % 3)) for i in range(30)],
                                  "id long, v double, day date")
-    assert upsert.upsert_path(spark, target, base, ["id"], "day") == 30
+    assert upsert.upsert_path(spark, target, base, ["id"], "day")[0] == 30
     before = _files(target)
     src = spark.createDataFrame([(0, -1.0, dt.date(2024, 1, 1)), (100, 5.0, dt.date(2024, 1, 1))],
                                 "id long, v double, day date")
@@ -136,7 +136,7 @@ def test_upsert_path_rewrites_only_touched_partitions(spark, scratch):
     res = spark.read.parquet(target)
     assert res.count() == 31 and res.filter("id = 0").first().v == -1.0
     empty = src.limit(0)
-    assert upsert.upsert_path(spark, target, empty, ["id"], "day") == 0       # C21
+    assert upsert.upsert_path(spark, target, empty, ["id"], "day") == (0, None)       # C21
     assert spark.read.parquet(target).count() == 31
 
 

@@ -38,7 +38,7 @@ def test_backfill_builds_common_range_and_passes_gate(spark, scratch):
     assert {x["status"] for x in rows} <= {"PASS", "INFO"}
     # price feed is wider than the overlap: informational only (C15)
     info = {x["check"]: x["detail"] for x in rows}
-    assert info["Price-only keys"] != "source_only_keys=0"
+    assert info["Electricity-only keys"] != "source_only_keys=0"
 
 
 def test_quarter_hour_prices_are_averaged(spark, scratch):
@@ -195,14 +195,13 @@ def test_silver_profile_and_missing_landing(spark, scratch):
     assert [d for r, d in got if r == "SE1"] == ["2024-05-14"]
 
 
-def test_load_log_compaction_keeps_rows(spark, scratch):
+def test_landed_since_reads_the_log(spark, scratch):
     layout = Layout(os.path.join(scratch, "t"))
+    assert jobs.landed_since(spark, layout, "price", layout.bronze_price, dt.timedelta(0)) is None
     for i in range(5):
         jobs.log_load(spark, layout, "price", dt.datetime(2024, 1, 1 + i, tzinfo=dt.timezone.utc), i)
-    before = sorted(tuple(r) for r in spark.read.parquet(layout.load_log).collect())
-    assert jobs.compact_load_log(spark, layout, max_files=2) == 5
-    after = spark.read.parquet(layout.load_log)
-    assert len(after.inputFiles()) == 1
-    assert sorted(tuple(r) for r in after.collect()) == before
     assert jobs.landed_since(spark, layout, "price", layout.bronze_price, dt.timedelta(0)) == \
         dt.datetime(2024, 1, 5)
+    os.makedirs(os.path.join(scratch, "u/_loads"))            # a folder without a data file
+    empty = Layout(os.path.join(scratch, "u"))
+    assert jobs.landed_since(spark, empty, "price", empty.bronze_price, dt.timedelta(0)) is None

@@ -53,19 +53,19 @@ def test_clean_gold_passes(spark):
 def test_duplicate_key_fails(spark):
     g = _gold(spark)
     res = _gate(spark, g.unionByName(g.limit(1)))
-    assert {"Gold duplicate keys", "Gold rows = distinct keys"} <= set(_failed(res))
+    assert {"Duplicate Gold keys", "Gold rows = distinct keys"} <= set(_failed(res))
 
 
 def test_missing_region_fails(spark):
     res = _gate(spark, _gold(spark, regions=["SE1", "SE3", "SE4"]))     # C10
     assert "Region completeness" in _failed(res)
-    assert res["Region completeness"][1] == "missing=[SE2], unexpected=[]"
+    assert res["Region completeness"][1] == "missing=1 (first: SE2), unexpected=0 (first: -)"
     assert "Expected hourly grid" in _failed(res)
 
 
 def test_unexpected_region_listed(spark):
     res = _gate(spark, _gold(spark, regions=REGIONS + ["SE9"]))         # C9
-    assert res["Region completeness"][1] == "missing=[], unexpected=[SE9]"
+    assert res["Region completeness"][1] == "missing=0 (first: -), unexpected=1 (first: SE9)"
 
 
 def test_interior_gap_fails_continuity(spark):
