@@ -90,7 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": ORACLE_OP1, "op4_exact_dedup": ORACLE_OP4}
+    return {"op1_url_filter": ORACLE_OP1, "op4_exact_dedup": ORACLE_OP4, "op6_suffix_dedup": ORACLE_OP6}
 
 
 ORACLE_OP4 = """
@@ -123,3 +123,26 @@ SELECT page_id, host, path,
          'allow') AS verdict
 FROM u
 """
+
+#: Kept pieces are joined as hexadecimal digits, two a byte.
+ORACLE_OP6 = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT doc_id, b, hex(b) AS h, octet_length(b) AS n FROM d),
+w AS (SELECT doc_id, i, array_slice(b, i + 1, i + 50) AS s
+      FROM (SELECT doc_id, b, unnest(range(0, greatest(n - 49, 0))) AS i FROM n)),
+f AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s),
+g AS (SELECT w.doc_id, i FROM w JOIN f USING (s) WHERE first_id < w.doc_id),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS e FROM
+        (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM
+           (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS fresh
+            FROM g)) GROUP BY doc_id, run),
+p AS (SELECT r.doc_id, a, e, substr(h, 2 * coalesce(lag(e) OVER (PARTITION BY r.doc_id ORDER BY a), 0) + 1,
+                                    2 * (a - coalesce(lag(e) OVER (PARTITION BY r.doc_id ORDER BY a), 0))) AS before
+      FROM r JOIN n USING (doc_id)),
+k AS (SELECT doc_id, sum(e - a) AS removed, count(*) AS spans, max(e) AS last_end,
+             string_agg(before, '' ORDER BY a) AS kept FROM p GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_end, 0) + 1))) AS kept_sha256
+FROM n LEFT JOIN k USING (doc_id)
+"""

@@ -536,12 +536,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
         for part in _slices(batches, slice_bytes):
             yield _batch([(part.number, part.packed())], (pa.int64(), pa.binary()), ("slice", "texts"))
 
-    slices = rows.mapInArrow(packed, "slice long, texts binary")
-    spans = rows.mapInArrow(_blocks(window, slice_bytes, splitters), "bucket int, slice long, block binary") \
+    # "not null" keeps the plans over the slices alike, so that their one
+    # exchange serves all three joins
+    slices = rows.mapInArrow(packed, "slice long not null, texts binary")
+    spans = common.cut(rows.mapInArrow(_blocks(window, slice_bytes, splitters), "bucket int, slice long, block binary") \
         .repartitionById(buckets, F.col("bucket")) \
         .mapInArrow(_resolve(splitters, near_classes), "slice long, near boolean, wide boolean, spans binary") \
         .groupBy("slice").agg(F.max("near").alias("near"), F.max("wide").alias("wide"),
-                              F.collect_list("spans").alias("spans"))
+                              F.collect_list("spans").alias("spans")))
     joined = slices.join(spans, "slice", "left")
     near = joined.filter("near").select("slice", "texts", "spans") \
         .mapInArrow(_contexts(window, buckets), "bucket int, slice long, block binary") \
