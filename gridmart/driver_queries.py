@@ -103,7 +103,7 @@ def price_hourly(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataF
     return rollup.hourly_rollup(price_feed(spark, sf_dir, whole), "region", "ts", ntz=True,
                                 means={"price": "price"},
                                 firsts={"first_price": "price"},
-                                count_col="n_obs", mean_scale=2)
+                                count_col="n_obs", mean_scale=6)
 
 
 def weather_hourly(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
@@ -485,7 +485,7 @@ def q_silver_weather(spark, d):
 def q_gold_build(spark, d):
     sp = stored(silver.prices(price_bronze_events(spark, d), ZONE))
     sw = stored(silver.weather(weather_bronze_events(spark, d), ZONE))
-    g = gold_plan.build(spark, sp, sw, mean_scale=2)
+    g = gold_plan.build(spark, sp, sw, mean_scale=6)
     return g.withColumn("hour_utc", timecols.utc_wall("hour_utc"))
 
 
@@ -498,14 +498,14 @@ def q_gold_increment(spark, d):
     cut = timecols.utc_literal(LOADED_BEFORE, ntz=False)
     target = gold_plan.build(spark, sp.filter(F.col("time_start") < cut),
                              sw.filter(F.col("weather_time_utc") < timecols.utc_literal(LOADED_BEFORE, ntz=True)),
-                             mean_scale=2).filter(F.col("region") != UNLOADED_REGION)
-    new = gold_plan.increment(spark, sp, sw, target, lookback=None, mean_scale=2)
+                             mean_scale=6).filter(F.col("region") != UNLOADED_REGION)
+    new = gold_plan.increment(spark, sp, sw, target, lookback=None, mean_scale=6)
     return new.withColumn("hour_utc", timecols.utc_wall("hour_utc"))
 
 
 def q_monthly_trend(spark, d):
     o = orders_by_region(spark, d)
-    return analytics.monthly_trend(o, "region", "o_orderdate", "o_totalprice", mean_scale=2)
+    return analytics.monthly_trend(o, "region", "o_orderdate", "o_totalprice", mean_scale=6)
 
 
 def q_daily_observations(spark, d):
@@ -532,7 +532,7 @@ def q_price_volatility(spark, d):
 
 
 def q_seasonal_profile(spark, d):
-    return analytics.hour_of_day_profile(price_feed(spark, d, whole=True), "ts", "price", mean_scale=2)
+    return analytics.hour_of_day_profile(price_feed(spark, d, whole=True), "ts", "price", mean_scale=6)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

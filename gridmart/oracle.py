@@ -18,13 +18,13 @@ P AS (
   FROM events WHERE event_id % 2 = 1
 ), PH AS (
   SELECT region, date_trunc('hour', ts) AS hour_utc,
-         CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(price) AS DOUBLE) AS price,
+         CAST(SUM(CAST(price AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(price) AS DOUBLE) AS price,
          arg_min(price, ts) FILTER (WHERE price IS NOT NULL) AS first_price,
          COUNT(*) AS n_obs
   FROM P GROUP BY 1, 2
 ), PHA AS (
   SELECT event_type AS region, date_trunc('hour', ts) AS hour_utc,
-         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS price,
+         CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS price,
          arg_min(value, ts) FILTER (WHERE value IS NOT NULL) AS first_price,
          COUNT(*) AS n_obs
   FROM events GROUP BY 1, 2
@@ -346,8 +346,8 @@ ORACLE: dict[str, str] = {
            WHERE PB.hour_utc BETWEEN BND.lo AND BND.hi""",
         SPX,
         """PB AS (SELECT region, date_trunc('hour', time_start) AS hour_utc,
-                  CAST(SUM(CAST(SEK_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(SEK_per_kWh) AS DOUBLE) AS SEK_per_kWh,
-                  CAST(SUM(CAST(EUR_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(EUR_per_kWh) AS DOUBLE) AS EUR_per_kWh,
+                  CAST(SUM(CAST(SEK_per_kWh AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(SEK_per_kWh) AS DOUBLE) AS SEK_per_kWh,
+                  CAST(SUM(CAST(EUR_per_kWh AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(EUR_per_kWh) AS DOUBLE) AS EUR_per_kWh,
                   min(EXR) AS EXR
            FROM SPX GROUP BY 1, 2)""",
         """WB AS (SELECT region, hour_utc, temperature AS temperature_2m,
@@ -365,8 +365,8 @@ ORACLE: dict[str, str] = {
            WHERE MK.mark IS NULL OR PB.hour_utc > MK.mark""",
         SPX,
         """PB AS (SELECT region, date_trunc('hour', time_start) AS hour_utc,
-                  CAST(SUM(CAST(SEK_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(SEK_per_kWh) AS DOUBLE) AS SEK_per_kWh,
-                  CAST(SUM(CAST(EUR_per_kWh AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(EUR_per_kWh) AS DOUBLE) AS EUR_per_kWh,
+                  CAST(SUM(CAST(SEK_per_kWh AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(SEK_per_kWh) AS DOUBLE) AS SEK_per_kWh,
+                  CAST(SUM(CAST(EUR_per_kWh AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(EUR_per_kWh) AS DOUBLE) AS EUR_per_kWh,
                   min(EXR) AS EXR
            FROM SPX GROUP BY 1, 2)""",
         """WB AS (SELECT region, hour_utc, temperature AS temperature_2m,
@@ -383,7 +383,7 @@ ORACLE: dict[str, str] = {
                   WHERE PL.hour_utc BETWEEN BL.lo AND BL.hi AND PL.region <> 'signup' GROUP BY 1)"""),
     "monthly_trend": _w(
         """SELECT region, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-                  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(o_totalprice) AS DOUBLE) AS avg_price,
+                  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(o_totalprice) AS DOUBLE) AS avg_price,
                   min(o_totalprice) AS min_price, max(o_totalprice) AS max_price
            FROM OR_ GROUP BY 1, 2"""),
     "daily_observations": _w(
@@ -409,7 +409,7 @@ ORACLE: dict[str, str] = {
     "price_volatility": _w("SELECT region, round(stddev_samp(price), 6) AS stddev_price FROM PHA GROUP BY 1"),
     "seasonal_profile": _w(
         """SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day,
-                  CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS avg_price,
+                  CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS avg_price,
                   COUNT(value) AS observations
            FROM events GROUP BY 1"""),
 }
