@@ -171,7 +171,7 @@ def multikey_order(tokens: list[np.ndarray]) -> np.ndarray:
 
 
 def _pack(*parts) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, 5))
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(parts, 5))
 
 
 def _unpack(blob: bytes) -> tuple:
@@ -353,17 +353,30 @@ def _resolve(splitters, near_classes: int):
     return run
 
 
-def _spans(blobs: list[bytes]) -> list[np.ndarray]:
-    parts = [_unpack(b) for b in blobs]
-    return [np.concatenate([p[i] for p in parts]) for i in range(5)]
+def _merge(window: int):
+    """Of each slice the removed spans as maximal runs, and the open ones."""
+    def run(batches):
+        for number, near, wide, blobs in _rows(batches, "slice", "near", "wide", "spans"):
+            parts = [_unpack(b) for b in blobs]
+            doc, first, off, span, state = (np.concatenate([p[i] for p in parts]) for i in range(5))
+            gone = state == REMOVED
+            start = first[gone].astype(np.int64)
+            runs = _runs(doc[gone], start, start + span[gone] + window)
+            left = ~gone
+            order = np.lexsort((first[left], doc[left]))
+            yield _batch([(number, near, wide, _pack(*(x.astype(np.int32) for x in runs)),
+                           _pack(*(x[left][order] for x in (doc, first, off, span, state))))],
+                         (pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary()),
+                         ("slice", "near", "wide", "removed", "open"))
+    return run
 
 
 def _contexts(window: int, buckets: int):
     """(bucket, slice, block) of the contexts that are left, by leading tokens."""
     def run(batches):
-        for number, texts, blobs in _rows(batches, "slice", "texts", "spans"):
-            part, ranks = Slice.unpacked(number, texts), None
-            doc, first, off, span, state = _spans(blobs)
+        for number, texts, open_ in _rows(batches, "slice", "texts", "open"):
+            part = Slice.unpacked(number, texts)
+            doc, first, off, span, state = _unpack(open_)
             near = state == NEAR
             doc, first, off, span = doc[near], first[near], off[near], span[near]
             ranks = part.ranks[doc]
@@ -437,9 +450,9 @@ def _compare(window: int):
 def _wide_windows(window: int):
     """Single windows of the spans of large or cut groups."""
     def run(batches):
-        for number, texts, blobs in _rows(batches, "slice", "texts", "spans"):
+        for number, texts, open_ in _rows(batches, "slice", "texts", "open"):
             part = Slice.unpacked(number, texts)
-            doc, first, off, span, state = _spans(blobs)
+            doc, first, off, span, state = _unpack(open_)
             wide = state == WIDE
             doc, first, span = doc[wide], first[wide].astype(np.int64), span[wide]
             ranks = part.ranks
@@ -479,14 +492,11 @@ OUTPUTS = {
 
 def _finish(window: int, outputs: tuple[str, ...]):
     def run(batches):
-        for number, texts, blobs, found in _rows(batches, "slice", "texts", "spans", "found"):
+        for number, texts, removed, found in _rows(batches, "slice", "texts", "removed", "found"):
             part = Slice.unpacked(number, texts)
             doc, start, end = (np.empty(0, np.int64) for _ in range(3))
-            if blobs:
-                d, f, _, s, state = _spans(blobs)
-                gone = state == REMOVED
-                doc, start = d[gone], f[gone].astype(np.int64)
-                end = start + s[gone] + window
+            if removed:
+                doc, start, end = (x.astype(np.int64) for x in _unpack(removed))
             if found:
                 more = [_unpack(x) for x in found]
                 d, f = (np.concatenate([m[i] for m in more]) for i in (0, 1))
@@ -539,17 +549,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
     # "not null" keeps the plans over the slices alike, so that their one
     # exchange serves all three joins
     slices = rows.mapInArrow(packed, "slice long not null, texts binary")
-    spans = common.cut(rows.mapInArrow(_blocks(window, slice_bytes, splitters), "bucket int, slice long, block binary") \
-        .repartitionById(buckets, F.col("bucket")) \
-        .mapInArrow(_resolve(splitters, near_classes), "slice long, near boolean, wide boolean, spans binary") \
+    spans = common.cut(
+        rows.mapInArrow(_blocks(window, slice_bytes, splitters), "bucket int, slice long, block binary")
+        .repartitionById(buckets, F.col("bucket"))
+        .mapInArrow(_resolve(splitters, near_classes), "slice long, near boolean, wide boolean, spans binary")
         .groupBy("slice").agg(F.max("near").alias("near"), F.max("wide").alias("wide"),
-                              F.collect_list("spans").alias("spans")))
+                              F.collect_list("spans").alias("spans"))
+        .mapInArrow(_merge(window), "slice long, near boolean, wide boolean, removed binary, open binary"))
     joined = slices.join(spans, "slice", "left")
-    near = joined.filter("near").select("slice", "texts", "spans") \
+    near = joined.filter("near").select("slice", "texts", "open") \
         .mapInArrow(_contexts(window, buckets), "bucket int, slice long, block binary") \
         .repartitionById(buckets, F.col("bucket")) \
         .mapInArrow(_compare(window), "slice long, starts binary")
-    single = joined.filter("wide").select("slice", "texts", "spans").mapInArrow(
+    single = joined.filter("wide").select("slice", "texts", "open").mapInArrow(
         _wide_windows(window), "one long, two long, rank long, slice long, doc int, start int")
     least = single.groupBy("one", "two").agg(F.min("rank").alias("least"), F.max("rank").alias("most")) \
         .filter("least < most").drop("most")
@@ -566,5 +578,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
     found = near.unionByName(wide).groupBy("slice").agg(F.collect_list("starts").alias("found"))
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(
         f", {o} {OUTPUTS[o][0]}" for o in OUTPUTS if o in outputs)
-    return joined.join(found, "slice", "left").select("slice", "texts", "spans", "found") \
+    return joined.join(found, "slice", "left").select("slice", "texts", "removed", "found") \
         .mapInArrow(_finish(window, outputs), ddl)
