@@ -43,7 +43,7 @@ from .components import connected
 HASH_SEED = 42
 #: Lists up to this length are searched by comparing, longer ones by
 #: enumerating the neighbours of each member.
-COMPARE_UP_TO = 4096
+COMPARE_UP_TO = 1 << 16
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -111,31 +111,39 @@ def _compare(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
 
 
 def _enumerate(fps: np.ndarray, mask: int, max_bits: int) -> list[tuple[int, int]]:
-    """The same forest in time linear in the list: members agree outside the
-    free bytes, so a neighbour differs by one of the few patterns of at most
-    ``max_bits`` free bits."""
+    """Links of the same forest with work linear in the list: members agree
+    outside the free bytes, so a neighbour differs by one of the few patterns of
+    at most ``max_bits`` free bits.  Components come from labels that sink to
+    their least member, the forest from all components' first members at once."""
     free = [b for b in range(64) if not mask >> b & 1]
     flips = np.array([sum(1 << b for b in bits) for n in range(1, max_bits + 1)
                       for bits in combinations(free, n)], np.uint64)
     order = np.sort(fps)
-    new = np.ones(len(order), bool)
-    edges = []
-    for start in range(len(order)):
-        if not new[start]:
-            continue
-        new[start] = False
-        frontier = order[start:start + 1]
-        while len(frontier):
-            reached = []
-            for flip in flips:
-                near = frontier ^ flip       # distinct, so each member is met once
-                at = np.minimum(np.searchsorted(order, near), len(order) - 1)
-                hit = (order[at] == near) & new[at]
-                if hit.any():
-                    new[at[hit]] = False
-                    reached.append(near[hit])
-                    edges += zip(near[hit], frontier[hit])
-            frontier = np.concatenate(reached) if reached else order[:0]
+
+    def neighbours(members: np.ndarray):
+        for flip in flips:
+            near = order[members] ^ flip      # distinct, so a member is met once
+            at = np.minimum(np.searchsorted(order, near), len(order) - 1)
+            hit = order[at] == near
+            yield members[hit], at[hit]
+
+    every = np.arange(len(order))
+    label, before = every.copy(), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        for member, other in neighbours(every):
+            label[member] = np.minimum(label[member], label[other])
+        label = label[label]
+    new, edges = label != every, []
+    frontier = every[~new]
+    while len(frontier):
+        reached = []
+        for member, other in neighbours(frontier):
+            fresh = new[other]
+            new[other[fresh]] = False
+            reached.append(other[fresh])
+            edges += zip(order[other[fresh]], order[member[fresh]])
+        frontier = np.concatenate(reached) if reached else every[:0]
     return edges
 
 
