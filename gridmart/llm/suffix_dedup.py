@@ -11,7 +11,7 @@ of a smaller doc_id is removed.
    its document, so equal suffixes, however many, split over several buckets.
 3. A bucket sorts its suffixes by multikey quicksort: by the first token, each
    run of equals by the next.  Neighbours that agree in their leading tokens
-   form a group; a group that touches a splitter goes on in the next bucket.
+   form a group; one that a splitter cuts goes on in the next bucket.
 4. Members of a group whose windows cover the same bytes (their context) form a
    class.  All windows of a member are removed if its class holds a smaller
    document.  What is left, the first document of each class where a group has
@@ -25,8 +25,7 @@ of a smaller doc_id is removed.
    slices of about ``slice_bytes``.
 
 Suffixes travel in compressed blocks, one for each slice and bucket, and what
-a bucket holds is bounded by ``bucket_bytes`` of text, so memory does not grow
-with the table.
+a task holds is bounded by a slice or a bucket.
 
 Defined results: a null text is empty; a text shorter than the window loses
 nothing; strings never cross documents; a null doc_id ranks above all others
@@ -39,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,12 +53,15 @@ from . import common
 WINDOW = 50
 LEAD = 16
 #: Text bytes of a slice, of a bucket, and of the sample that splitters come from.
-SLICE_BYTES = 8 << 20
-BUCKET_BYTES = 32 << 20
+SLICE_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 SAMPLE_BYTES = 16 << 20
+#: Most buckets: the splitters (24 bytes each, at most two a bucket) go to every task.  Buckets grow
+#: beyond ``BUCKET_BYTES`` above 8 TB of text (100 MB each at 100 TB).
+MAX_BUCKETS = 1 << 20
 #: One suffix in so many of the sampled documents is a splitter candidate.
 SAMPLE_EVERY = 8
-NEAR_CLASSES = 2048
+NEAR_CLASSES = 1 << 16
 
 REMOVED, NEAR, WIDE = 0, 1, 2
 _LAST = np.iinfo(np.int64).max
@@ -241,7 +244,9 @@ def _ties(part: Slice, text: np.ndarray) -> np.ndarray:
 
 
 def _splitters(rows: DataFrame, window: int, slice_bytes: int, total: int, buckets: int) -> np.ndarray:
-    """At most ``buckets - 1`` keys that cut the sampled suffixes evenly."""
+    """Keys that cut the sampled suffixes evenly.  A cut lies before the first of
+    equal suffixes; only a group that several cuts fall into, so one larger
+    than a bucket, is also cut inside."""
     def keys(batches):
         for part in _slices(batches, slice_bytes):
             a = _suffixes(part, window)
@@ -254,7 +259,9 @@ def _splitters(rows: DataFrame, window: int, slice_bytes: int, total: int, bucke
     sample = sorted(r.k for r in rows.filter(draw < min(1.0, SAMPLE_BYTES / max(total, 1)))
                     .mapInArrow(keys, "k binary").collect())
     cuts = [sample[len(sample) * i // buckets] for i in range(1, buckets)] if sample else []
-    return np.array(sorted({bytes(c) for c in cuts}), f"S{LEAD + 8}")
+    fell = Counter(bytes(c[:LEAD]) for c in cuts)
+    inside = {bytes(c) for c in cuts if fell[bytes(c[:LEAD])] > 1}
+    return np.array(sorted({lead.ljust(LEAD + 8, b"\0") for lead in fell} | inside), f"S{LEAD + 8}")
 
 
 def _blocks(window: int, slice_bytes: int, splitters):
@@ -310,15 +317,18 @@ def _resolve(splitters, near_classes: int):
         del blocks
         order = multikey_order([words[:, 0], words[:, 1]])
         ordered = words[order]
+        del words
         new = np.ones(len(order), bool)
         new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
         group = np.cumsum(new) - 1
         at_edge = np.zeros(group[-1] + 1, bool)
         cuts = splitters.value
         for cut in cuts[max(bucket - 1, 0):bucket + 1]:
-            edge = np.frombuffer(cut.ljust(LEAD + 8, b"\0")[:LEAD], ">u8").astype(np.uint64)
+            *edge, tie = np.frombuffer(cut.ljust(LEAD + 8, b"\0"), ">u8").astype(np.uint64)
+            if tie == 0:                  # a cut between groups
+                continue
             at_edge[group[(ordered == edge).all(axis=1)]] = True
-        del words, ordered
+        del ordered
         some = (np.bincount(group) > 1)[group] | at_edge[group]
         order, group = order[some], group[some]
         if not len(order):
@@ -538,7 +548,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
         .withColumn("uid", F.monotonically_increasing_id())
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-                  -(-total // bucket_bytes))
+                  min(-(-total // bucket_bytes), MAX_BUCKETS))
     splitters = sc.broadcast(_splitters(rows, window, slice_bytes, total, buckets))
     buckets = len(splitters.value) + 1
 
