@@ -10,9 +10,9 @@ does not depend on the number of documents.
 A pattern with flow f and capacity c takes every document f // c times whole
 and a seeded selection for the rest: its documents in the order of a seeded
 hash up to the largest prefix that fits, then, because the next document may
-be long, the first of the following ones that still fit.  Prefix sums are
-taken over hash cells first and within a cell after, so no source, however
-large, is sorted in one task.
+be long, those of the following ones that still fit, again by prefixes, until
+none does.  Prefix sums are taken over hash cells first and within a cell
+after, so no source, however large, is sorted in one task.
 
 Defined results: a null text has size 0 and is never taken; a null source is a
 source of its own, after all others; documents that are equal in all columns
@@ -32,8 +32,6 @@ from pyspark.sql import functions as F
 from . import common
 
 CELL_BITS = 12
-#: Documents after a selection's end that are tried for what is left of its quota.
-FILL_TRIES = 256
 
 # Fixed values of the mix: weights of the sources in order, tokens taken in
 # all as a share of the tokens there are, and the most often a document is taken.
@@ -169,13 +167,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = R
         .join(before, F.col("pattern").eqNullSafe(F.col("p")) & (F.col("cell") == F.col("c")), "left")
         .withColumn("upto", F.col("upto") + F.col("before")).drop("p", "c", "before"))
 
-    filled = _fill(summed)
-    if filled:
-        extra = spark.createDataFrame(filled, "pattern int, upto long").withColumn("more", F.lit(1))
-        summed = summed.join(F.broadcast(extra), ["pattern", "upto"], "left")
-    else:
-        summed = summed.withColumn("more", F.lit(None).cast("int"))
-    once_more = (F.col("upto") <= F.col("rest")) | ((F.col("more") == 1) & (F.col("size") > 0))
+    extra = spark.createDataFrame(_fill(summed), "p int, after long, stop long, most long")
+    summed = summed.join(F.broadcast(extra), (F.col("pattern") == F.col("p")) & (F.col("upto") > F.col("after"))
+                         & (F.col("upto") < F.col("stop")) & F.col("size").between(1, F.col("most")), "left")
+    once_more = (F.col("upto") <= F.col("rest")) | F.col("p").isNotNull()
     copies = F.coalesce("whole", F.lit(0)) + F.when(once_more, 1).otherwise(0)
     return summed.select("doc_id", "uid", "sources", "size",
                          F.coalesce("source_size", F.lit(0)).alias("source_size"),
@@ -183,24 +178,40 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = R
                          (F.col("size") * copies).alias("taken"), copies.alias("copies"))
 
 
-def _fill(summed: DataFrame) -> list[tuple[int, int]]:
-    """(pattern, prefix sum) of the documents after each prefix that fill what
-    it leaves of the quota.  Looks at FILL_TRIES documents a pattern."""
-    left = summed.groupBy("pattern").agg(
-        F.max("rest").alias("rest"),
-        F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("got")) \
-        .select(F.col("pattern").alias("p"), (F.col("rest") - F.coalesce("got", F.lit(0))).alias("left"))
-    next_ = Window.partitionBy("pattern").orderBy("upto")
-    tries = summed.join(F.broadcast(left), F.col("pattern") == F.col("p")) \
-        .filter("upto > rest AND size > 0 AND size <= left") \
-        .select("pattern", "upto", "size", "left") \
-        .withColumn("try", F.row_number().over(next_)).filter(F.col("try") <= FILL_TRIES).collect()
-    out, room = [], {}
-    for r in sorted(tries, key=lambda r: (r.pattern, r.upto)):
-        have = room.setdefault(r.pattern, r.left)
-        if r["size"] <= have:
-            room[r.pattern] = have - r["size"]
-            out.append((r.pattern, r.upto))
+def _fill(summed: DataFrame) -> list[tuple[int, int, int, int]]:
+    """(pattern, after, stop, most): past its first prefix, a pattern also takes
+    the documents of at most ``most`` words whose prefix sum lies between.
+
+    A round takes of the documents that still fit the largest prefix; the next
+    one goes on behind the first that did not.  What was passed over never fits
+    later, so this takes what trying all documents one by one would.  What is
+    left falls below the size passed over, so rounds are few; they end when no
+    document fits."""
+    spark, out = summed.sparkSession, []
+    got = F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))), F.lit(0))
+    state = [(r["pattern"], r["got"], r["rest"] - r["got"]) for r in
+             summed.filter("rest > 0").groupBy("pattern").agg(F.max("rest").alias("rest"), got.alias("got")).collect()]
+    by_cell = Window.partitionBy("pattern").orderBy("cell")
+    in_cell = Window.partitionBy("pattern").orderBy("upto").rowsBetween(Window.unboundedPreceding, 0)
+    while state := [x for x in state if x[2]]:
+        now = spark.createDataFrame(state, "p int, after long, left long")
+        fit = summed.join(F.broadcast(now), F.col("pattern") == F.col("p")) \
+            .filter("upto > after AND size > 0 AND size <= left").select("pattern", "cell", "upto", "size", "left")
+        # the cell in which the sum passes what is left; none if all that fit are taken
+        last = fit.groupBy("pattern", "cell").agg(F.sum("size").alias("n"), F.max("left").alias("left")) \
+            .withColumn("before", F.sum("n").over(by_cell) - F.col("n")) \
+            .filter("before <= left AND before + n > left") \
+            .select(F.col("pattern").alias("p"), F.col("cell").alias("c"), "before")
+        ends = {r["pattern"]: r for r in
+                fit.join(F.broadcast(last), (F.col("pattern") == F.col("p")) & (F.col("cell") == F.col("c")))
+                .withColumn("held", F.sum("size").over(in_cell) + F.col("before"))
+                .groupBy("pattern").agg(
+                    F.max(F.when(F.col("held") <= F.col("left"), F.col("held"))).alias("held"),
+                    F.max("before").alias("before"),
+                    F.min(F.when(F.col("held") > F.col("left"), F.col("upto"))).alias("stop")).collect()}
+        out += [(p, after, ends[p]["stop"] if p in ends else (1 << 63) - 1, left) for p, after, left in state]
+        state = [(p, ends[p]["stop"], left - (ends[p]["before"] if ends[p]["held"] is None else ends[p]["held"]))
+                 for p, _, left in state if p in ends]
     return out
 
 

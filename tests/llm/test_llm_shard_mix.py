@@ -152,6 +152,32 @@ def test_empty_tables(spark):
     assert {r.taken for r in M.mix(M.by_source(cases.frame(spark, null))).collect()} == {0}
 
 
+def test_short_documents_fill_what_a_long_one_leaves(spark):
+    rows = [(i, "w " * 10, None, "a", 0) for i in range(2000)] + [(2000, "w " * 24_000, None, "a", 0)]
+    df = cases.frame(spark, rows)                            # 44,000 words, 22,000 of them a second time
+    for seed in range(3):
+        got = {r.doc_id: r.copies for r in M.mix(M.by_source(df), seed=seed).collect()}
+        assert got == {i: 2 for i in range(2000)} | {2000: 1}
+
+
+def test_selection_is_that_of_trying_all_documents(spark):
+    rng = random.Random(3)
+    rows = [(i, "w " * int(5 + 20 * min(1000, rng.paretovariate(0.7))), None, rng.choice("ab"), 0) for i in range(3000)]
+    docs = M.by_source(cases.frame(spark, rows))
+    got = {r.doc_id: r for r in M.mix(docs).collect()}
+    sizes = Counter()
+    for r in got.values():
+        sizes[r.sources[0]] += r["size"]
+    for s, goal in M.targets(dict(sizes)).items():
+        whole, left = divmod(round(goal), sizes[s])
+        # cells go by the high bits unsigned: negative hashes come last
+        for r in sorted((r for r in M._sized(docs, 0).collect() if r.sources[0] == s),
+                        key=lambda r: (r.h % (1 << 64), r.doc_id)):
+            more = r["size"] <= left
+            left -= r["size"] * more
+            assert got[r.doc_id].copies == whole + more
+
+
 def test_overlapping_sources_fill_their_quotas(spark):
     rng = random.Random(1)
     rows = [(i, cases.words(rng, 50), rng.choice([["x"], ["x", "y"], ["y", "z"], ["z"], [None, "x"]])) for i in range(400)]
