@@ -62,6 +62,10 @@ MAX_BUCKETS = 1 << 20
 #: One suffix in so many of the sampled documents is a splitter candidate.
 SAMPLE_EVERY = 8
 NEAR_CLASSES = 1 << 16
+#: Low bits of a suffix's order that hold its place among the texts sampled at once.
+PLACE_BITS = 25
+#: Longer texts are sampled in pieces; each has so many bytes and those its last window needs.
+PIECE_BYTES = common.SLICE_BYTES
 
 REMOVED, NEAR, WIDE = 0, 1, 2
 _LAST = np.iinfo(np.int64).max
@@ -119,6 +123,8 @@ class Anchors:
 def sample_suffixes(texts: list[bytes], window: int, lead: int) -> Anchors:
     """Of each window the suffix that starts at its least ``lead``-gram (by
     hash, the first of equal ones).  Equal windows sample the same place."""
+    if sum(map(len, texts)) > 1 << PLACE_BITS:
+        raise ValueError(f"at most {1 << PLACE_BITS} bytes at once")
     lens = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(lens)
     starts = ends - lens
@@ -131,7 +137,7 @@ def sample_suffixes(texts: list[bytes], window: int, lead: int) -> Anchors:
     grams = len(flat) - lead + 1
     at = np.arange(grams)
     # the hash orders, the place in the low bits breaks ties and comes back
-    low = np.uint64((1 << 25) - 1)
+    low = np.uint64((1 << PLACE_BITS) - 1)
     least = (mixed(roll.of(at, at + lead)) & ~low) | at.astype(np.uint64)
     span, width = window - lead + 1, 1
     while 2 * width <= span:
@@ -219,16 +225,23 @@ def _slices(batches, slice_bytes: int) -> Iterator[Slice]:
         yield Slice(number, ids, texts)
 
 
-def _suffixes(part: Slice, window: int) -> Anchors:
+def _suffixes(part: Slice, window: int, piece_bytes: int = PIECE_BYTES) -> Anchors:
+    """The sampled suffixes of the slice.  A long text is sampled in pieces that
+    overlap by a window less one byte, so each window lies in one piece; a run
+    of windows that a piece ends goes on in the next."""
     found, i = [], 0
     while i < len(part.texts):
         j, size = i, 0
-        while j < len(part.texts) and (size == 0 or size + len(part.texts[j]) <= common.SLICE_BYTES):
+        while j < len(part.texts) and (size == 0 or size + len(part.texts[j]) <= piece_bytes):
             size += len(part.texts[j])
             j += 1
-        one = sample_suffixes(part.texts[i:j], window, LEAD)
-        one.text = one.text + i
-        found.append(one)
+        for off in range(0, size, piece_bytes) if size > piece_bytes else (0,):
+            # only a text alone is longer than a piece, but empty ones may stand before it
+            texts = part.texts[i:j] if size <= piece_bytes else [part.texts[j - 1][off:off + piece_bytes + window - 1]]
+            one = sample_suffixes(texts, window, LEAD)
+            one.text = one.text + (i if size <= piece_bytes else j - 1)
+            one.at, one.first, one.last = one.at + off, one.first + off, one.last + off
+            found.append(one)
         i = j
     return Anchors(*(np.concatenate([getattr(a, f) for a in found])
                      for f in ("text", "at", "first", "last", "context", "words")))
@@ -243,13 +256,14 @@ def _ties(part: Slice, text: np.ndarray) -> np.ndarray:
     return mixed(np.uint64(part.number) + text.astype(np.uint64))
 
 
-def _splitters(rows: DataFrame, window: int, slice_bytes: int, total: int, buckets: int) -> np.ndarray:
+def _splitters(rows: DataFrame, window: int, slice_bytes: int, piece_bytes: int, total: int,
+               buckets: int) -> np.ndarray:
     """Keys that cut the sampled suffixes evenly.  A cut lies before the first of
     equal suffixes; only a group that several cuts fall into, so one larger
     than a bucket, is also cut inside."""
     def keys(batches):
         for part in _slices(batches, slice_bytes):
-            a = _suffixes(part, window)
+            a = _suffixes(part, window, piece_bytes)
             tie = _ties(part, a.text)
             some = mixed(tie ^ a.at.astype(np.uint64)) % np.uint64(SAMPLE_EVERY) == 0
             yield pa.RecordBatch.from_arrays(
@@ -264,12 +278,12 @@ def _splitters(rows: DataFrame, window: int, slice_bytes: int, total: int, bucke
     return np.array(sorted({lead.ljust(LEAD + 8, b"\0") for lead in fell} | inside), f"S{LEAD + 8}")
 
 
-def _blocks(window: int, slice_bytes: int, splitters):
+def _blocks(window: int, slice_bytes: int, piece_bytes: int, splitters):
     """(bucket, slice, block) of each slice's suffixes, sorted within the block."""
     def run(batches):
         cuts = splitters.value
         for part in _slices(batches, slice_bytes):
-            a = _suffixes(part, window)
+            a = _suffixes(part, window, piece_bytes)
             tie, ranks = _ties(part, a.text), part.ranks
             order = multikey_order([a.words[:, 0], a.words[:, 1], tie])
             keys = _keys(a.words[order], tie[order])
@@ -537,9 +551,9 @@ def _finish(window: int, outputs: tuple[str, ...]):
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ...] = (),
                    slice_bytes: int = SLICE_BYTES, bucket_bytes: int = BUCKET_BYTES,
-                   near_classes: int = NEAR_CLASSES) -> DataFrame:
+                   near_classes: int = NEAR_CLASSES, piece_bytes: int = PIECE_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and
-    the asked ``outputs``: the removed spans, the kept bytes.  The last three
+    the asked ``outputs``: the removed spans, the kept bytes.  The last four
     arguments size the work; the result does not depend on them."""
     if not LEAD <= window <= LEAD + 64:
         raise ValueError(f"window from {LEAD} to {LEAD + 64}")
@@ -549,7 +563,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
                   min(-(-total // bucket_bytes), MAX_BUCKETS))
-    splitters = sc.broadcast(_splitters(rows, window, slice_bytes, total, buckets))
+    splitters = sc.broadcast(_splitters(rows, window, slice_bytes, piece_bytes, total, buckets))
     buckets = len(splitters.value) + 1
 
     def packed(batches):
@@ -560,7 +574,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
     # exchange serves all three joins
     slices = rows.mapInArrow(packed, "slice long not null, texts binary")
     spans = common.cut(
-        rows.mapInArrow(_blocks(window, slice_bytes, splitters), "bucket int, slice long, block binary")
+        rows.mapInArrow(_blocks(window, slice_bytes, piece_bytes, splitters), "bucket int, slice long, block binary")
         .repartitionById(buckets, F.col("bucket"))
         .mapInArrow(_resolve(splitters, near_classes), "slice long, near boolean, wide boolean, spans binary")
         .groupBy("slice").agg(F.max("near").alias("near"), F.max("wide").alias("wide"),

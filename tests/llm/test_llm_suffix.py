@@ -103,3 +103,26 @@ def test_equal_windows_sample_the_same_place():
         assert sorted(places) == list(range(len(text) - 49))
         found.append([places[s + pad] for s in range(len(passage) - 49)])
     assert all(f == found[0] for f in found)
+
+
+@pytest.mark.parametrize("piece_bytes", [64, 333])
+def test_texts_longer_than_a_piece(spark, piece_bytes):
+    data = planted(4, 60)
+    df = S.remove_repeats(cases.frame(spark, data), slice_bytes=4000, piece_bytes=piece_bytes)
+    assert result(df) == brute(data)
+
+
+def test_places_far_inside_a_long_text():
+    passage = cases.words(random.Random(5), 200).encode()
+    far = (1 << 25) + 12_345
+    text = np.random.default_rng(5).integers(0, 256, far, np.uint8).tobytes() + passage
+    short = S._suffixes(S.Slice(0, [1], [passage]), 50)
+    long = S._suffixes(S.Slice(0, [2, 3], [b"", text]), 50)
+    assert set(long.text.tolist()) == {1}
+    windows = {}
+    for at, first, last, words in zip(long.at, long.first, long.last, long.words):
+        if last >= far:
+            windows.update({s - far: (at - far, *words) for s in range(max(first, far), last + 1)})
+    assert windows == {s: (at, *words) for at, first, last, words in
+                       zip(short.at, short.first, short.last, short.words) for s in range(first, last + 1)}
+    assert (long.last - long.first).max() < 50 and (np.sum(long.last - long.first + 1) == len(text) - 49)
