@@ -56,6 +56,8 @@ LEAD = 16
 SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 SAMPLE_BYTES = 16 << 20
+#: Most rows of a slice, empty texts included (``_runs`` packs a row's number above 40 bits).
+SLICE_ROWS = 1 << 16
 #: Most buckets: the splitters (24 bytes each, at most two a bucket) go to every task.  Buckets grow
 #: beyond ``BUCKET_BYTES`` above 8 TB of text (100 MB each at 100 TB).
 MAX_BUCKETS = 1 << 20
@@ -209,7 +211,7 @@ class Slice:
 
 
 def _slices(batches, slice_bytes: int) -> Iterator[Slice]:
-    """The same slices whatever the batches are."""
+    """The same slices whatever the batches are: closed by text bytes or rows."""
     number, ids, texts, size = None, [], [], 0
     for batch in common.slices(batches, "text"):
         for uid, doc_id, text in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(),
@@ -218,7 +220,7 @@ def _slices(batches, slice_bytes: int) -> Iterator[Slice]:
             ids.append(doc_id)
             texts.append(text)
             size += len(text)
-            if size >= slice_bytes:
+            if size >= slice_bytes or len(ids) == SLICE_ROWS:
                 yield Slice(number, ids, texts)
                 number, ids, texts, size = None, [], [], 0
     if ids:

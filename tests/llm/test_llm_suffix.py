@@ -3,6 +3,7 @@ import random
 
 import llm_cases as cases
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gridmart.llm import suffix_dedup as S
@@ -126,3 +127,14 @@ def test_places_far_inside_a_long_text():
     assert windows == {s: (at, *words) for at, first, last, words in
                        zip(short.at, short.first, short.last, short.words) for s in range(first, last + 1)}
     assert (long.last - long.first).max() < 50 and (np.sum(long.last - long.first + 1) == len(text) - 49)
+
+
+def test_slices_of_empty_texts_are_bounded():
+    n = 150_000
+    texts = [None if i % 2 else "" for i in range(n - 1)] + ["end"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(range(n), pa.int64()),
+                                        pa.array(texts, pa.string())], names=["uid", "doc_id", "text"])
+    for batches in ([batch], [batch.slice(i, 7001) for i in range(0, n, 7001)]):
+        parts = list(S._slices(batches, 1 << 20))
+        assert [(p.number, len(p.ids)) for p in parts] == [(0, 65_536), (65_536, 65_536), (131_072, n - 131_072)]
+        assert [i for p in parts for i in p.ids] == list(range(n)) and parts[-1].texts[-1] == b"end"
