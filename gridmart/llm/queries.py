@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, exact_dedup, lang_id, mixing, quality, sharding, simhash, suffix_dedup, toxicity, url_filter
+from . import (bpe, common, exact_dedup, lang_id, mixing, piece_bpe, quality, sharding, simhash, suffix_dedup,
+               toxicity, url_filter)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,9 +85,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return piece_bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                            ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_language, op3_quality, op4_exact_dedup, op5_sharding, op6_suffix_dedup,
-                                    op7_mixing, op8_toxicity, op9_simhash, op10_bpe)}
+                                    op7_mixing, op8_toxicity, op9_simhash, op10_bpe, op13_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
