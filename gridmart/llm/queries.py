@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, common, exact_dedup, lang_id, mixing, piece_bpe, quality, sharding, simhash, suffix_dedup,
-               toxicity, url_filter)
+from . import (bpe, common, conversation_repair, exact_dedup, lang_id, mixing, piece_bpe,
+               quality, sharding, simhash, suffix_dedup, toxicity, url_filter)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +85,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def _damaged(conversations: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user by their key."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    role, text = (F.coalesce(F.col(c), F.lit(" ")) for c in ("role", "text"))
+    return conversations.withColumn("_kind", F.crc32(key.cast("binary")) % 20).filter("_kind != 0").select(
+        "conv_id", "turn", F.when(F.col("_kind") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("_kind") == 1, "").when(F.col("_kind") == 2, F.regexp_replace(text, "[.!?]", ""))
+         .otherwise(text).alias("text"),
+        F.explode(F.when(F.col("_kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+         .alias("_copy")).drop("_copy")
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _read(spark, sf_dir, "conversations")
+    return conversation_repair.repair(_damaged(conversations), every=conversations)
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return piece_bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
@@ -93,11 +110,13 @@ def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_language, op3_quality, op4_exact_dedup, op5_sharding, op6_suffix_dedup,
-                                    op7_mixing, op8_toxicity, op9_simhash, op10_bpe, op13_pieces)}
+                                    op7_mixing, op8_toxicity, op9_simhash, op10_bpe, op11_repair,
+                                    op13_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": ORACLE_OP1, "op4_exact_dedup": ORACLE_OP4, "op6_suffix_dedup": ORACLE_OP6}
+    return {"op1_url_filter": ORACLE_OP1, "op4_exact_dedup": ORACLE_OP4, "op6_suffix_dedup": ORACLE_OP6,
+            }
 
 
 ORACLE_OP4 = """
