@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, common, conversation_repair, exact_dedup, lang_id, mixing, piece_bpe,
+from . import (bpe, common, conversation_repair, exact_dedup, lang_id, merkle, mixing, piece_bpe,
                quality, sharding, simhash, suffix_dedup, toxicity, url_filter)
 
 
@@ -102,6 +102,16 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(_damaged(conversations), every=conversations)
 
 
+# The letters that tampering changes.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(_text_id_crc() % 3 == 0, F.translate("text", UPPER, LOWER))
+    return merkle.manifest(_read(spark, sf_dir, "documents"), tampered,
+                           ("leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"))
+
+
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return piece_bpe.encode(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
@@ -111,12 +121,12 @@ def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_language, op3_quality, op4_exact_dedup, op5_sharding, op6_suffix_dedup,
                                     op7_mixing, op8_toxicity, op9_simhash, op10_bpe, op11_repair,
-                                    op13_pieces)}
+                                    op12_manifest, op13_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_filter": ORACLE_OP1, "op4_exact_dedup": ORACLE_OP4, "op6_suffix_dedup": ORACLE_OP6,
-            }
+            "op12_manifest": ORACLE_OP12}
 
 
 ORACLE_OP4 = """
@@ -172,3 +182,60 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT
        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_end, 0) + 1))) AS kept_sha256
 FROM n LEFT JOIN k USING (doc_id)
 """
+
+#: crc32 is reckoned bit by bit; the trees and the folds are recursions.
+ORACLE_OP12 = """
+WITH RECURSIVE p AS (
+  SELECT doc_id, lang, text, row_number() OVER () AS uid,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS lead,
+         list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)),
+             lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc
+  FROM documents),
+l AS (
+  SELECT uid, doc_id, lang, sha256(lead || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 3 = 0
+              THEN sha256(lead || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                                            'abcdefghijklmnopqrstuvwxyz'), '-')) END AS probe
+  FROM p),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         count(*) OVER (PARTITION BY lang) AS n FROM l),
+t(lang, level, idx, n, hash) AS (
+  SELECT lang, 0, i, n, leaf FROM o
+  UNION ALL
+  SELECT lang, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM t WHERE n > 1 GROUP BY lang, level, idx // 8, n),
+s AS (
+  SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n
+  FROM t WHERE n = 1),
+u(level, idx, n, hash) AS (
+  SELECT 0, i, n, subroot FROM s
+  UNION ALL
+  SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY idx))
+  FROM u WHERE n > 1 GROUP BY level, idx // 8, n),
+tb AS (
+  SELECT lang, level, idx, coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+         coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM t WHERE n > 1 WINDOW w AS (PARTITION BY lang, level, idx // 8 ORDER BY idx)),
+ub AS (
+  SELECT level, idx, coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+         coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+  FROM u WHERE n > 1 WINDOW w AS (PARTITION BY level, idx // 8 ORDER BY idx)),
+f(uid, lang, level, idx, acc, proof) AS (
+  SELECT uid, lang, 0, i, coalesce(probe, leaf), '' FROM o
+  UNION ALL
+  SELECT f.uid, f.lang, f.level + 1, f.idx // 8, sha256(b || acc || a), proof || b || a
+  FROM f JOIN tb ON f.lang IS NOT DISTINCT FROM tb.lang AND f.level = tb.level AND f.idx = tb.idx),
+e AS (SELECT uid, lang, arg_max(acc, level) AS acc, arg_max(proof, level) AS proof FROM f GROUP BY uid, lang),
+g(uid, subroot, level, idx, acc, proof) AS (
+  SELECT uid, subroot, 0, i, acc, proof FROM e JOIN s ON e.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT g.uid, subroot, g.level + 1, g.idx // 8, sha256(b || acc || a), proof || b || a
+  FROM g JOIN ub ON g.level = ub.level AND g.idx = ub.idx),
+k AS (SELECT uid, subroot, arg_max(acc, level) AS acc, arg_max(proof, level) AS proof FROM g GROUP BY uid, subroot)
+SELECT doc_id, leaf, subroot, (SELECT hash FROM u WHERE n = 1) AS root, sha256(proof) AS proof_sha256,
+       acc AS folded_root, acc = (SELECT hash FROM u WHERE n = 1) AS verified
+FROM l JOIN k USING (uid)
+"""

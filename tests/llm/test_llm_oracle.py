@@ -34,6 +34,7 @@ COLUMNS = {
     "op8_toxicity": {"doc_id", "held_out", "score", "predicted"},
     "op9_simhash": {"doc_id", "fingerprint", "component_id"},
     "op10_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+    "op12_manifest": {"doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"},
     "op13_pieces": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
 }
 
