@@ -54,6 +54,7 @@ GOLD_REQUIRED = ["region", "hour_utc", "price", "first_price", "temperature"]
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session zone (the driver's session may come without it)."""
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,39 @@ def missing_dates(loaded: DataFrame, key: str, date_col: str, members: DataFrame
     return absent_from(grid, present, [key, out])
 
 
+# Days of one segment of the calendar.
+SEGMENT_DAYS = 28
+
+
+def missing_ranges(loaded: DataFrame, key: str, date_col: str, members: DataFrame, start, end,
+                   segment_days: int = SEGMENT_DAYS) -> DataFrame:
+    """``missing_dates`` as ranges: (member, first_day, last_day, days), one row
+    for each hole, as a request takes a start and an end.
+
+    No day grid is made.  The present days of a member are ordered within
+    segments of the calendar, so that one member's days spread over many tasks;
+    a segment's first day looks back to the last day of the nearest earlier
+    segment, found among one row for each (member, segment), so a hole that
+    crosses segments, or spans empty ones, is still one row."""
+    first, last = (F.unix_date(F.lit(d).cast("date")).cast("long") for d in (start, end))
+    wanted = members.select(key).distinct()
+    present = loaded.select(F.col(key), F.unix_date(F.col(date_col).cast("date")).cast("long").alias("_d")) \
+        .filter(F.col("_d").between(first, last)).distinct().join(wanted, key, "left_semi") \
+        .withColumn("_seg", F.floor(F.col("_d") / F.lit(segment_days)).cast("long"))
+    inside = present.withColumn("_prev", F.lag("_d").over(Window.partitionBy(key, "_seg").orderBy("_d")))
+    ends = present.groupBy(key, "_seg").agg(F.max("_d").alias("_last"))
+    carry = ends.select(key, "_seg", F.lag("_last").over(Window.partitionBy(key).orderBy("_seg")).alias("_carry"))
+    before = inside.join(carry, [key, "_seg"]).select(
+        key, (F.coalesce("_prev", "_carry", first - 1) + 1).alias("_from"), (F.col("_d") - 1).alias("_to"))
+    after = ends.groupBy(key).agg(F.max("_last").alias("_last")).select(
+        key, (F.col("_last") + 1).alias("_from"), last.alias("_to"))
+    never = wanted.join(ends.select(key), key, "left_anti").select(key, first.alias("_from"), last.alias("_to"))
+    holes = before.unionByName(after).unionByName(never).filter(F.col("_from") <= F.col("_to"))
+    return holes.select(key, F.date_from_unix_date(F.col("_from").cast("int")).alias("first_day"),
+                        F.date_from_unix_date(F.col("_to").cast("int")).alias("last_day"),
+                        (F.col("_to") - F.col("_from") + 1).alias("days"))
+
+
 def increment(source: DataFrame, marks: DataFrame, key: str, time_col: str, *,
               mark_col: str = "mark", lookback: _dt.timedelta | None = None,
               keep_null_time: bool = False) -> DataFrame:
@@ -75,3 +108,23 @@ def global_increment(source: DataFrame, time_col: str, mark) -> DataFrame:
         return source
     ntz = isinstance(source.schema[time_col].dataType, T.TimestampNTZType)
     return source.filter(F.col(time_col) > utc_literal(mark, ntz=ntz))
+
+
+def unmarked_members(source: DataFrame, marks: DataFrame, key: str) -> DataFrame:
+    """Keys of ``source`` (the NULL key included) that have no mark, as a table
+    kept in the shared folder.  Reads one column of the source."""
+    m = marks.select(F.col(key).alias("_marked"))
+    return source.select(key).distinct() \
+        .join(m, F.col(key).eqNullSafe(F.col("_marked")), "left_anti").checkpoint(eager=True)
+
+
+def since_floor(source: DataFrame, key: str, recent: Column, unmarked: DataFrame) -> DataFrame:
+    """Rows that can lie after their key's mark: those ``recent`` by a literal
+    floor under all marks, which the scan prunes by, and every row of a key
+    without a mark.  Where no key lacks one, only the pruned scan remains."""
+    pruned = source.filter(recent)
+    if unmarked.isEmpty():
+        return pruned
+    new = unmarked.select(F.col(key).alias("_new"))
+    is_new = F.col(key).eqNullSafe(F.col("_new"))
+    return pruned.join(new, is_new, "left_anti").unionByName(source.join(new, is_new, "left_semi"))

@@ -19,10 +19,13 @@ def hourly_rollup(df: DataFrame, key: str, time_col: str, *, ntz: bool,
                   firsts: dict[str, str] | None = None,
                   key_out: str | None = None, hour_col: str = "hour_utc",
                   count_col: str | None = None,
-                  mean_scale: int | None = None) -> DataFrame:
+                  mean_scale: int | None = None, stored_hour: str | None = None) -> DataFrame:
     """Average ``means`` and take the first non-NULL value (in time order) of
     ``firsts`` per (key, hour).
 
+    ``stored_hour`` names a column that holds the hour already.  Grouping by it
+    needs no exchange where the input is bucketed by (key, that column).
+
     means / firsts map output column -> input column.  ``mean_scale`` switches
     the averages to an order-independent decimal sum (see ``exact_mean``).
     """
@@ -31,7 +34,7 @@ def hourly_rollup(df: DataFrame, key: str, time_col: str, *, ntz: bool,
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     return (df.groupBy(F.col(key).alias(key_out or key),
-                       hour_key(time_col, ntz).alias(hour_col))
+                       (F.col(stored_hour) if stored_hour else hour_key(time_col, ntz)).alias(hour_col))
               .agg(*aggs))
 
 

@@ -6,7 +6,8 @@ same job reads.  ``upsert_frame`` is the pure relational form:
     result = target LEFT ANTI JOIN source ON keys  UNION ALL  source
 
 ``upsert_path`` applies it to a partitioned parquet table whose partition
-column is derived from the key's time (so a key never changes partition):
+column is derived from the key's time (so a key never changes partition), and
+``upsert_into`` to a bucketed catalog table as well:
 it reads only the partitions the source touches, writes the merged rows to a
 fresh staging folder under the shared ``spark.checkpoint.dir`` (cutting the
 lineage on storage that survives executor loss), then replaces just those
@@ -15,10 +16,10 @@ Re-running the same source is idempotent.  Not atomic across partitions: a
 failure between the two writes leaves the target as before or with some
 partitions replaced by their final content, never with partial partitions.
 
-The touched partitions stay a table: the target is matched with them by a
-null-safe semi-join (rows of the NULL partition are merged like any other) and
-narrowed by their literal range first, so the scan prunes.  Nothing depends on
-how many there are.
+The touched partitions stay a table.  The target is joined with them by equality
+on its partition column, so Spark prunes its scan at run time to exactly those
+partitions, however far apart they lie (``Touched.rows_of``); the NULL partition,
+which no equality finds, is read by a filter of its own.
 
 Like MERGE, NULL keys never match.  A row without a full key (say, a malformed
 time) can not be identified by it; ``upsert_path`` identifies such rows by their
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.session import remove_path, shared_dir, staging_path
-from gridmart.sources.tables import exists
+from gridmart.sources.tables import PathTable
 
 # Columns that tell when a row was loaded, not what it says.
 AUDIT_COLUMNS = ("ingestion_time",)
@@ -100,22 +101,28 @@ def _without_repeated_content(target: DataFrame, src: DataFrame, keys: list[str]
     return target.filter(full_key(keys)).unionByName(odd)
 
 
+#: Up to so many touched partitions are broadcast (a few dozen bytes each), the
+#: form in which Spark prunes a scan at run time.  More are joined by a shuffle.
+MAX_BROADCAST_PARTITIONS = 100_000
+
+
 @dataclass(frozen=True)
 class Touched:
     """The partition values a load touched: a one-column table in the shared
-    folder and its range."""
+    folder, its range and its size."""
     values: DataFrame
     column: str
     low: object
     high: object
     has_null: bool
+    count: int
 
     @staticmethod
     def of(df: DataFrame, column: str) -> "Touched":
         values = df.select(column).distinct().checkpoint(eager=True)
-        r = values.agg(F.min(column).alias("lo"), F.max(column).alias("hi"),
+        r = values.agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.count(F.lit(1)).alias("n"),
                        F.count_if(F.col(column).isNull()).alias("nulls")).first()
-        return Touched(values, column, r["lo"], r["hi"], r["nulls"] > 0)
+        return Touched(values, column, r["lo"], r["hi"], r["nulls"] > 0, r["n"])
 
     def union(self, other: "Touched | None") -> "Touched":
         if other is None:
@@ -124,13 +131,23 @@ class Touched:
         return Touched.of(self.values.unionByName(both), self.column)
 
     def rows_of(self, df: DataFrame, column: str | None = None) -> DataFrame:
-        """The rows of ``df`` in these partitions (its ``column``)."""
+        """The rows of ``df`` in these partitions (its ``column``).
+
+        The literal range serves the listing of partitions; which of them are
+        read is decided at run time by the join.  Its filter on the values is
+        what makes Spark take them for a selection worth pruning by."""
         column = column or self.column
-        inside = F.lit(False) if self.low is None else F.col(column).between(F.lit(self.low), F.lit(self.high))
+        parts = []
+        if self.low is not None:
+            values = self.values.select(F.col(self.column).alias("_touched")) \
+                .filter(F.col("_touched").between(F.lit(self.low), F.lit(self.high)))
+            if self.count <= MAX_BROADCAST_PARTITIONS:
+                values = F.broadcast(values)
+            inside = df.filter(F.col(column).between(F.lit(self.low), F.lit(self.high)))
+            parts.append(inside.join(values, F.col(column) == F.col("_touched"), "left_semi"))
         if self.has_null:
-            inside = inside | F.col(column).isNull()
-        values = self.values.withColumnRenamed(self.column, "_touched")
-        return df.filter(inside).join(values, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
+            parts.append(df.filter(F.col(column).isNull()))
+        return functools.reduce(DataFrame.unionByName, parts) if parts else df.limit(0)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -138,14 +155,25 @@ def _nullable(schema: T.StructType) -> T.StructType:
 
 
 def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
-                keys: list[str], partition_col: str,
+                keys: list[str], partition_col: str, check_unique: bool = True,
+                cluster: tuple[str, ...] = ()) -> tuple[int, Touched | None]:
+    """``upsert_into`` the Parquet folder at ``target_path``, the rows of its
+    partitions clustered by ``cluster`` (see ``tables.clustered``)."""
+    # the schema is the source's: a table without a data file, or whose only
+    # partition is the NULL one, has none that could be inferred
+    table = PathTable(target_path, _nullable(source.schema), partition_col, cluster)
+    return upsert_into(spark, table, source, keys, check_unique)
+
+
+def upsert_into(spark: SparkSession, table, source: DataFrame, keys: list[str],
                 check_unique: bool = True) -> tuple[int, Touched | None]:
-    """Upsert ``source`` into the parquet table at ``target_path``.
+    """Upsert ``source`` into a ``PathTable`` or ``BucketedTable``.
 
     Returns the number of source rows applied and the partitions they touch;
     (0, None) for an empty source, which writes nothing.
     """
     shared_dir(spark)          # the touched partitions are checkpointed there
+    partition_col = table.partition_col
     src = source.cache()
     try:
         if check_unique:
@@ -161,24 +189,17 @@ def upsert_path(spark: SparkSession, target_path: str, source: DataFrame,
         if n == 0:
             return 0, None
         touched = Touched.of(src, partition_col)
-        writer_opts = {"partitionOverwriteMode": "dynamic"}
-        if not exists(spark, target_path):
-            (src.hint("rebalance", partition_col).write.mode("overwrite").options(**writer_opts)
-                .partitionBy(partition_col).parquet(target_path))
+        if not table.exists(spark):
+            table.replace(src, staged=False)
             return n, touched
-        # the schema is the source's: a table without a data file, or whose
-        # only partition is the NULL one, has none that could be inferred
-        schema = _nullable(src.schema)
-        target = touched.rows_of(spark.read.schema(schema).parquet(target_path))
-        target = target.select(*src.columns)
+        target = touched.rows_of(table.read(spark)).select(*src.columns)
         merged = upsert_frame(_without_repeated_content(target, src, keys), src, keys, check_unique=False)
         stage = staging_path(spark, "upsert")
         try:
             (merged.hint("rebalance", partition_col)
                    .write.mode("overwrite").partitionBy(partition_col).parquet(stage))
-            (spark.read.schema(schema).parquet(stage).select(*src.columns)
-                  .write.mode("overwrite").options(**writer_opts)
-                  .partitionBy(partition_col).parquet(target_path))
+            staged = spark.read.schema(_nullable(src.schema)).parquet(stage).select(*src.columns)
+            table.replace(staged, staged=True)
         finally:
             remove_path(spark, stage)
         return n, touched

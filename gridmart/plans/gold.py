@@ -2,7 +2,9 @@
 
 Both sides carry the same key types -- ``region`` string and ``hour_utc``
 instant -- so the join needs no cast, and the price roll-up's hash
-partitioning on (region, hour) can be reused by the join.  The common range
+partitioning on (region, hour) can be reused by the join.  Silver tables that are
+bucketed by these keys bring that partitioning from storage: then neither the
+roll-up nor the join exchanges a row.  The common range
 of the two feeds is found with one small aggregate job; its two bounds are
 applied as literals on the raw time columns and on the partition columns, so
 the silver scans prune files and row groups.
@@ -26,18 +28,24 @@ GOLD_COLUMNS = GOLD.fieldNames()
 HOUR = _dt.timedelta(hours=1)
 
 
+def _stored_hour(silver: DataFrame) -> str | None:
+    """The hour column of a bucketed silver table (see ``sources.bucketed``)."""
+    return "hour_utc" if "hour_utc" in silver.columns else None
+
+
 def price_hourly(silver_prices: DataFrame, mean_scale: int | None = None) -> DataFrame:
     """Sub-hourly prices -> hourly: mean prices, first non-NULL exchange rate
     in time order.  ``mean_scale``: exact decimal means (see ``exact_mean``)."""
     return hourly_rollup(silver_prices, "region", "time_start", ntz=False,
                          means={"SEK_per_kWh": "SEK_per_kWh", "EUR_per_kWh": "EUR_per_kWh"},
-                         firsts={"EXR": "EXR"}, mean_scale=mean_scale)
+                         firsts={"EXR": "EXR"}, mean_scale=mean_scale, stored_hour=_stored_hour(silver_prices))
 
 
 def weather_hourly(silver_weather: DataFrame) -> DataFrame:
     """Hourly weather keyed like the price side (instant hour)."""
+    hour = F.col("hour_utc") if _stored_hour(silver_weather) else hour_key(as_instant("weather_time_utc"), ntz=False)
     return silver_weather.select(
-        "region", hour_key(as_instant("weather_time_utc"), ntz=False).alias("hour_utc"),
+        "region", hour.alias("hour_utc"),
         "location", "latitude", "longitude", *WEATHER_MEASURES, "weather_code")
 
 
@@ -118,18 +126,18 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
             (F.col("weather_time_utc") >= utc_literal(lo, ntz=True)) & _parts_from(lo, granularity)))
         return join_hourly(ph, wh, granularity)
     marks = marks_op.high_water_marks(marked, "region", "hour_utc")
-    s = marks.agg(F.min(utc_wall("mark")).alias("lo"), F.collect_set("region").alias("regions")).first()
+    lo = marks.agg(F.min(utc_wall("mark")).alias("lo")).first()["lo"]
     sp, sw = silver_prices, silver_weather
-    if s["lo"] is not None:
-        # A literal lower bound on the raw time lets the scans skip files and
-        # row groups.  It holds for the regions that have a mark; a region
-        # without one takes all of its history.
-        floor = s["lo"] - back
-        other = ~F.col("region").isin(s["regions"])
-        sp = sp.filter(other | ((F.col("time_start") > utc_literal(floor, ntz=False))
-                                & _parts_from(floor, granularity)))
-        sw = sw.filter(other | ((F.col("weather_time_utc") > utc_literal(floor, ntz=True))
-                                & _parts_from(floor, granularity)))
+    if lo is not None:
+        # A literal lower bound on the raw time and the partition column lets
+        # the scans skip partitions, files and row groups.  It holds for the
+        # regions that have a mark; a region without one takes all its history.
+        floor = lo - back
+        unmarked = marks_op.unmarked_members(sp, marks, "region")
+        sp = marks_op.since_floor(sp, "region", (F.col("time_start") > utc_literal(floor, ntz=False))
+                                  & _parts_from(floor, granularity), unmarked)
+        sw = marks_op.since_floor(sw, "region", (F.col("weather_time_utc") > utc_literal(floor, ntz=True))
+                                  & _parts_from(floor, granularity), unmarked)
     sp = sp.withColumn("_hour", hour_key("time_start", ntz=False))
     sw = sw.withColumn("_hour", hour_key(as_instant("weather_time_utc"), ntz=False))
     new_p = marks_op.increment(sp, marks, "region", "_hour", lookback=lookback)

@@ -19,7 +19,7 @@ from gridmart.functions.timecols import (feed_local_date, hour_key, parse_offset
                                          parse_wall_ntz, period_of, utc_wall)
 from gridmart.operators import marks as marks_op
 from gridmart.operators import profiles, quality
-from gridmart.operators.upsert import Touched, latest_landed, upsert_path
+from gridmart.operators.upsert import Touched, latest_landed, upsert_into, upsert_path
 from gridmart.plans import gold as gold_plan
 from gridmart.plans import silver as silver_plan
 from gridmart.schemas import (BRONZE_PRICE, BRONZE_PRICE_KEYS, BRONZE_WEATHER,
@@ -30,21 +30,18 @@ from gridmart.schemas import (BRONZE_PRICE, BRONZE_PRICE_KEYS, BRONZE_WEATHER,
                               SILVER_WEATHER_KEYS, UNREADABLE, WEATHER_MEASURES)
 from gridmart.session import assert_utc, shared_dir
 from gridmart.sources import landing, tables
+from gridmart.sources.bucketed import for_table, silver_table
 from gridmart.sources.tables import Layout
 
 # The two DST change days checked by the original gate.
 DST_DAYS = ["2025-10-26", "2026-03-29"]
 
 
-def _bronze_price(spark: SparkSession, price_landing: str, since=None, granularity="day") -> DataFrame:
-    return landing.price_bronze(landing.read_price_landing(spark, price_landing, since),
-                                granularity=granularity)
-
-
-def _bronze_weather(spark: SparkSession, weather_landing: str, since=None, granularity="day",
-                    source: str = landing.WEATHER_SOURCE) -> DataFrame:
-    return landing.weather_bronze(landing.read_weather_landing(spark, weather_landing, since),
-                                  landing.locations(spark), source, granularity)
+def bronze(spark: SparkSession, landed: landing.Landed, granularity: str, weather_source: str) -> DataFrame:
+    """Bronze rows of a load's readable files, tagged with when they landed."""
+    if landed.feed == "price":
+        return landing.price_bronze(landed.readable, granularity=granularity)
+    return landing.weather_bronze(landed.readable, landing.locations(spark), weather_source, granularity)
 
 
 def log_load(spark: SparkSession, layout: Layout, feed: str, started: _dt.datetime, rows: int) -> None:
@@ -53,17 +50,17 @@ def log_load(spark: SparkSession, layout: Layout, feed: str, started: _dt.dateti
           .write.mode("append").parquet(layout.load_log))
 
 
-def record_unreadable(spark: SparkSession, layout: Layout, feed: str, files: DataFrame) -> int:
-    """Keeps the list of landed files that could not be parsed: those found in
-    this load, and earlier ones that have not landed again since.  Returns the
-    number of files of ``feed`` that are open."""
-    path = layout.path(f"_unreadable/{feed}")
-    record = "time_start" if feed == "price" else "hourly"
-    seen = files.groupBy("landed_file").agg(F.max(landing.is_unreadable()).alias("bad"),
-                                            F.count(record).alias("records"))
+def record_unreadable(spark: SparkSession, layout: Layout, landed: landing.Landed) -> int:
+    """Keeps the quarantine of a feed: the files of this load that could not be
+    parsed, with their content, and earlier ones that have not landed again
+    since.  Returns how many there are."""
+    path = layout.path(f"_unreadable/{landed.feed}")
+    seen = landed.outcomes.checkpoint(eager=True)
     old = tables.read(spark, path, UNREADABLE)
-    bad = seen.filter("bad").select("landed_file", F.lit(feed).alias("feed"),
-                                    F.current_timestamp().alias("found_at"), "records")
+    bad = landed.quarantined.groupBy("landed_file").agg(F.first("content").alias("content")) \
+        .join(seen, "landed_file") \
+        .select("landed_file", F.lit(landed.feed).alias("feed"), F.current_timestamp().alias("found_at"),
+                "records", "content")
     rows = old.join(seen, "landed_file", "left_anti").select(*UNREADABLE.fieldNames()) \
         .unionByName(bad).checkpoint(eager=True)
     rows.coalesce(1).write.mode("overwrite").parquet(path)
@@ -103,49 +100,43 @@ def run_backfill(spark: SparkSession, layout: Layout, price_landing: str,
     shared_dir(spark)
     out = {}
     g = layout.granularity
-    started = _now()
-    out["bronze_price"] = tables.overwrite(
-        _bronze_price(spark, price_landing, granularity=g).drop(landing.LANDED), layout.bronze_price, "feed_date")
-    log_load(spark, layout, "price", started, out["bronze_price"])
-    started = _now()
-    out["bronze_weather"] = tables.overwrite(
-        _bronze_weather(spark, weather_landing, granularity=g).drop(landing.LANDED), layout.bronze_weather,
-        "feed_date")
-    log_load(spark, layout, "weather", started, out["bronze_weather"])
-    _record_both(spark, layout, price_landing, weather_landing, None, None, out)
+    for feed, read, root, path in (("price", landing.stage_price, price_landing, layout.bronze_price),
+                                   ("weather", landing.stage_weather, weather_landing, layout.bronze_weather)):
+        started = _now()
+        landed = read(spark, root)
+        try:
+            out[f"bronze_{feed}"] = tables.overwrite(
+                bronze(spark, landed, g, landing.WEATHER_SOURCE).drop(landing.LANDED), path, "feed_date",
+                tables.LAYER_CLUSTERS[f"bronze_{feed}"])
+            out[f"unreadable_{feed}"] = record_unreadable(spark, layout, landed)
+        finally:
+            landed.remove()
+        log_load(spark, layout, feed, started, out[f"bronze_{feed}"])
     bp = tables.read(spark, layout.bronze_price, BRONZE_PRICE)
     bw = tables.read(spark, layout.bronze_weather, BRONZE_WEATHER)
-    out["silver_price"] = tables.overwrite(silver_plan.prices(bp, zone, g), layout.silver_price, "utc_date")
-    out["silver_weather"] = tables.overwrite(silver_plan.weather(bw, zone, g), layout.silver_weather,
-                                             "utc_date")
-    sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
-    sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
-    out["gold"] = tables.overwrite(gold_plan.build(spark, sp, sw, g), layout.gold, "hour_date")
+    price, weather = (silver_table(layout, feed) for feed in ("price", "weather"))
+    out["silver_price"] = price.overwrite(for_table(price, silver_plan.prices(bp, zone, g)))
+    out["silver_weather"] = weather.overwrite(for_table(weather, silver_plan.weather(bw, zone, g)))
+    sp, sw = price.read(spark), weather.read(spark)
+    out["gold"] = tables.overwrite(gold_plan.build(spark, sp, sw, g), layout.gold, "hour_date",
+                                   tables.LAYER_CLUSTERS["gold"])
     return out
 
 
-def _record_both(spark, layout, price_landing, weather_landing, since_p, since_w, out) -> None:
-    out["unreadable_price"] = record_unreadable(
-        spark, layout, "price", landing.read_price_landing(spark, price_landing, since_p))
-    out["unreadable_weather"] = record_unreadable(
-        spark, layout, "weather", landing.read_weather_landing(spark, weather_landing, since_w))
-
-
 def _silver_increment(bronze: DataFrame, silver_target: DataFrame, key: str, parsed_time,
                       lookback: _dt.timedelta | None, granularity: str) -> DataFrame:
     """Bronze rows after their region's silver mark (minus lookback), all rows
     of a region without a mark, and rows whose time does not parse."""
     m = marks_op.high_water_marks(silver_target.filter(F.col(key).isNotNull()), "region", key)
     b = bronze.withColumn("_t", parsed_time)
-    marked = m.agg(F.min(utc_wall("mark")).alias("lo"), F.collect_set("region").alias("regions")).first()
-    if marked["lo"] is not None:
+    lo = m.agg(F.min(utc_wall("mark")).alias("lo")).first()["lo"]
+    if lo is not None:
         # Pruning on bronze: no row of a region with a mark before the
         # earliest mark (less lookback, less a day for the feed's own zone)
         # can be needed.  A region without a mark is never cut.
-        floor = marked["lo"] - (lookback or _dt.timedelta(0)) - _dt.timedelta(days=1)
-        recent = F.col("feed_date") >= F.lit(period_of(floor.date(), granularity))
-        other = F.col("region").isNull() | ~F.col("region").isin(marked["regions"])
-        b = b.filter(recent | other | F.col("feed_date").isNull())
+        floor = lo - (lookback or _dt.timedelta(0)) - _dt.timedelta(days=1)
+        recent = (F.col("feed_date") >= F.lit(period_of(floor.date(), granularity))) | F.col("feed_date").isNull()
+        b = marks_op.since_floor(b, "region", recent, marks_op.unmarked_members(b, m, "region"))
     return marks_op.increment(b, m, "region", "_t", lookback=lookback, keep_null_time=True).drop("_t")
 
 
@@ -185,15 +176,21 @@ def run_increment(spark: SparkSession, layout: Layout, price_landing: str,
     since_w = landed_since(spark, layout, "weather", layout.bronze_weather, landing_margin)
     g = layout.granularity
     started = _now()
-    bp = latest_landed(_bronze_price(spark, price_landing, since_p, g), BRONZE_PRICE_KEYS, landing.LANDED)
-    out["bronze_price"], touched_bp = upsert_path(spark, layout.bronze_price, bp, BRONZE_PRICE_KEYS, "feed_date")
-    bw = latest_landed(_bronze_weather(spark, weather_landing, since_w, g, landing.WEATHER_INCREMENT_SOURCE),
-                       BRONZE_WEATHER_KEYS, landing.LANDED)
-    out["bronze_weather"], touched_bw = upsert_path(spark, layout.bronze_weather, bw, BRONZE_WEATHER_KEYS,
-                                                    "feed_date")
-    _record_both(spark, layout, price_landing, weather_landing, since_p, since_w, out)
+    touched = {}
+    for feed, read, root, since, path, keys in (
+            ("price", landing.stage_price, price_landing, since_p, layout.bronze_price, BRONZE_PRICE_KEYS),
+            ("weather", landing.stage_weather, weather_landing, since_w, layout.bronze_weather,
+             BRONZE_WEATHER_KEYS)):
+        landed = read(spark, root, since)
+        try:
+            rows = latest_landed(bronze(spark, landed, g, landing.WEATHER_INCREMENT_SOURCE), keys, landing.LANDED)
+            out[f"bronze_{feed}"], touched[feed] = upsert_path(spark, path, rows, keys, "feed_date",
+                                                                  cluster=tables.LAYER_CLUSTERS[f"bronze_{feed}"])
+            out[f"unreadable_{feed}"] = record_unreadable(spark, layout, landed)
+        finally:
+            landed.remove()
     if mode == "changed":
-        changed_downstream(spark, layout, touched_bp, touched_bw, zone, out)
+        changed_downstream(spark, layout, touched["price"], touched["weather"], zone, out)
     else:
         _marks_downstream(spark, layout, lookback, mark_scope, zone, out)
     log_load(spark, layout, "price", started, out["bronze_price"])
@@ -208,22 +205,22 @@ def changed_downstream(spark: SparkSession, layout: Layout, touched_bp: Touched
     in this feed"."""
     out = {} if out is None else out
     g = layout.granularity
+    price, weather = (silver_table(layout, feed) for feed in ("price", "weather"))
     out["silver_price"], touched_sp = 0, None
     if touched_bp is not None:
         new_bp = touched_bp.rows_of(tables.read(spark, layout.bronze_price, BRONZE_PRICE))
-        out["silver_price"], touched_sp = upsert_path(
-            spark, layout.silver_price, silver_plan.prices(new_bp, zone, g), SILVER_PRICE_KEYS, "utc_date")
+        out["silver_price"], touched_sp = upsert_into(
+            spark, price, for_table(price, silver_plan.prices(new_bp, zone, g)), SILVER_PRICE_KEYS)
     out["silver_weather"], touched_sw = 0, None
     if touched_bw is not None:
         new_bw = touched_bw.rows_of(tables.read(spark, layout.bronze_weather, BRONZE_WEATHER))
-        out["silver_weather"], touched_sw = upsert_path(
-            spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g), SILVER_WEATHER_KEYS, "utc_date")
+        out["silver_weather"], touched_sw = upsert_into(
+            spark, weather, for_table(weather, silver_plan.weather(new_bw, zone, g)), SILVER_WEATHER_KEYS)
     touched = touched_sw if touched_sp is None else touched_sp.union(touched_sw)
     if touched is None:
         out["gold"] = 0
         return out
-    sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
-    sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
+    sp, sw = price.read(spark), weather.read(spark)
     if not tables.exists(spark, layout.gold):
         new_g = gold_plan.build(spark, sp, sw, g)
     else:
@@ -231,32 +228,30 @@ def changed_downstream(spark: SparkSession, layout: Layout, touched_bp: Touched
         # partitions of either feed hold complete hours of both.
         new_g = gold_plan.join_hourly(gold_plan.price_hourly(touched.rows_of(sp)),
                                       gold_plan.weather_hourly(touched.rows_of(sw)), g)
-    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
+    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date",
+                                 cluster=tables.LAYER_CLUSTERS["gold"])
     return out
 
 
 def _marks_downstream(spark: SparkSession, layout: Layout, lookback, mark_scope: str, zone: str,
                       out: dict) -> None:
     g = layout.granularity
-    # silver
-    sp_t = tables.read(spark, layout.silver_price, SILVER_PRICE)
-    new_bp = _silver_increment(tables.read(spark, layout.bronze_price, BRONZE_PRICE), sp_t, "time_start",
-                               parse_offset_instant("time_start"), lookback, g)
-    out["silver_price"], _ = upsert_path(spark, layout.silver_price, silver_plan.prices(new_bp, zone, g),
-                                         SILVER_PRICE_KEYS, "utc_date")
-    sw_t = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
-    new_bw = _silver_increment(tables.read(spark, layout.bronze_weather, BRONZE_WEATHER), sw_t,
+    price, weather = (silver_table(layout, feed) for feed in ("price", "weather"))
+    new_bp = _silver_increment(tables.read(spark, layout.bronze_price, BRONZE_PRICE), price.read(spark),
+                               "time_start", parse_offset_instant("time_start"), lookback, g)
+    out["silver_price"], _ = upsert_into(spark, price, for_table(price, silver_plan.prices(new_bp, zone, g)),
+                                         SILVER_PRICE_KEYS)
+    new_bw = _silver_increment(tables.read(spark, layout.bronze_weather, BRONZE_WEATHER), weather.read(spark),
                                "weather_time_utc", parse_wall_ntz("weather_time_utc"), lookback, g)
-    out["silver_weather"], _ = upsert_path(spark, layout.silver_weather, silver_plan.weather(new_bw, zone, g),
-                                           SILVER_WEATHER_KEYS, "utc_date")
+    out["silver_weather"], _ = upsert_into(spark, weather, for_table(weather, silver_plan.weather(new_bw, zone, g)),
+                                           SILVER_WEATHER_KEYS)
 
-    # gold
-    sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
-    sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
+    sp, sw = price.read(spark), weather.read(spark)
     g_t = tables.read(spark, layout.gold, GOLD)
     new_g = gold_plan.increment(spark, sp, sw, g_t, lookback=lookback, mark_scope=mark_scope,
                                 granularity=g)
-    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date")
+    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date",
+                                 cluster=tables.LAYER_CLUSTERS["gold"])
 
 
 def silver_profile(spark: SparkSession, layout: Layout,
@@ -289,13 +284,10 @@ def silver_profile(spark: SparkSession, layout: Layout,
     }
 
 
-def missing_landing(spark: SparkSession, layout: Layout, feed: str, start: _dt.date,
-                    end: _dt.date | None = None, regions: list[str] = REGIONS) -> DataFrame:
-    """(region, day) with no bronze row between ``start`` and ``end`` -- the
-    files still to request.  ``end`` defaults to today for prices and to
-    yesterday for weather (the archive lags a day).  Holes in the middle are
-    listed, not only days after the latest load.  Only meaningful with day
-    partitions or for day-level feeds; the day is the feed's own date."""
+def _requested(spark: SparkSession, layout: Layout, feed: str, start: _dt.date, end: _dt.date | None,
+               regions: list[str]):
+    """The feed's loaded (region, day) from ``start``, its regions, and the last
+    day it can hold: today for prices, yesterday for weather (the archive lags)."""
     if end is None:
         today = _now().date()
         end = today if feed == "price" else today - _dt.timedelta(days=1)
@@ -305,9 +297,27 @@ def missing_landing(spark: SparkSession, layout: Layout, feed: str, start: _dt.d
     members = spark.createDataFrame([(r,) for r in regions], "region string")
     loaded = b.filter(F.col("feed_date") >= F.lit(period_of(start, layout.granularity))) \
               .select("region", feed_local_date(time_col).alias("day"))
+    return loaded, members, end
+
+
+def missing_landing(spark: SparkSession, layout: Layout, feed: str, start: _dt.date,
+                    end: _dt.date | None = None, regions: list[str] = REGIONS) -> DataFrame:
+    """(region, day) with no bronze row between ``start`` and ``end`` -- the
+    files still to request from a feed that is asked for single days.  Holes in
+    the middle are listed, not only days after the latest load.  Only meaningful
+    with day partitions or for day-level feeds; the day is the feed's own date."""
+    loaded, members, end = _requested(spark, layout, feed, start, end, regions)
     return marks_op.missing_dates(loaded, "region", "day", members, start, end)
 
 
+def missing_requests(spark: SparkSession, layout: Layout, feed: str, start: _dt.date,
+                     end: _dt.date | None = None, regions: list[str] = REGIONS) -> DataFrame:
+    """The same as ranges (region, first_day, last_day, days), for a feed whose
+    requests take a start and an end (the weather archive): one row a hole."""
+    loaded, members, end = _requested(spark, layout, feed, start, end, regions)
+    return marks_op.missing_ranges(loaded, "region", "day", members, start, end)
+
+
 def merge_summary(spark: SparkSession, layout: Layout) -> dict[str, dict]:
     """Post-merge re-check of every layer: rows, distinct keys, duplicated
     keys and the latest time (informational; one aggregation per table)."""

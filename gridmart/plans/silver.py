@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.functions.timecols import (parse_offset_instant, parse_wall_ntz,
+from gridmart.functions.timecols import (as_instant, hour_key, parse_offset_instant, parse_wall_ntz,
                                          period, to_local_wall, utc_wall)
 from gridmart.schemas import LOCAL_ZONE, SILVER_PRICE, SILVER_WEATHER
 
@@ -62,6 +62,14 @@ def weather(bronze: DataFrame, zone: str = LOCAL_ZONE, granularity: str = "day")
     return out.select(*SILVER_WEATHER.fieldNames())
 
 
+def with_hour(silver: DataFrame) -> DataFrame:
+    """Adds ``hour_utc``, the hour of a silver row's time as an instant: the key
+    that bucketed silver tables are laid out by."""
+    price = "time_start" in silver.columns
+    time = F.col("time_start") if price else as_instant("weather_time_utc")
+    return silver.withColumn("hour_utc", hour_key(time, ntz=False))
+
+
 def local_day_counts(silver_weather: DataFrame, days: list[str]) -> DataFrame:
     """Rows per (local date, region) for the given local dates: 23 on the
     spring DST change, 25 in autumn, 24 otherwise."""

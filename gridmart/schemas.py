@@ -98,9 +98,10 @@ QC_REPORT = _struct(("check", S), ("status", S), ("detail", S))
 # One row per load of a feed into bronze: when it started and what it wrote.
 LOAD_LOG = _struct(("feed", S), ("load_started", TS), ("rows", T.LongType()))
 
-# Landed files that could not be parsed and have not landed again since.
+# Quarantine: landed files that could not be parsed and have not landed again
+# since, with what they hold.
 UNREADABLE = _struct(("landed_file", S), ("feed", S), ("found_at", TS),
-                     ("records", T.LongType()))
+                     ("records", T.LongType()), ("content", S))
 
 LOCATION_SCHEMA = _struct(("region", S), ("location", S), ("latitude", D),
                           ("longitude", D))

@@ -23,6 +23,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Spark's default, INT96, has no statistics in Parquet footers: no row
+    # group could be skipped by an instant, and no footer could answer for one
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
 }
 
@@ -47,6 +50,7 @@ def get_session(app_name: str = "gridmart", master: str | None = None,
     # getOrCreate may hand back an existing session; enforce the pin.
     spark.conf.set("spark.sql.session.timeZone", SESSION_ZONE)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     tune_listing(spark)
     assert_utc(spark)
     return spark

@@ -10,11 +10,14 @@ column, so they are available in batch and in streaming reads alike.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.functions.timecols import feed_local_date, period
 from gridmart.operators.arrays import length_mismatch, zip_explode
+from gridmart.session import remove_path, staging_path
 from gridmart.schemas import (BRONZE_PRICE, BRONZE_WEATHER, LOCATION_SCHEMA,
                               LOCATIONS, PRICE_FEED, WEATHER_FEED, WEATHER_VARIABLES)
 
@@ -77,6 +80,55 @@ def read_weather_landing(spark: SparkSession, path: str, modified_after=None) ->
     return with_file_tags(_json_reader(spark, WEATHER_FEED, modified_after).json(path))
 
 
+@dataclass(frozen=True)
+class Landed:
+    """The landed files of one load, parsed once and kept in the shared folder
+    until ``remove``: rows of files that could be read and, apart from them, one
+    row with the content of each file that could not."""
+    feed: str
+    path: str
+    table: DataFrame
+
+    @property
+    def readable(self) -> DataFrame:
+        return self.table.filter(~F.col("quarantined")).drop("quarantined", "_corrupt_record")
+
+    @property
+    def quarantined(self) -> DataFrame:
+        """landed_file and the content the parser gave up on."""
+        return self.table.filter(F.col("quarantined")) \
+            .select("landed_file", F.col("_corrupt_record").alias("content"))
+
+    @property
+    def outcomes(self) -> DataFrame:
+        """Every file of the load: whether it was quarantined, and its records."""
+        record = "time_start" if self.feed == "price" else "hourly"
+        return self.table.groupBy("landed_file").agg(F.max("quarantined").alias("bad"),
+                                                     F.count(record).alias("records"))
+
+    def remove(self) -> None:
+        remove_path(self.table.sparkSession, self.path)
+
+
+def stage(parsed: DataFrame, feed: str) -> Landed:
+    """Parses the files of ``parsed`` (a landing read or a micro-batch of one)
+    in one pass that writes good rows and unreadable files apart.  Everything
+    later in the load reads this table, never the landing files again."""
+    spark = parsed.sparkSession
+    path = staging_path(spark, f"landed-{feed}")
+    rows = parsed.withColumn("quarantined", is_unreadable())
+    rows.write.partitionBy("quarantined").parquet(path)
+    return Landed(feed, path, spark.read.schema(rows.schema).parquet(path))
+
+
+def stage_price(spark: SparkSession, path: str, modified_after=None) -> Landed:
+    return stage(read_price_landing(spark, path, modified_after), "price")
+
+
+def stage_weather(spark: SparkSession, path: str, modified_after=None) -> Landed:
+    return stage(read_weather_landing(spark, path, modified_after), "weather")
+
+
 def locations(spark: SparkSession) -> DataFrame:
     """The region -> weather location dimension (4 rows)."""
     return spark.createDataFrame(LOCATIONS, LOCATION_SCHEMA)

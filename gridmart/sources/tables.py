@@ -7,6 +7,7 @@ prune to the days they touch, and the upsert rewrites only those days.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,6 +19,12 @@ from gridmart.schemas import BRONZE_PRICE, BRONZE_WEATHER, GOLD, SILVER_PRICE, S
 LAYER_SCHEMAS = {"bronze_price": BRONZE_PRICE, "bronze_weather": BRONZE_WEATHER,
                  "silver_price": SILVER_PRICE, "silver_weather": SILVER_WEATHER, "gold": GOLD}
 
+# Columns by which the rows of a partition are clustered, so that a slice of one
+# region skips the row groups of the others.
+LAYER_CLUSTERS = {"bronze_price": ("region", "time_start"), "bronze_weather": ("region", "weather_time_utc"),
+                  "silver_price": ("region", "time_start"), "silver_weather": ("region", "weather_time_utc"),
+                  "gold": ("region", "hour_utc")}
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -32,6 +39,9 @@ class Layout:
 
     root: str
     granularity: str = "day"
+    # Above 0 the silver layers are catalog tables in so many buckets by
+    # (region, hour), see ``sources.bucketed``.
+    buckets: int = 0
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -66,11 +76,15 @@ class Layout:
                 "gold": self.gold}
 
 
+def _fs(spark: SparkSession, path: str):
+    """The file system of ``path`` and a maker of its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    fs, make = _fs(spark, path)
+    return fs.exists(make(path))
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -93,19 +107,100 @@ def organised(df: DataFrame, partition_col: str) -> DataFrame:
     return df.hint("rebalance", partition_col)
 
 
-def overwrite(df: DataFrame, path: str, partition_col: str) -> int:
+def clustered(df: DataFrame, partition_col: str, cluster: tuple[str, ...] = ()) -> DataFrame:
+    """Rows in ranges of (partition, cluster columns), sorted, so that each file
+    holds one stretch of them and each of its row groups a narrow range: a slice
+    of one region, or of some hours, reads few row groups by their statistics.
+    A partition larger than a range is split, small ones share a task.
+
+    The ranges are sampled, which runs the last stage of ``df`` twice."""
+    if not cluster:
+        return organised(df, partition_col)
+    order = (partition_col, *cluster)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def overwrite(df: DataFrame, path: str, partition_col: str, cluster: tuple[str, ...] = (),
+              options: dict[str, str] | None = None) -> int:
     """Full replacement of a table (all partitions), counting the written rows
     with an ``Observation`` instead of a second job.
 
-    Spark deletes the old files first: a replacement that fails leaves no
-    table, and is to be run again (every input of a layer is kept)."""
+    The new table is written beside the old one and takes its place when it is
+    complete (two renames); a replacement that fails leaves the old table as it
+    was.  On a store without a rename of folders the swap is a copy."""
+    spark = df.sparkSession
+    settle(spark, path)
+    path = path.rstrip("/")
+    fresh = f"{path}.new-{uuid.uuid4().hex}"
     obs = Observation("written")
-    observed = organised(df, partition_col).observe(obs, F.count(F.lit(1)).alias("rows"))
-    (observed.write.mode("overwrite").option("partitionOverwriteMode", "static")
-             .partitionBy(partition_col).parquet(path))
+    observed = clustered(df, partition_col, cluster).observe(obs, F.count(F.lit(1)).alias("rows"))
+    try:
+        (observed.write.mode("overwrite").option("partitionOverwriteMode", "static")
+                 .options(**(options or {})).partitionBy(partition_col).parquet(fresh))
+    except BaseException:
+        fs, make = _fs(spark, path)
+        fs.delete(make(fresh), True)
+        raise
+    _swap(spark, fresh, path)
     return int(obs.get["rows"])
 
 
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    """Puts the complete table at ``fresh`` in the place of that at ``path``."""
+    fs, make = _fs(spark, path)
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    had = fs.exists(make(path))
+    if had and not fs.rename(make(path), make(old)):
+        raise OSError(f"can not move {path}")
+    if not fs.rename(make(fresh), make(path)):
+        if had:
+            fs.rename(make(old), make(path))
+        raise OSError(f"can not move {fresh} to {path}")
+    if had:
+        fs.delete(make(old), True)
+    spark.catalog.refreshByPath(path)
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Ends a replacement of ``path`` that was interrupted: a table that is gone
+    from its place comes back, the complete new one if there is one.  What else
+    such a run left beside the table is deleted."""
+    path = path.rstrip("/")
+    fs, make = _fs(spark, path)
+    left = {kind: [s.getPath() for s in fs.globStatus(make(f"{path}.{kind}-*")) or []] for kind in ("new", "old")}
+    if not fs.exists(make(path)) and left["old"]:
+        # the old table was moved away, so the new one had been written
+        whole = [p for p in left["new"] if fs.exists(make(p.toString() + "/_SUCCESS"))]
+        fs.rename((whole or left["old"])[0], make(path))
+    for p in left["new"] + left["old"]:
+        fs.delete(p, True)
+
+
+@dataclass(frozen=True)
+class PathTable:
+    """A layer kept as a partitioned Parquet folder."""
+    path: str
+    schema: T.StructType
+    partition_col: str
+    cluster: tuple[str, ...] = ()
+
+    def exists(self, spark: SparkSession) -> bool:
+        return exists(spark, self.path)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return read(spark, self.path, self.schema)
+
+    def overwrite(self, df: DataFrame) -> int:
+        return overwrite(df, self.path, self.partition_col, self.cluster)
+
+    def replace(self, df: DataFrame, staged: bool) -> None:
+        """Replaces just the partitions that ``df`` holds.  ``staged`` rows lie
+        in files by partition already and need no dealing out."""
+        rows = df if staged and not self.cluster else clustered(df, self.partition_col, self.cluster)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.partition_col).parquet(self.path))
+
+
 def append(df: DataFrame, path: str, partition_col: str) -> int:
     obs = Observation("appended")
     observed = organised(df, partition_col).observe(obs, F.count(F.lit(1)).alias("rows"))

@@ -38,6 +38,13 @@ def _file_stream(spark: SparkSession, schema, path: str, max_files: int | None)
     return landing.with_file_tags(r.json(path))
 
 
+def landed_stream(spark: SparkSession, feed: str, path: str, max_files: int | None = None) -> DataFrame:
+    """Parsed rows of newly landed files, unreadable ones included."""
+    if feed not in ("price", "weather"):
+        raise ValueError(f"unknown feed {feed!r}")
+    return _file_stream(spark, PRICE_FEED if feed == "price" else WEATHER_FEED, path, max_files)
+
+
 def price_landing_stream(spark: SparkSession, path: str, max_files: int | None = None,
                          granularity: str = "day") -> DataFrame:
     return landing.price_bronze(_file_stream(spark, PRICE_FEED, path, max_files),
@@ -76,18 +83,24 @@ def landing_to_bronze(spark: SparkSession, feed: str, landing_path: str, bronze_
 
 
 def _layered_batch(layout, feed: str, zone: str):
-    from gridmart.plans.jobs import changed_downstream
+    from gridmart.plans import jobs
     keys = BRONZE_PRICE_KEYS if feed == "price" else BRONZE_WEATHER_KEYS
     target = layout.bronze_price if feed == "price" else layout.bronze_weather
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        dedup = latest_landed(batch, keys, landing.LANDED)
-        _, touched = upsert_path(spark, target, dedup, keys, "feed_date")
+        landed = landing.stage(batch, feed)
+        try:
+            rows = latest_landed(jobs.bronze(spark, landed, layout.granularity, landing.WEATHER_SOURCE),
+                                 keys, landing.LANDED)
+            _, touched = upsert_path(spark, target, rows, keys, "feed_date")
+            jobs.record_unreadable(spark, layout, landed)
+        finally:
+            landed.remove()
         if feed == "price":
-            changed_downstream(spark, layout, touched, None, zone)
+            jobs.changed_downstream(spark, layout, touched, None, zone)
         else:
-            changed_downstream(spark, layout, None, touched, zone)
+            jobs.changed_downstream(spark, layout, None, touched, zone)
     return write
 
 
@@ -95,8 +108,9 @@ def layered_stream(spark: SparkSession, layout, feed: str, landing_path: str,
                    checkpoint: str | None = None, available_now: bool = True,
                    max_files: int | None = None, zone: str = "Europe/Stockholm") -> StreamingQuery:
     """The incremental job as a stream: each micro-batch of newly landed files
-    of ``feed`` is upserted into bronze, and silver and gold are re-derived
-    for exactly the partitions that batch changed.  A replayed batch gives
+    of ``feed`` is parsed once, unreadable files go to the quarantine, the rest
+    is upserted into bronze, and silver and gold are re-derived for exactly the
+    partitions that batch changed.  A replayed batch gives
     the same tables (every write is an upsert).
 
     Run the price and the weather stream of one layout one after the other
@@ -104,13 +118,7 @@ def layered_stream(spark: SparkSession, layout, feed: str, landing_path: str,
     both upsert gold, and two concurrent dynamic overwrites of the same gold
     partition would let the later one drop the other's rows.
     """
-    g = layout.granularity
-    if feed == "price":
-        stream = price_landing_stream(spark, landing_path, max_files, g)
-    elif feed == "weather":
-        stream = weather_landing_stream(spark, landing_path, max_files, g)
-    else:
-        raise ValueError(f"unknown feed {feed!r}")
+    stream = landed_stream(spark, feed, landing_path, max_files)
     ckpt = checkpoint or f"{shared_dir(spark).rstrip('/')}/gridmart-streams/{feed}-layers"
     w = stream.writeStream.foreachBatch(_layered_batch(layout, feed, zone)).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

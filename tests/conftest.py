@@ -7,12 +7,22 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def event_log(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("events"))
+
+
+@pytest.fixture(scope="session")
+def spark(event_log):
     from gridmart.session import get_session
     s = get_session("gridmart-tests", master="local[4]", extra={
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": f"file://{event_log}",
+        "spark.eventLog.compress": "false",
+        "spark.eventLog.rolling.enabled": "false",
         "spark.sql.shuffle.partitions": "4",
         "spark.default.parallelism": "4",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -23,6 +33,20 @@ def spark():
     s.stop()
 
 
+@pytest.fixture
+def scans(spark, event_log):
+    """Called after some work: the file scans of that work, by the event log."""
+    import scan_report
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty()
+    before = scan_report.last_execution(event_log)
+
+    def since():
+        bus.waitUntilEmpty()
+        return scan_report.scans(event_log, before)
+    return since
+
+
 @pytest.fixture
 def scratch(tmp_path):
     return str(tmp_path)
