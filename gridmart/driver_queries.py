@@ -599,9 +599,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    from gridmart import layer_queries
+    return QUERIES | layer_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
+    from gridmart import layer_queries
     from gridmart.oracle import ORACLE
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    return {k: v for k, v in (ORACLE | layer_queries.ORACLE).items() if k in queries()}

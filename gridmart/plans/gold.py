@@ -92,10 +92,21 @@ def common_range(silver_prices: DataFrame, silver_weather: DataFrame):
     return overlap_bounds(p, "h", w, "h")
 
 
+def common_range_of_walls(price: tuple, weather: tuple):
+    """``common_range`` from the feeds' first and last times (UTC walls, None for
+    an empty feed), as the footers of stored layers give them."""
+    if None in (*price, *weather):
+        return None, None
+    hours = [[t.replace(minute=0, second=0, microsecond=0) for t in feed] for feed in (price, weather)]
+    lo, hi = max(h[0] for h in hours), min(h[1] for h in hours)
+    return (lo, hi) if lo <= hi else (None, None)
+
+
 def build(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame,
-          granularity: str = "day", mean_scale: int | None = None) -> DataFrame:
-    """Full gold over the common hour range of the two feeds."""
-    lo, hi = common_range(silver_prices, silver_weather)
+          granularity: str = "day", mean_scale: int | None = None, bounds: tuple | None = None) -> DataFrame:
+    """Full gold over the common hour range of the two feeds (``bounds``, where
+    the caller knows it: see ``common_range_of_walls``)."""
+    lo, hi = bounds or common_range(silver_prices, silver_weather)
     if lo is None:
         return spark.createDataFrame([], GOLD)
     ph = price_hourly(_price_window(silver_prices, lo, hi + HOUR, granularity), mean_scale)
@@ -105,7 +116,8 @@ def build(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFra
 
 def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: DataFrame,
               gold_target: DataFrame, *, lookback: _dt.timedelta | None = None,
-              mark_scope: str = "region", granularity: str = "day", mean_scale: int | None = None) -> DataFrame:
+              mark_scope: str = "region", granularity: str = "day", mean_scale: int | None = None,
+              latest: _dt.datetime | None = None) -> DataFrame:
     """Gold rows for the hours after each region's high-water mark.
 
     mark_scope "region": one mark per region (a lagging region is caught up);
@@ -116,7 +128,7 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
     back = lookback or _dt.timedelta(0)
     marked = gold_target.filter(F.col("hour_utc").isNotNull())
     if mark_scope == "global":
-        mark = marked.agg(F.max(utc_wall("hour_utc")).alias("m")).first()["m"]
+        mark = latest or marked.agg(F.max(utc_wall("hour_utc")).alias("m")).first()["m"]
         if mark is None:
             return build(spark, silver_prices, silver_weather, granularity, mean_scale)
         lo = mark - back + HOUR           # hours strictly after the mark

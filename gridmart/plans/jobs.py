@@ -20,6 +20,7 @@ from gridmart.functions.timecols import (feed_local_date, hour_key, parse_offset
 from gridmart.operators import marks as marks_op
 from gridmart.operators import profiles, quality
 from gridmart.operators.upsert import Touched, latest_landed, upsert_into, upsert_path
+from gridmart.plans import daily_state
 from gridmart.plans import gold as gold_plan
 from gridmart.plans import silver as silver_plan
 from gridmart.schemas import (BRONZE_PRICE, BRONZE_PRICE_KEYS, BRONZE_WEATHER,
@@ -29,7 +30,7 @@ from gridmart.schemas import (BRONZE_PRICE, BRONZE_PRICE_KEYS, BRONZE_WEATHER,
                               SILVER_PRICE_KEYS, SILVER_WEATHER,
                               SILVER_WEATHER_KEYS, UNREADABLE, WEATHER_MEASURES)
 from gridmart.session import assert_utc, shared_dir
-from gridmart.sources import landing, tables
+from gridmart.sources import footers, landing, tables
 from gridmart.sources.bucketed import for_table, silver_table
 from gridmart.sources.tables import Layout
 
@@ -44,6 +45,14 @@ def bronze(spark: SparkSession, landed: landing.Landed, granularity: str, weathe
     return landing.weather_bronze(landed.readable, landing.locations(spark), weather_source, granularity)
 
 
+def common_range(spark: SparkSession, layout: Layout):
+    """First and last common hour of the stored silver feeds, from the footers of
+    their files: no data page is read."""
+    return gold_plan.common_range_of_walls(
+        footers.range_walls(spark, layout.silver_price, SILVER_PRICE, "time_start"),
+        footers.range_walls(spark, layout.silver_weather, SILVER_WEATHER, "weather_time_utc"))
+
+
 def log_load(spark: SparkSession, layout: Layout, feed: str, started: _dt.datetime, rows: int) -> None:
     """Append one row to the load log (a tiny table next to the layers)."""
     (spark.createDataFrame([(feed, started, rows)], LOAD_LOG).coalesce(1)
@@ -83,7 +92,7 @@ def landed_since(spark: SparkSession, layout: Layout, feed: str, bronze_path: st
                .agg(F.max(utc_wall("load_started")).alias("t")).first()["t"])
     if last is None:
         b = tables.read(spark, bronze_path, BRONZE_PRICE if feed == "price" else BRONZE_WEATHER)
-        last = b.agg(F.max(utc_wall("ingestion_time")).alias("t")).first()["t"]
+        last = footers.latest_wall(spark, bronze_path, b.schema, "ingestion_time")
     return None if last is None else last - margin
 
 
@@ -118,8 +127,11 @@ def run_backfill(spark: SparkSession, layout: Layout, price_landing: str,
     out["silver_price"] = price.overwrite(for_table(price, silver_plan.prices(bp, zone, g)))
     out["silver_weather"] = weather.overwrite(for_table(weather, silver_plan.weather(bw, zone, g)))
     sp, sw = price.read(spark), weather.read(spark)
-    out["gold"] = tables.overwrite(gold_plan.build(spark, sp, sw, g), layout.gold, "hour_date",
+    out["gold"] = tables.overwrite(gold_plan.build(spark, sp, sw, g, bounds=common_range(spark, layout)),
+                                   layout.gold, "hour_date",
                                    tables.LAYER_CLUSTERS["gold"])
+    if layout.daily_state:
+        daily_state.refresh(spark, layout)
     return out
 
 
@@ -228,11 +240,17 @@ def changed_downstream(spark: SparkSession, layout: Layout, touched_bp: Touched
         # partitions of either feed hold complete hours of both.
         new_g = gold_plan.join_hourly(gold_plan.price_hourly(touched.rows_of(sp)),
                                       gold_plan.weather_hourly(touched.rows_of(sw)), g)
-    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date",
-                                 cluster=tables.LAYER_CLUSTERS["gold"])
+    _upsert_gold(spark, layout, new_g, out)
     return out
 
 
+def _upsert_gold(spark: SparkSession, layout: Layout, rows: DataFrame, out: dict) -> None:
+    out["gold"], touched = upsert_path(spark, layout.gold, rows, GOLD_KEYS, "hour_date",
+                                       cluster=tables.LAYER_CLUSTERS["gold"])
+    if layout.daily_state and touched is not None:
+        daily_state.refresh(spark, layout, touched)
+
+
 def _marks_downstream(spark: SparkSession, layout: Layout, lookback, mark_scope: str, zone: str,
                       out: dict) -> None:
     g = layout.granularity
@@ -250,25 +268,23 @@ def _marks_downstream(spark: SparkSession, layout: Layout, lookback, mark_scope:
     g_t = tables.read(spark, layout.gold, GOLD)
     new_g = gold_plan.increment(spark, sp, sw, g_t, lookback=lookback, mark_scope=mark_scope,
                                 granularity=g)
-    out["gold"], _ = upsert_path(spark, layout.gold, new_g, GOLD_KEYS, "hour_date",
-                                 cluster=tables.LAYER_CLUSTERS["gold"])
+    _upsert_gold(spark, layout, new_g, out)
 
 
 def silver_profile(spark: SparkSession, layout: Layout,
                    dst_days: list[str] = DST_DAYS) -> dict[str, DataFrame]:
-    """The informational silver checks, as lazy DataFrames (nothing is
-    collected here): null profiles, invalid regions, intervals whose end is
+    """The informational silver checks, as lazy DataFrames (only the row counts,
+    which cost no scan, are taken here): null profiles, invalid regions, intervals whose end is
     not after their start, duplicate keys, value profile, daily and hourly
     coverage, bronze-versus-silver row counts and the local DST day lengths."""
     sp = tables.read(spark, layout.silver_price, SILVER_PRICE)
     sw = tables.read(spark, layout.silver_weather, SILVER_WEATHER)
-    bp = tables.read(spark, layout.bronze_price, BRONZE_PRICE)
-    bw = tables.read(spark, layout.bronze_weather, BRONZE_WEATHER)
     price_cols = ["price_date", "time_start", "time_end", "price_hour", "region",
                   "SEK_per_kWh", "EUR_per_kWh", "EXR"]
-    counts = [profiles.row_count(df).select(F.lit(name).alias("table"), "rows")
-              for name, df in (("bronze_price", bp), ("silver_price", sp),
-                               ("bronze_weather", bw), ("silver_weather", sw))]
+    # counted by the files' footers
+    counts = [footers.row_count(spark, layout.tables()[name], tables.LAYER_SCHEMAS[name])
+              .select(F.lit(name).alias("table"), "rows")
+              for name in ("bronze_price", "silver_price", "bronze_weather", "silver_weather")]
     return {
         "price_nulls": profiles.null_profile(sp, price_cols),
         "weather_nulls": profiles.null_profile(sw, ["weather_time_utc", "region"] + WEATHER_MEASURES),

@@ -42,6 +42,8 @@ class Layout:
     # Above 0 the silver layers are catalog tables in so many buckets by
     # (region, hour), see ``sources.bucketed``.
     buckets: int = 0
+    # Keeps daily moments and key sketches of gold (``plans.daily_state``).
+    daily_state: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -87,6 +89,18 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(make(path))
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether the table has a data file; the listing stops at the first."""
+    fs, make = _fs(spark, path)
+    if not fs.exists(make(path)):
+        return False
+    files = fs.listFiles(make(path), True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, always with the layer's own schema, so a table
     without a data file reads as empty; also empty if it does not exist yet."""

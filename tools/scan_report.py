@@ -68,7 +68,7 @@ def scans(path: str, after: int = -1) -> list[Scan]:
                     meta = node.get("metadata", {})
                     accumulators = {m["accumulatorId"]: m["name"] for m in node["metrics"]}
                     found.setdefault(frozenset(accumulators), Scan(
-                        event["executionId"], name, meta.get("Location", node["simpleString"]),
+                        event["executionId"], name, meta.get("Location", f"{name} {node['simpleString']}"),
                         meta.get("PartitionFilters", ""), accumulators))
             elif kind == "SparkListenerDriverAccumUpdates":
                 values.update({k: v for k, v in event["accumUpdates"]})
