@@ -22,6 +22,7 @@ from gridmart.plans import gold as gold_plan
 from gridmart.schemas import PRICE_FEED
 from gridmart.session import remove_path, staging_path
 from gridmart.sources import bucketed, footers, landing, tables
+from gridmart.streaming import continuity, gold_join
 
 CLUSTER = ("event_type", "ts")
 SLICE_TYPE = "purchase"
@@ -177,7 +178,51 @@ def q_key_sketches(spark, d):
     return rows[0].unionByName(rows[1])
 
 
+DELAY_HOURS = 2
+
+
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
+    # a pattern, since the table may be one file, which a stream takes no folder for
+    return D.prepare(spark).readStream.schema(D.events(spark, d).schema).parquet(f"{d.rstrip('/')}/events.parque[t]")
+
+
+def _drained(stream: DataFrame, path: str) -> DataFrame:
+    """All the stream gives of the rows that are there now."""
+    stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state") \
+        .trigger(availableNow=True).start().awaitTermination()
+    return _kept(stream.sparkSession.read.schema(stream.schema).parquet(f"{path}/out"), path)
+
+
+def q_gold_stream(spark, d):
+    """Gold of two streams of events, both feeds at once: prices from all events,
+    weather from the hours that have one (a value of the hour itself)."""
+    ev = _event_stream(spark, d)
+    prices = ev.select(F.col("event_type").alias("region"), F.col("ts").cast("timestamp").alias("time_start"),
+                       (F.col("value") * 11).alias("SEK_per_kWh"), F.col("value").alias("EUR_per_kWh"),
+                       F.lit(11.0).alias("EXR"))
+    hour = F.hour("ts").cast("double")
+    weather = _event_stream(spark, d).filter(F.col("event_id") % 2 == 1).select(
+        F.col("event_type").alias("region"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("weather_time_utc"),
+        F.lit(None).cast("string").alias("location"), F.lit(None).cast("double").alias("latitude"),
+        F.lit(None).cast("double").alias("longitude"), hour.alias("temperature_2m"),
+        F.lit(50.0).alias("relative_humidity_2m"), F.lit(0.0).alias("precipitation"),
+        (hour / 10).alias("wind_speed_10m"), F.lit(1).alias("weather_code"))
+    out = _drained(gold_join.gold(prices, weather, f"{DELAY_HOURS} hours"), staging_path(D.prepare(spark), "gold-stream"))
+    return out.withColumns({"hour_utc": timecols.utc_wall("hour_utc"),
+                            **{c: F.round(c, 6) for c in ("SEK_per_kWh", "EUR_per_kWh")}})
+
+
+def q_continuity_monitor(spark, d):
+    """Holes of each event type's hours, as its state and timers report them."""
+    rows = _event_stream(spark, d).select("event_type", F.col("ts").cast("timestamp").alias("at"))
+    out = _drained(continuity.holes(rows, "event_type", "at", f"{DELAY_HOURS} hours"),
+                   staging_path(D.prepare(spark), "monitor"))
+    return out.withColumns({c: timecols.utc_wall(c) for c in ("previous_hour", "hour_utc")})
+
+
 QUERIES = {
+    "gold_stream": q_gold_stream,
+    "continuity_monitor": q_continuity_monitor,
     "upsert_scattered_days": q_upsert_scattered_days,
     "quarantine_fan_out": q_quarantine_fan_out,
     "footer_profile": q_footer_profile,
@@ -190,7 +235,33 @@ QUERIES = {
 
 _w = oracle._w
 
+# The watermark: the latest event, less the delay; weather's is that of its hours.
+CLOSED_BEFORE = f"""(SELECT least(max(ts), max(date_trunc('hour', ts)) FILTER (WHERE event_id % 2 = 1))
+                           - INTERVAL {DELAY_HOURS} HOUR FROM events)"""
+CLOSED_HOUR = f"(SELECT date_trunc('hour', max(date_trunc('hour', ts)) - INTERVAL {DELAY_HOURS} HOUR) FROM events)"
+
 ORACLE = {
+    "gold_stream": f"""
+        SELECT P.region, P.hour_utc, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude,
+               round(avg(value * 11), 6) AS SEK_per_kWh, round(avg(value), 6) AS EUR_per_kWh, 11.0::DOUBLE AS EXR,
+               CAST(hour(P.hour_utc) AS DOUBLE) AS temperature_2m, 50.0::DOUBLE AS relative_humidity_2m,
+               0.0::DOUBLE AS precipitation, CAST(hour(P.hour_utc) AS DOUBLE) / 10 AS wind_speed_10m, 1 AS weather_code,
+               CAST(P.hour_utc AS DATE) AS hour_date
+        FROM (SELECT event_type AS region, date_trunc('hour', ts) AS hour_utc, ts, any_value(value) AS value
+              FROM events GROUP BY ALL) P
+        WHERE P.hour_utc + INTERVAL 1 HOUR <= {CLOSED_BEFORE}
+          AND EXISTS (SELECT 1 FROM events e WHERE e.event_id % 2 = 1 AND e.event_type = P.region
+                                               AND date_trunc('hour', e.ts) = P.hour_utc)
+        GROUP BY P.region, P.hour_utc""",
+    "continuity_monitor": f"""
+        SELECT event_type, 'closed' AS kind, previous_hour, hour_utc, date_diff('hour', previous_hour, hour_utc) AS gap_hours
+        FROM (SELECT event_type, h AS hour_utc, lag(h) OVER (PARTITION BY event_type ORDER BY h) AS previous_hour
+              FROM (SELECT DISTINCT event_type, date_trunc('hour', ts) AS h FROM events))
+        WHERE hour_utc < {CLOSED_HOUR} AND date_diff('hour', previous_hour, hour_utc) > 1
+        UNION ALL
+        SELECT event_type, 'open', max(h), NULL, date_diff('hour', max(h), {CLOSED_HOUR})
+        FROM (SELECT event_type, date_trunc('hour', ts) AS h FROM events) WHERE h < {CLOSED_HOUR}
+        GROUP BY 1 HAVING max(h) + INTERVAL 1 HOUR < {CLOSED_HOUR}""",
     "upsert_scattered_days": """
         SELECT event_id, ts, user_id, event_type, CAST(ts AS DATE) AS day,
                CASE WHEN CAST(ts AS DATE) IN ((SELECT min(CAST(ts AS DATE)) FROM events),

@@ -33,6 +33,7 @@ def _session(spark: SparkSession) -> SparkSession:
     if own is None:
         own = spark.newSession()
         own.conf.set("spark.sql.session.timeZone", "UTC")
+        own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
         own.conf.set("spark.sql.sources.useV1SourceList", "")
         own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         spark._gridmart_footers = own
