@@ -1,8 +1,9 @@
 """URL lists with a Bloom filter cascade.
 
 The listed keys are the rules (host + path).  A url can only be hit by the
-keys made of one of its host's suffixes and one of the rules' path lengths;
-the keys of all urls of the table are the corpus's complete key universe.
+keys made of one of its host's suffixes, none longer than the longest listed
+host, and one of the rules' path lengths; the keys of all urls of the table are
+the corpus's complete key universe.
 
 Level 1 of the cascade encodes the listed keys, level 2 the keys of the
 universe that level 1 passes wrongly, level 3 the listed keys that level 2
@@ -117,11 +118,13 @@ def split_url(url: str | None) -> tuple[str, str]:
     return lower, rest[:stop]
 
 
-def keys_of(host: str, path: str, lengths: list[int]) -> list[str]:
-    """The keys that could hit (host, path), the winning one first."""
-    suffixes = [host]
-    while "." in suffixes[-1]:
-        suffixes.append(suffixes[-1].split(".", 1)[1])
+def keys_of(host: str, path: str, lengths: list[int], longest: int) -> list[str]:
+    """The keys that could hit (host, path), the winning one first: those of
+    the host's suffixes up to ``longest``, the longest listed host, and of the
+    rules' path ``lengths``.  A very long host costs no more than a short one."""
+    suffixes, at = [host] if len(host) <= longest else [], len(host)
+    while (at := host.rfind(".", max(0, len(host) - longest - 1), at)) >= 0:
+        suffixes.append(host[at + 1:])
     found = [(len(s) + n, len(s), s + path[:n]) for s in suffixes for n in lengths if n <= len(path)]
     return [key for _, _, key in sorted(found, key=lambda x: (-x[0], -x[1]))]
 
@@ -133,12 +136,12 @@ def build(urls: DataFrame, rules: list[Rule]) -> Cascade:
     listed = {r.key for r in rules}
     if not listed:
         return Cascade()
-    lengths = sorted({len(r.path) for r in rules})
+    lengths, longest = sorted({len(r.path) for r in rules}), max(len(r.host) for r in rules)
 
     def universe(batches):
         for batch in batches:
             for url in batch.column("url").to_pylist():
-                yield from keys_of(*split_url(url), lengths)
+                yield from keys_of(*split_url(url), lengths, longest)
 
     def count(batches):
         yield pa.RecordBatch.from_pydict({"n": pa.array([sum(1 for _ in universe(batches))], pa.int64())})
@@ -171,14 +174,14 @@ def judge(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFr
     if blocked:      # its universe is the list itself
         level = Bloom(blocked, 0.5, 0)
         blocking = Cascade([level]).extend(blocked, {k for k in listed - blocked if k in level})
-    lengths = sorted({len(r.path) for r in rules})
+    lengths, longest = sorted({len(r.path) for r in rules}), max((len(r.host) for r in rules), default=0)
 
     def run(batches):
         for batch in batches:
             out = {"host": [], "path": [], "rule": [], "verdict": []}
             for url in batch.column("url").to_pylist():
                 host, path = split_url(url)
-                rule = next((k for k in keys_of(host, path, lengths) if k in members), None)
+                rule = next((k for k in keys_of(host, path, lengths, longest) if k in members), None)
                 out["host"].append(host)
                 out["path"].append(path)
                 out["rule"].append(rule)

@@ -140,3 +140,22 @@ def test_n_grams_do_not_cross_texts_or_words():
     one, two = L.gram_hashes(["ab cd"])[0], L.gram_hashes(["ef"])[0]
     assert sorted(both[0].tolist()) == sorted([*one.tolist(), *two.tolist()])
     assert sorted(both[0][both[1] == 1].tolist()) == sorted(two.tolist())
+
+
+def test_a_host_of_a_hundred_thousand_labels(spark):
+    """Only suffixes as long as a listed host can hit."""
+    import tracemalloc
+
+    long = "a." * 100_000 + "example.com"
+    tracemalloc.start()
+    keys = U.keys_of(long, "/en/x", [1, 4], len("www.example.com"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000
+    assert keys == ["a.a.example.com/en/", "a.example.com/en/", "a.a.example.com/", "example.com/en/", "a.example.com/",
+                    "example.com/", "com/en/", "com/"]
+    rules = [U.Rule("block", "example.com", "/en/"), U.Rule("allow", "www.example.com", "/en/")]
+    df = spark.createDataFrame([(1, f"http://{long}/en/x"), (2, f"http://www.{long}/en/"), (3, "http://a.www.example.com/en/")],
+                               "page_id long, url string")
+    assert {r.page_id: (r.rule, r.verdict) for r in U.judge(df, rules).collect()} == \
+        {1: ("example.com/en/", "block"), 2: ("example.com/en/", "block"), 3: ("www.example.com/en/", "allow")}
