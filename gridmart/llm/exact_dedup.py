@@ -1,8 +1,8 @@
 """Exact deduplication with a cuckoo-filter index of live digests.
 
 Texts are equal when their UTF-8 bytes are identical after lower-casing A-Z.
-Each text has a SHA-256 digest.  The index is partitioned by digest; every
-partition holds
+Each text has a SHA-256 digest.  The index is partitioned by digest, into as many
+partitions as its bytes ask for; every partition holds
 
 * a cuckoo filter over the digests that are live in it (16-bit fingerprints,
   four slots a bucket, partial-key cuckoo hashing), which answers "not here"
@@ -40,6 +40,8 @@ from . import common
 SLOTS = 4
 MAX_KICKS = 500
 START_BUCKETS = 64
+#: Text bytes that a partition of the index holds, about.
+INDEX_BYTES = 64 << 20
 
 
 class CuckooFilter:
@@ -244,6 +246,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
 _ddl = "digest binary, doc_id long, uid long, n long, op int, content binary"
 
 
+def _partitions(docs: DataFrame) -> int:
+    """Partitions of the index: as many as its texts need, whatever the session's
+    setting, since a task holds its partition's texts."""
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // INDEX_BYTES))
+
+
 def build_index(docs: DataFrame, deletes: DataFrame | None = None) -> DataFrame:
     """Live texts: (digest, keep_id, keep_uid, group_size).
 
@@ -253,7 +262,7 @@ def build_index(docs: DataFrame, deletes: DataFrame | None = None) -> DataFrame:
     if deletes is not None:
         gone = deletes.select(F.lit(None).cast("long").alias("doc_id"), "text")
         records = records.unionByName(_keyed(gone).mapInArrow(_combine(DELETE), _ddl))
-    return records.repartition("digest").mapInArrow(
+    return records.repartition(_partitions(docs), "digest").mapInArrow(
         _index, "digest binary, keep_id long, keep_uid long, group_size long")
 
 

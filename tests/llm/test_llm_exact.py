@@ -96,3 +96,13 @@ def test_delete_of_a_random_half():
     for k in keys[:1000]:
         assert f.delete(k)
     assert all(k in f for k in keys[1000:]) and f.size == 1000
+
+
+def test_partitions_of_the_index_follow_the_bytes(spark, monkeypatch):
+    from gridmart.llm import exact_dedup
+    df = spark.createDataFrame([(i, "x" * 1_000) for i in range(100)], "doc_id long, text string")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert exact_dedup._partitions(df) == least == exact_dedup._partitions(df.limit(0))
+    monkeypatch.setattr(exact_dedup, "INDEX_BYTES", 2_000)
+    assert exact_dedup._partitions(df) == 50
+    assert exact_dedup.build_index(df).rdd.getNumPartitions() == 50
