@@ -17,9 +17,9 @@ from gridmart import driver_queries as D
 from gridmart import oracle
 from gridmart.functions import timecols
 from gridmart.operators import marks, profiles, upsert
-from gridmart.plans import daily_state, silver
+from gridmart.plans import daily_state, jobs, silver
 from gridmart.plans import gold as gold_plan
-from gridmart.schemas import PRICE_FEED
+from gridmart.schemas import GOLD, PRICE_FEED
 from gridmart.session import remove_path, staging_path
 from gridmart.sources import bucketed, footers, landing, tables
 from gridmart.streaming import continuity, gold_join
@@ -220,7 +220,76 @@ def q_continuity_monitor(spark, d):
     return out.withColumns({c: timecols.utc_wall(c) for c in ("previous_hour", "hour_utc")})
 
 
+def _land(files: DataFrame, root: str) -> None:
+    """Writes rows (year, name, content) as the feeds land them, one file each:
+    ``{root}/{year}/{name}.json``.  Spark names its own files, so each is moved to
+    its place; there are as many as days and regions, however large they are."""
+    spark, path = files.sparkSession, staging_path(files.sparkSession, "landing")
+    files.select("year", "name", F.col("content").alias("value")).write.partitionBy("year", "name").text(path)
+    fs, make = tables._fs(spark, path)
+    for part in fs.globStatus(make(f"{path}/year=*/name=*/part-*")):
+        file = part.getPath()
+        year, name = (p.getName().split("=")[1] for p in (file.getParent().getParent(), file.getParent()))
+        fs.mkdirs(make(f"{root}/{year}"))
+        fs.rename(file, make(f"{root}/{year}/{name}.json"))
+    remove_path(spark, path)
+
+
+def _landing_files(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Price and weather files of all events: a price file for each region and
+    local day, a weather file for each region and UTC day."""
+    codes = F.create_map(*[F.lit(x) for kv in D.REGION_OF_TYPE.items() for x in kv])
+    ev = D.events(spark, d).withColumn("region", F.coalesce(codes[F.col("event_type")], "event_type"))
+
+    def files(rows: DataFrame, content) -> DataFrame:
+        return rows.groupBy("region", "day").agg(F.sort_array(F.collect_list("r")).alias("r")).select(
+            "day", F.date_format("day", "yyyy").alias("year"),
+            F.concat(F.date_format("day", "MM-dd"), F.lit("_"), "region").alias("name"), content.alias("content"))
+
+    # one record for each second, the feed's resolution
+    second = ev.groupBy("region", F.date_trunc("second", "ts").cast("timestamp_ntz").alias("t")).agg(
+        F.max("value").alias("v"))
+    record = F.struct(D._offset_text(F.col("t")).alias("time_start"),
+                      D._offset_text(F.col("t") + F.make_dt_interval(mins=F.lit(15))).alias("time_end"),
+                      (F.col("v") * 11).alias("SEK_per_kWh"), F.col("v").alias("EUR_per_kWh"),
+                      (F.lit(10.0) + F.hour("t").cast("double") / F.lit(100.0)).alias("EXR"))
+    prices = files(second.select("region", F.to_date(timecols.to_local_wall("t", D.ZONE)).alias("day"),
+                                 record.alias("r")), F.to_json("r"))
+    k = F.get_json_object("props", "$.k").cast("double")
+    hourly = ev.groupBy("region", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("t")).agg(F.max(k).alias("k"))
+    names = {"time": "t", "temperature_2m": "k", "relative_humidity_2m": "h", "precipitation": "p",
+             "wind_speed_10m": "w", "weather_code": "c"}
+    measured = F.struct(F.date_format("t", "yyyy-MM-dd'T'HH:mm").alias("t"), "k", F.lit(50.0).alias("h"),
+                        F.lit(0.0).alias("p"), (F.col("k") / 10).alias("w"), F.lit(1).alias("c"))
+    arrays = F.struct(*[F.col(f"r.{short}").alias(name) for name, short in names.items()])
+    weather = files(hourly.select("region", F.to_date("t").alias("day"), measured.alias("r")),
+                    F.to_json(F.struct(F.lit(60.0).alias("latitude"), F.lit(18.0).alias("longitude"),
+                                       arrays.alias("hourly"))))
+    return prices, weather
+
+
+def q_daily_job(spark, d):
+    """The jobs on landed files made from events: a backfill of the history, then
+    the daily increment over the files that land after it; the gold they leave."""
+    root = staging_path(D.prepare(spark), "daily-job")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    layout, landing_at = tables.Layout(f"{root}/tables", "month"), (f"{root}/price", f"{root}/weather")
+    cut = F.lit(D.LOADED_BEFORE).cast("date")
+    feeds = [D.stored(f) for f in _landing_files(spark, d)]
+    for files, at in zip(feeds, landing_at):
+        _land(files.filter(F.col("day") < cut), at)
+    jobs.run_backfill(spark, layout, *landing_at)
+    for files, at in zip(feeds, landing_at):
+        _land(files.filter(F.col("day") >= cut), at)
+    jobs.run_increment(spark, layout, *landing_at)
+    gold = tables.read(spark, layout.gold, GOLD)
+    hour = timecols.utc_wall("hour_utc")
+    return _kept(gold.withColumns({"hour_utc": hour, "hour_date": F.to_date(hour),
+                                   **{c: F.round(c, 6) for c in ("SEK_per_kWh", "EUR_per_kWh")}}), root)
+
+
 QUERIES = {
+    "daily_job": q_daily_job,
     "gold_stream": q_gold_stream,
     "continuity_monitor": q_continuity_monitor,
     "upsert_scattered_days": q_upsert_scattered_days,
@@ -240,7 +309,23 @@ CLOSED_BEFORE = f"""(SELECT least(max(ts), max(date_trunc('hour', ts)) FILTER (W
                            - INTERVAL {DELAY_HOURS} HOUR FROM events)"""
 CLOSED_HOUR = f"(SELECT date_trunc('hour', max(date_trunc('hour', ts)) - INTERVAL {DELAY_HOURS} HOUR) FROM events)"
 
+_REGION = """CASE event_type WHEN 'click' THEN 'SE1' WHEN 'error' THEN 'SE2' WHEN 'purchase' THEN 'SE3'
+                          WHEN 'signup' THEN 'SE4' ELSE event_type END"""
+
 ORACLE = {
+    "daily_job": _w(
+        """SELECT P1.region, P1.hour_utc, location, latitude, longitude, SEK_per_kWh, EUR_per_kWh,
+                  10.0::DOUBLE + CAST(hour(P1.hour_utc) AS DOUBLE) / 100.0::DOUBLE AS EXR, temperature_2m,
+                  50.0::DOUBLE AS relative_humidity_2m, 0.0::DOUBLE AS precipitation,
+                  temperature_2m / 10::DOUBLE AS wind_speed_10m, 1 AS weather_code, CAST(P1.hour_utc AS DATE) AS hour_date
+           FROM P1 JOIN W1 ON P1.region = W1.region AND P1.hour_utc = W1.hour_utc LEFT JOIN LOC ON LOC.region = P1.region""",
+        f"""P1 AS (SELECT region, date_trunc('hour', t) AS hour_utc, round(avg(v * 11), 6) AS SEK_per_kWh,
+                          round(avg(v), 6) AS EUR_per_kWh
+                   FROM (SELECT {_REGION} AS region, date_trunc('second', ts) AS t, max(value) AS v
+                         FROM events GROUP BY ALL) GROUP BY ALL)""",
+        f"""W1 AS (SELECT {_REGION} AS region, date_trunc('hour', ts) AS hour_utc,
+                          max(CAST(json_extract_string(props, '$.k') AS DOUBLE)) AS temperature_2m
+                   FROM events GROUP BY ALL)"""),
     "gold_stream": f"""
         SELECT P.region, P.hour_utc, NULL::VARCHAR AS location, NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude,
                round(avg(value * 11), 6) AS SEK_per_kWh, round(avg(value), 6) AS EUR_per_kWh, 11.0::DOUBLE AS EXR,
