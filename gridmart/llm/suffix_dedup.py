@@ -52,14 +52,16 @@ from . import common
 
 WINDOW = 50
 LEAD = 16
-#: Text bytes of a slice, of a bucket, and of the sample that splitters come from.
+#: Text bytes of a slice and of a bucket; of the sample that splitters come from, at least, and for
+#: each bucket (some hundred candidates).
 SLICE_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
 SAMPLE_BYTES = 16 << 20
+SAMPLE_BUCKET_BYTES = 16 << 10
 #: Most rows of a slice, empty texts included (``_runs`` packs a row's number above 40 bits).
 SLICE_ROWS = 1 << 16
 #: Most buckets: the splitters (24 bytes each, at most two a bucket) go to every task.  Buckets grow
-#: beyond ``BUCKET_BYTES`` above 8 TB of text (100 MB each at 100 TB).
+#: beyond ``BUCKET_BYTES`` above 8 TB of text (100 MB each at 100 TB, with some six candidates a MB).
 MAX_BUCKETS = 1 << 20
 #: One suffix in so many of the sampled documents is a splitter candidate.
 SAMPLE_EVERY = 8
@@ -260,9 +262,10 @@ def _ties(part: Slice, text: np.ndarray) -> np.ndarray:
 
 def _splitters(rows: DataFrame, window: int, slice_bytes: int, piece_bytes: int, total: int,
                buckets: int) -> np.ndarray:
-    """Keys that cut the sampled suffixes evenly.  A cut lies before the first of
-    equal suffixes; only a group that several cuts fall into, so one larger
-    than a bucket, is also cut inside."""
+    """Keys that cut the sampled suffixes evenly.
+
+    The sample grows with the buckets and is sorted by Spark; only the cuts, every
+    so many candidates, reach the driver."""
     def keys(batches):
         for part in _slices(batches, slice_bytes):
             a = _suffixes(part, window, piece_bytes)
@@ -272,11 +275,33 @@ def _splitters(rows: DataFrame, window: int, slice_bytes: int, piece_bytes: int,
                 [pa.array([k.ljust(LEAD + 8, b"\0") for k in _keys(a.words[some], tie[some]).tolist()],
                           pa.binary())], names=["k"])
     draw = F.shiftrightunsigned(F.xxhash64("uid"), 11) / float(1 << 53)
-    sample = sorted(r.k for r in rows.filter(draw < min(1.0, SAMPLE_BYTES / max(total, 1)))
-                    .mapInArrow(keys, "k binary").collect())
-    cuts = [sample[len(sample) * i // buckets] for i in range(1, buckets)] if sample else []
-    fell = Counter(bytes(c[:LEAD]) for c in cuts)
-    inside = {bytes(c) for c in cuts if fell[bytes(c[:LEAD])] > 1}
+    share = min(1.0, max(SAMPLE_BYTES, buckets * SAMPLE_BUCKET_BYTES) / max(total, 1))
+    sample = common.cut(rows.filter(draw < share).mapInArrow(keys, "k binary"))
+    ordered = common.cut(sample.repartitionByRange("k").sortWithinPartitions("k")).select(
+        "k", F.spark_partition_id().alias("task"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("row"))
+    counts = {r.task: r["n"] for r in ordered.groupBy("task").agg(F.count("*").alias("n")).collect()}
+    before, size = {}, 0
+    for task in sorted(counts):
+        before[task], size = size, size + counts[task]
+    # never a candidate twice: then a lead that several cuts have is one group
+    buckets = min(buckets, max(1, size // 2))
+    if size and buckets > 1:
+        offsets = rows.sparkSession.createDataFrame(sorted(before.items()), "task int, before long")
+        at = F.col("before") + F.col("row")
+        # candidate number size * i // buckets, for i from 1
+        i = F.ceil(at * buckets / size)
+        wanted = ordered.join(offsets, "task").withColumn("at", at).withColumn("i", i.cast("long")) \
+            .filter((F.col("i") > 0) & (F.col("i") < buckets) & (F.floor(F.col("i") * size / buckets) == F.col("at")))
+        return cut_keys([bytes(r.k) for r in wanted.select("k").collect()])
+    return cut_keys([])
+
+
+def cut_keys(cuts: list[bytes]) -> np.ndarray:
+    """A cut lies before the first of equal suffixes; only a group that several
+    cuts fall into, so one larger than a bucket, is also cut inside."""
+    fell = Counter(c[:LEAD] for c in cuts)
+    inside = {c for c in cuts if fell[c[:LEAD]] > 1}
     return np.array(sorted({lead.ljust(LEAD + 8, b"\0") for lead in fell} | inside), f"S{LEAD + 8}")
 
 

@@ -138,3 +138,29 @@ def test_slices_of_empty_texts_are_bounded():
         parts = list(S._slices(batches, 1 << 20))
         assert [(p.number, len(p.ids)) for p in parts] == [(0, 65_536), (65_536, 65_536), (131_072, n - 131_072)]
         assert [i for p in parts for i in p.ids] == list(range(n)) and parts[-1].texts[-1] == b"end"
+
+
+def test_more_buckets_than_samples_make_no_false_groups(spark):
+    """Every lead differs: no bucket is cut inside a group, none twice at a place."""
+    import random
+
+    from gridmart.llm import common, suffix_dedup as S
+    rng = random.Random(8)
+    docs = [(i, "".join(rng.choice("abcdefghijklmnop") for _ in range(2_000))) for i in range(60)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "monotonically_increasing_id() AS uid")
+    common.ship(spark)
+    few, many = (S._splitters(rows, 50, 4 << 20, 1 << 20, 120_000, n) for n in (40, 100_000))
+    assert 30 <= len(few) <= 39
+    assert len(many) > len(few) and all(bytes(k)[S.LEAD:].strip(b"\0") == b"" for k in many)
+    assert [bytes(k) for k in many] == sorted({bytes(k) for k in many})
+
+
+def test_a_group_larger_than_a_bucket_is_cut_inside():
+    from gridmart.llm import suffix_dedup as S
+    hot, cold = b"h" * S.LEAD, [bytes([c]) * S.LEAD for c in b"abc"]
+    cuts = S.cut_keys([hot + bytes([i]) * 8 for i in range(1, 6)] + [c + b"12345678" for c in cold])
+    keys = [bytes(k).ljust(S.LEAD + 8, b"\0") for k in cuts]
+    assert [k for k in keys if k.startswith(hot) and k[S.LEAD:].strip(b"\0")] == \
+        [hot + bytes([i]) * 8 for i in range(1, 6)]
+    assert all(c + b"\0" * 8 in keys for c in [hot, *cold])
+
