@@ -66,6 +66,8 @@ MAX_BUCKETS = 1 << 20
 #: One suffix in so many of the sampled documents is a splitter candidate.
 SAMPLE_EVERY = 8
 NEAR_CLASSES = 1 << 16
+#: Rows of a batch of single windows.
+WINDOW_ROWS = 1 << 15
 #: Low bits of a suffix's order that hold its place among the texts sampled at once.
 PLACE_BITS = 25
 #: Longer texts are sampled in pieces; each has so many bytes and those its last window needs.
@@ -506,20 +508,40 @@ def _wide_windows(window: int):
             doc, first, off, span, state = _unpack(open_)
             wide = state == WIDE
             doc, first, span = doc[wide], first[wide].astype(np.int64), span[wide]
-            ranks = part.ranks
+            found = []
             for d in np.unique(doc):
                 mine = doc == d
                 _, at = _expand(first[mine], span[mine])
                 one, two = _windows(np.frombuffer(part.texts[d], np.uint8), at, window)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
-                     pa.array(np.full(n, ranks[d])), pa.array(np.full(n, number)),
-                     pa.array(np.full(n, d, np.int32)), pa.array(at.astype(np.int32))],
-                    names=["one", "two", "rank", "slice", "doc", "start"])
+                found.append((one.view(np.int64), two.view(np.int64), np.full(len(at), d, np.int32),
+                              at.astype(np.int32)))
+            if found:
+                yield from _by_window(number, part.ranks, *(np.concatenate(c) for c in zip(*found)))
     return run
 
 
+def _by_window(number: int, ranks: np.ndarray, one: np.ndarray, two: np.ndarray, doc: np.ndarray,
+               start: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each distinct window of a slice: its place of least rank, the
+    greatest rank, and the other places.  A window that a large group shares is
+    then one row a slice on its way to the join, not one a document."""
+    order = np.lexsort((start, ranks[doc], two, one))
+    one, two, doc, start = one[order], two[order], doc[order], start[order]
+    rank = ranks[doc]
+    head = np.r_[True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
+    at = _starts(head)
+    sizes = np.diff(np.r_[at, len(one)])
+    rest = pa.StructArray.from_arrays([pa.array(c[~head]) for c in (rank, doc, start)], ["rank", "doc", "start"])
+    more = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes - 1)].astype(np.int32)), rest,
+                                    mask=pa.array(sizes == 1))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(one[at]), pa.array(two[at]), pa.array(rank[at]), pa.array(rank[at + sizes - 1]),
+         pa.array(np.full(len(at), number)), pa.array(doc[at]), pa.array(start[at]), more],
+        names=["one", "two", "rank", "most", "slice", "doc", "start", "more"])
+    for i in range(0, batch.num_rows, WINDOW_ROWS):
+        yield batch.slice(i, WINDOW_ROWS)
+
+
 def _runs(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs (doc, start, end) of the intervals; touching ones join."""
     order = np.lexsort((start, doc))
@@ -613,9 +635,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
         .repartitionById(buckets, F.col("bucket")) \
         .mapInArrow(_compare(window), "slice long, starts binary")
     single = joined.filter("wide").select("slice", "texts", "open").mapInArrow(
-        _wide_windows(window), "one long, two long, rank long, slice long, doc int, start int")
-    least = single.groupBy("one", "two").agg(F.min("rank").alias("least"), F.max("rank").alias("most")) \
-        .filter("least < most").drop("most")
+        _wide_windows(window), "one long, two long, rank long, most long, slice long, doc int, start int, "
+                               "more array<struct<rank:bigint,doc:int,start:int>>")
+    least = single.groupBy("one", "two").agg(F.min("rank").alias("least"), F.max("most").alias("last")) \
+        .filter("least < last").drop("last")
 
     def gathered(batches):
         for number, found in _rows(batches, "slice", "found"):
@@ -623,8 +646,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, outputs: tuple[str, ..
                                          np.array([x["start"] for x in found], np.int32)))],
                          (pa.int64(), pa.binary()), ("slice", "starts"))
 
-    wide = single.join(least, ["one", "two"]).filter("rank > least") \
-        .groupBy("slice").agg(F.collect_list(F.struct("doc", "start")).alias("found")) \
+    places = F.concat(F.array(F.struct("rank", "doc", "start")),
+                      F.coalesce("more", F.array().cast("array<struct<rank:bigint,doc:int,start:int>>")))
+    wide = single.join(least, ["one", "two"]).filter("most > least") \
+        .select("slice", "least", F.explode(places).alias("p")).filter("p.rank > least") \
+        .groupBy("slice").agg(F.collect_list(F.struct("p.doc", "p.start")).alias("found")) \
         .mapInArrow(gathered, "slice long, starts binary")
     found = near.unionByName(wide).groupBy("slice").agg(F.collect_list("starts").alias("found"))
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + "".join(

@@ -164,3 +164,22 @@ def test_a_group_larger_than_a_bucket_is_cut_inside():
         [hot + bytes([i]) * 8 for i in range(1, 6)]
     assert all(c + b"\0" * 8 in keys for c in [hot, *cold])
 
+
+def test_windows_of_a_slice_are_one_row_each():
+    import numpy as np
+
+    from gridmart.llm import suffix_dedup as S
+    rng = np.random.default_rng(3)
+    n = 5_000
+    one, two = rng.integers(0, 40, n), rng.integers(-2, 2, n)
+    doc, start, ranks = rng.integers(0, 50, n).astype(np.int32), np.arange(n, dtype=np.int32), rng.permutation(50)
+    want = {}
+    for w, d, s in zip(zip(one.tolist(), two.tolist()), doc.tolist(), start.tolist()):
+        want.setdefault(w, set()).add((int(ranks[d]), d, s))
+    got = {}
+    for batch in S._by_window(7, ranks.astype(np.int64), one, two, doc, start):
+        for r in batch.to_pylist():
+            places = {(r["rank"], r["doc"], r["start"])} | {tuple(m.values()) for m in r["more"] or []}
+            assert (r["rank"], r["most"]) == (min(p[0] for p in places), max(p[0] for p in places))
+            got[r["one"], r["two"]] = places
+    assert got == want
