@@ -9,7 +9,11 @@ session is therefore pinned to UTC and every entry point asserts it.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -93,6 +97,22 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package's source files to the executors (once a session), for
+    the Python workers of a stateful stream.  Spark copies the archive itself;
+    nothing else reads it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_gridmart_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="gridmart-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(archive)
+    sc._gridmart_shipped = True
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this session wrote."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

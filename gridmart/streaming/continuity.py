@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gridmart.functions.timecols import epoch_hour
+from gridmart.session import ship
 
 HOUR_MS = 3_600_000
 #: Hours since 1970: the last closed one, the one an open hole was reported
@@ -74,11 +75,13 @@ def holes(rows: DataFrame, key: str, time_col: str, delay: str = "2 hours") -> D
     """The holes of a stream of rows: (key, kind, previous_hour, hour_utc,
     gap_hours) as they are closed, or, with no hour_utc, found open.
 
-    ``time_col`` is an instant."""
-    # hours of a series are few; repeats are dropped before they reach its state
+    ``time_col`` is an instant.  Repeats of an hour are dropped by (key, hour), on
+    all tasks, so a series that holds a third of all rows sends its state one row
+    an hour."""
+    ship(rows.sparkSession)
     timed = rows.filter(F.col(key).isNotNull() & F.col(time_col).isNotNull()) \
         .select(F.col(key).alias("region"), F.date_trunc("hour", time_col).alias("_t")) \
-        .withWatermark("_t", delay).withColumn("hour", epoch_hour("_t"))
+        .withWatermark("_t", delay).dropDuplicates(["region", "_t"]).withColumn("hour", epoch_hour("_t"))
     found = timed.groupBy("region").applyInPandasWithState(
         _step, OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 

@@ -39,11 +39,11 @@ def scans(spark, event_log):
     import scan_report
     bus = spark.sparkContext._jsc.sc().listenerBus()
     bus.waitUntilEmpty()
-    before = scan_report.last_execution(event_log)
+    start = scan_report.sizes(event_log)
 
     def since():
         bus.waitUntilEmpty()
-        return scan_report.scans(event_log, before)
+        return scan_report.scans(event_log, start)
     return since
 
 

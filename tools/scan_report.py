@@ -47,20 +47,33 @@ def _nodes(info: dict):
         yield from _nodes(child)
 
 
-def scans(path: str, after: int = -1) -> list[Scan]:
-    """Scans of the executions numbered above ``after``, in order."""
+def sizes(path: str) -> dict[str, int]:
+    """How far each file of a log is written."""
+    return {file: os.path.getsize(file) for file in _files(path)}
+
+
+def _lines_from(file: str, start: int):
+    if not start:
+        yield from _lines(file)
+        return
+    with open(file, "rb") as log:
+        log.seek(start)
+        yield from log
+
+
+def scans(path: str, start: dict[str, int] | None = None) -> list[Scan]:
+    """Scans in order, of what was logged after ``start`` (see ``sizes``; plain
+    files only)."""
     found: dict[frozenset, Scan] = {}
     values: dict[int, int] = {}
     for file in _files(path):
-        for line in _lines(file):
+        for line in _lines_from(file, (start or {}).get(file, 0)):
             try:
                 event = json.loads(line)
             except json.JSONDecodeError:               # the line being written
                 continue
             kind = event.get("Event", "").rsplit(".", 1)[-1]
             if kind in ("SparkListenerSQLExecutionStart", "SparkListenerSQLAdaptiveExecutionUpdate"):
-                if event["executionId"] <= after:
-                    continue
                 for node in _nodes(event["sparkPlanInfo"]):
                     name = node["nodeName"].strip()
                     if not re.match(r"(Scan|BatchScan) ", name):
@@ -81,18 +94,6 @@ def scans(path: str, after: int = -1) -> list[Scan]:
     return list(found.values())
 
 
-def last_execution(path: str) -> int:
-    last = -1
-    for file in _files(path):
-        for line in _lines(file):
-            if "SQLExecutionStart" in line:
-                try:
-                    last = max(last, json.loads(line)["executionId"])
-                except json.JSONDecodeError:
-                    continue
-    return last
-
-
 def main() -> None:
     for s in scans(sys.argv[1]):
         print(f"{s.execution:5d} {s.kind:28.28s} partitions {s.partitions:6d} files {s.files:6d} rows {s.rows:10d}  "
