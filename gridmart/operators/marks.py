@@ -110,12 +110,23 @@ def global_increment(source: DataFrame, time_col: str, mark) -> DataFrame:
     return source.filter(F.col(time_col) > utc_literal(mark, ntz=ntz))
 
 
+#: Up to so many keys are broadcast (a few dozen bytes each), so that the rows of
+#: the other side are not dealt out by key; more are joined by a shuffle.
+MAX_BROADCAST_MEMBERS = 100_000
+
+
+def kept(members: DataFrame) -> DataFrame:
+    """Marks or keys computed once, in the shared folder, and broadcast in joins
+    if their count allows."""
+    m = members.checkpoint(eager=True)
+    return F.broadcast(m) if m.count() <= MAX_BROADCAST_MEMBERS else m
+
+
 def unmarked_members(source: DataFrame, marks: DataFrame, key: str) -> DataFrame:
     """Keys of ``source`` (the NULL key included) that have no mark, as a table
     kept in the shared folder.  Reads one column of the source."""
     m = marks.select(F.col(key).alias("_marked"))
-    return source.select(key).distinct() \
-        .join(m, F.col(key).eqNullSafe(F.col("_marked")), "left_anti").checkpoint(eager=True)
+    return kept(source.select(key).distinct().join(m, F.col(key).eqNullSafe(F.col("_marked")), "left_anti"))
 
 
 def since_floor(source: DataFrame, key: str, recent: Column, unmarked: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def increment(spark: SparkSession, silver_prices: DataFrame, silver_weather: Dat
         wh = weather_hourly(silver_weather.filter(
             (F.col("weather_time_utc") >= utc_literal(lo, ntz=True)) & _parts_from(lo, granularity)))
         return join_hourly(ph, wh, granularity)
-    marks = marks_op.high_water_marks(marked, "region", "hour_utc")
+    marks = marks_op.kept(marks_op.high_water_marks(marked, "region", "hour_utc"))
     lo = marks.agg(F.min(utc_wall("mark")).alias("lo")).first()["lo"]
     sp, sw = silver_prices, silver_weather
     if lo is not None:

@@ -139,7 +139,7 @@ def _silver_increment(bronze: DataFrame, silver_target: DataFrame, key: str, par
                       lookback: _dt.timedelta | None, granularity: str) -> DataFrame:
     """Bronze rows after their region's silver mark (minus lookback), all rows
     of a region without a mark, and rows whose time does not parse."""
-    m = marks_op.high_water_marks(silver_target.filter(F.col(key).isNotNull()), "region", key)
+    m = marks_op.kept(marks_op.high_water_marks(silver_target.filter(F.col(key).isNotNull()), "region", key))
     b = bronze.withColumn("_t", parsed_time)
     lo = m.agg(F.min(utc_wall("mark")).alias("lo")).first()["lo"]
     if lo is not None:
